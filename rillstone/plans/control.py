@@ -51,47 +51,60 @@ def _by_number(predicates: list[Column], number: str) -> Column:
     return out
 
 
+class AdHocQueries:
+    """Predicates with the (UTC) times they arrive at, each checked when the object is made."""
+
+    def __init__(self, queries: list[tuple[datetime, str]]):
+        self.queries = sorted((at.replace(tzinfo=timezone.utc), text) for at, text in queries)
+        self.predicates = [checked_predicate(text) for _, text in self.queries]
+        self.times = [F.lit(at) for at, _ in self.queries]
+
+    def echo(self, spark) -> DataFrame:
+        return spark.createDataFrame([("QUERY", text) for _, text in self.queries], "tag STRING, text STRING")
+
+    def stored(self, rides: DataFrame) -> DataFrame:
+        """Per taxi, the newest ride at the time of each query, in one pass."""
+        order = F.struct(event_time(), ~F.col("is_start"), F.col("ride_id"))
+        newest = [
+            F.max_by(ride_struct(), F.when(event_time() <= at, order)).alias(f"q{i}") for i, at in enumerate(self.times)
+        ]
+        return rides.groupBy("taxi_id").agg(*newest)
+
+    def stored_answers(self, stored: DataFrame) -> DataFrame:
+        entries = [
+            F.struct(F.lit(i).alias("number"), at.alias("at"), F.col(f"q{i}").alias("ride"))
+            for i, at in enumerate(self.times)
+        ]
+        found = stored.select(F.inline(F.array(*entries))).filter(F.col("ride").isNotNull())
+        return self._matching(found, "PBE")
+
+    def later_answers(self, rides: DataFrame) -> DataFrame:
+        """Events after a query that match it while it is the newest."""
+        active = F.lit(None).cast("int")
+        for i, at in enumerate(self.times):
+            active = F.when(F.col("event_at") > at, F.lit(i)).otherwise(active)
+        later = rides.select(event_time().alias("event_at"), ride_struct().alias("ride"))
+        later = later.withColumn("number", active).filter(F.col("number").isNotNull())
+        delay = F.expr(f"INTERVAL {int(MAX_EVENT_DELAY.total_seconds())} SECONDS")
+        return self._matching(later.withColumn("at", F.col("event_at") - delay), "PE")
+
+    def _matching(self, df: DataFrame, tag: str) -> DataFrame:
+        hits = df.withColumn("watermark", F.unix_millis("at")).filter(_by_number(self.predicates, "number"))
+        stamp = F.concat(F.lit(f"{tag}@"), time_text(F.col("at")))
+        return hits.select(stamp.alias("tag"), ride_line(F.col("ride")).alias("text"))
+
+
 def taxi_query(rides: DataFrame, queries: list[tuple[datetime, str]]) -> DataFrame:
     """Answers ``(tag, text)`` to ad-hoc predicates that arrive at the given (UTC) times.
 
     ``QUERY`` rows repeat the predicate. ``PBE@time`` rows are the newest ride of each taxi that
     matches when the query arrives; ``PE@time`` rows are later events that match while the query is
-    the newest. The watermark of a later event trails it by ``MAX_EVENT_DELAY``. One pass over the
-    rides answers the stored part of all queries.
+    the newest. The watermark of a later event trails it by ``MAX_EVENT_DELAY``.
     """
-    spark = rides.sparkSession
-    geo.register_sql_functions(spark)
-    queries = sorted((at.replace(tzinfo=timezone.utc), text) for at, text in queries)
-    predicates = [checked_predicate(text) for _, text in queries]
-    echo = spark.createDataFrame([("QUERY", text) for _, text in queries], "tag STRING, text STRING")
-
-    order = F.struct(event_time(), ~F.col("is_start"), F.col("ride_id"))
-    times = [F.lit(at) for at, _ in queries]
-    newest = [
-        F.max_by(ride_struct(), F.when(event_time() <= at, order)).alias(f"q{i}") for i, at in enumerate(times)
-    ]
-    per_taxi = rides.groupBy("taxi_id").agg(*newest)
-    stored = per_taxi.select(
-        F.inline(F.array(*[
-            F.struct(F.lit(i).alias("number"), at.alias("at"), F.col(f"q{i}").alias("ride")) for i, at in enumerate(times)
-        ]))
-    ).filter(F.col("ride").isNotNull())
-    stored = stored.withColumn("watermark", F.unix_millis("at"))
-
-    active = F.lit(None).cast("int")
-    for i, at in enumerate(times):
-        active = F.when(F.col("event_at") > at, F.lit(i)).otherwise(active)
-    later = rides.select(event_time().alias("event_at"), ride_struct().alias("ride"))
-    later = later.withColumn("number", active).filter(F.col("number").isNotNull())
-    later = later.withColumn("at", F.col("event_at") - F.expr(f"INTERVAL {int(MAX_EVENT_DELAY.total_seconds())} SECONDS"))
-    later = later.withColumn("watermark", F.unix_millis("at"))
-
-    def answers(df: DataFrame, tag: str) -> DataFrame:
-        hits = df.filter(_by_number(predicates, "number"))
-        stamp = F.concat(F.lit(f"{tag}@"), time_text(F.col("at")))
-        return hits.select(stamp.alias("tag"), ride_line(F.col("ride")).alias("text"))
-
-    return echo.unionByName(answers(stored, "PBE")).unionByName(answers(later, "PE"))
+    geo.register_sql_functions(rides.sparkSession)
+    asked = AdHocQueries(queries)
+    answers = asked.stored_answers(asked.stored(rides)).unionByName(asked.later_answers(rides))
+    return asked.echo(rides.sparkSession).unionByName(answers)
 
 
 QUERY_RETENTION = "15 MINUTES"
@@ -115,6 +128,13 @@ def active_queries(control: DataFrame, max_rows: int = MAX_GROUP_ROWS) -> DataFr
     return s.rows().filter("_probe").select("query_id", "lon", "lat", "ts", "until")
 
 
+def active_reports(rides: DataFrame, queries: DataFrame) -> DataFrame:
+    """Distances to the locations that are asked for at the time of the ride's end."""
+    reports = distances_to(rides, queries.withColumnRenamed("ts", "since"), keep_times=True)
+    asked = (F.col("event_time") >= F.col("since")) & (F.col("until").isNull() | (F.col("event_time") < F.col("until")))
+    return reports.filter(asked).drop("since", "until")
+
+
 def nearest_taxi_expiring(rides: DataFrame, control: DataFrame, max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """Improving reports per query, for queries that expire and bests that are forgotten.
 
@@ -124,11 +144,7 @@ def nearest_taxi_expiring(rides: DataFrame, control: DataFrame, max_rows: int =
     many rounds as the longest-lived query has starts.
     """
     spark = rides.sparkSession
-    queries = active_queries(control, max_rows)
-    reports = distances_to(rides, queries.select("query_id", "lon", "lat", "ts", "until").withColumnRenamed("ts", "since"), True)
-    reports = reports.filter(
-        (F.col("event_time") >= F.col("since")) & (F.col("until").isNull() | (F.col("event_time") < F.col("until")))
-    ).drop("since", "until")
+    reports = active_reports(rides, active_queries(control, max_rows))
     home = shared_folder(spark, "nearest-taxi")
     reports.write.parquet(f"{home}/reports")
     reports = spark.read.parquet(f"{home}/reports")

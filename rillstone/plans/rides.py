@@ -205,7 +205,8 @@ def travel_time_prediction(rides: DataFrame, max_rows: int = MAX_GROUP_ROWS) ->
     """Predicted minutes of each starting ride, from the finished rides before it.
 
     Per arrival cell and sector of approach, minutes are proportional to distance; the factor is
-    fitted to the rides seen so far. With fewer than two of them the answer is -1.
+    fitted to the rides seen so far. With fewer than two of them the answer is -1. Minutes are
+    rounded to nine digits before they are cut, so the order of additions cannot change them.
     """
     km = geo.planar_km(F.col("start_lon"), F.col("start_lat"), F.col("end_lon"), F.col("end_lat"))
     degrees = geo.direction_degrees(F.col("end_lon"), F.col("end_lat"), F.col("start_lon"), F.col("start_lat"))
@@ -227,7 +228,7 @@ def travel_time_prediction(rides: DataFrame, max_rows: int = MAX_GROUP_ROWS) ->
         },
         inclusive=False,
     )
-    guess = F.when((F.col("_n") >= 2) & (F.col("_xx") > 0), (F.col("_xy") / F.col("_xx") * F.col("km")).cast("int"))
+    guess = F.when((F.col("_n") >= 2) & (F.col("_xx") > 0), F.round(F.col("_xy") / F.col("_xx") * F.col("km"), 9).cast("int"))
     return s.rows().filter("is_start").select("ride_id", F.coalesce(guess, F.lit(-1)).alias("predicted_minutes"))
 
 

@@ -1,0 +1,289 @@
+"""Stateful operators that see the events of a key in event-time order.
+
+Rows wait in the state store until the watermark has passed them, then they are handled in order.
+Times travel as microseconds, so results do not depend on the zone of a worker.
+"""
+
+from __future__ import annotations
+
+from collections import defaultdict
+from collections.abc import Iterator
+from itertools import islice
+
+from pyspark.sql import DataFrame, Row
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+from rillstone.functions import geo
+from rillstone.operators.events import event_time, segment_label
+from rillstone.plans.rides import ride_cleansing
+
+
+def _struct(**kinds: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(n, t) for n, t in kinds.items()])
+
+
+L, D, B = T.LongType(), T.DoubleType(), T.BooleanType()
+
+
+class InOrder(StatefulProcessor):
+    """Base of the operators below: ``step`` folds one row into the state and yields output rows.
+
+    ``fields`` are the row fields to keep while waiting; the first ones, up to ``sort_fields``, give
+    the order and start with the event time ``us``. ``state`` is the schema of the folded state.
+    """
+
+    fields: list[tuple[str, T.DataType]] = []
+    sort_fields = 1
+    state_schema: T.StructType
+    first_state: tuple = ()
+    # Waiting rows are kept per hour, so that a timer holds one hour of a key in memory, not all of it.
+    bucket_us = 3600 * 1_000_000
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        row = T.StructType([T.StructField(n, t) for n, t in self.fields])
+        self.waiting = handle.getMapState("waiting", _struct(bucket=L), _struct(rows=T.ArrayType(row)))
+        self.folded = handle.getValueState("folded", self.state_schema)
+        self.wake = handle.getValueState("wake", _struct(ms=L))
+
+    def _wake_at(self, us: int) -> None:
+        ms = -(-us // 1000)
+        if self.wake.exists():
+            planned = self.wake.get()[0]
+            if planned <= ms:
+                return
+            self.handle.deleteTimer(planned)
+        self.handle.registerTimer(ms)
+        self.wake.update((ms,))
+
+    def _keep(self, rows: list[tuple]) -> None:
+        """Add rows to the waiting buckets."""
+        fresh = defaultdict(list)
+        for r in rows:
+            fresh[r[0] // self.bucket_us].append(r)
+        for bucket, members in fresh.items():
+            if self.waiting.containsKey((bucket,)):
+                members = [tuple(r) for r in self.waiting.getValue((bucket,))[0]] + members
+            self.waiting.updateValue((bucket,), (members,))
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        names = [n for n, _ in self.fields]
+        first = None
+        while fresh := [tuple(r[n] for n in names) for r in islice(rows, 10_000)]:
+            self._keep(fresh)
+            start = min(r[0] for r in fresh)
+            first = start if first is None else min(first, start)
+        if first is not None:
+            self._wake_at(first)
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        now = timerValues.getCurrentWatermarkInMs() * 1000
+        self.wake.clear()
+        state = tuple(self.folded.get()) if self.folded.exists() else self.first_state
+        for bucket in sorted(k[0] for k in self.waiting.keys()):
+            if bucket * self.bucket_us > now:
+                self._wake_at(min(r[0] for r in self.waiting.getValue((bucket,))[0]))
+                break
+            rows = [tuple(r) for r in self.waiting.getValue((bucket,))[0]]
+            self.waiting.removeKey((bucket,))
+            rest = [r for r in rows if r[0] > now]
+            for row in sorted((r for r in rows if r[0] <= now), key=lambda r: r[: self.sort_fields]):
+                state, out = self.step(key, state, row)
+                yield from out
+            if rest:
+                self._keep(rest)
+                self._wake_at(min(r[0] for r in rest))
+                break
+        self.folded.update(state)
+
+    def step(self, key, state: tuple, row: tuple) -> tuple[tuple, list[Row]]:
+        raise NotImplementedError
+
+    def close(self) -> None:
+        pass
+
+
+class Segments(InOrder):
+    """Sums up moving events until a stop; see the batch form for the rules."""
+
+    fields = [("us", L), ("moving", B), ("event_id", L), ("speed", D), ("throttle", D)]
+    sort_fields = 3
+    state_schema = _struct(stops=L, stopped=L, n=L, start=L, top=D, mean=D, m2=D)
+    first_state = (0, None, 0, None, None, 0.0, 0.0)
+
+    def step(self, key, state, row):
+        stops, stopped, n, start, top, mean, m2 = state
+        us, moving, _, speed, throttle = row
+        if moving:
+            if stopped is None or us > stopped:
+                n, gap = n + 1, throttle - mean
+                mean += gap / n
+                m2 += gap * (throttle - mean)
+                start, top = (us, speed) if n == 1 else (start, max(top, speed))
+            return (stops, stopped, n, start, top, mean, m2), []
+        out = [Row(car_id=key[0], us=start, length=n, top=top, erraticness=(m2 / n) ** 0.5, run=stops)] if n else []
+        return (stops + 1, us, 0, None, None, 0.0, 0.0), out
+
+
+def driving_segments(cars: DataFrame, strict: bool = False, delay: str = "30 seconds") -> DataFrame:
+    events = cars.withWatermark("ts", delay).select(
+        "car_id", "ts", F.unix_micros("ts").alias("us"), (F.col("speed") != 0.0).alias("moving"), "event_id",
+        "speed", "throttle",
+    )
+    found = events.groupBy("car_id").transformWithState(
+        statefulProcessor=Segments(),
+        outputStructType="car_id BIGINT, us BIGINT, length BIGINT, top DOUBLE, erraticness DOUBLE, run BIGINT",
+        outputMode="Append",
+        timeMode="EventTime",
+    )
+    if strict:
+        found = found.filter(F.col("run") >= 1)
+    return found.select(
+        "car_id", F.timestamp_micros("us").alias("start_time"), "length", F.col("top").cast("int").alias("max_speed"),
+        "erraticness", segment_label(F.col("erraticness")).alias("label"),
+    )
+
+
+class RulePairs(InOrder):
+    """Items of the first shape wait for the next item of the second shape."""
+
+    fields = [("us", L), ("seq", L), ("opens", B), ("closes", B)]
+    sort_fields = 2
+    state_schema = _struct(waiting=T.ArrayType(L))
+    first_state = ([],)
+
+    def step(self, key, state, row):
+        waiting = list(state[0] or [])
+        _, seq, opens, closes = row
+        out = []
+        if closes:
+            out = [Row(rule=key[0], color=key[1], first_seq=w, second_seq=seq) for w in waiting]
+            waiting = []
+        if opens:
+            waiting.append(seq)
+        return (waiting,), out
+
+
+def rule_pairs(items: DataFrame, rules: DataFrame, delay: str = "0 seconds") -> DataFrame:
+    """``items`` need an event time ``ts``; ``rules`` is a static control table."""
+    met = items.withWatermark("ts", delay).join(
+        F.broadcast(rules), (F.col("shape") == F.col("first_shape")) | (F.col("shape") == F.col("second_shape"))
+    )
+    events = met.select(
+        "rule", "color", "ts", F.unix_micros("ts").alias("us"), "seq",
+        (F.col("shape") == F.col("first_shape")).alias("opens"), (F.col("shape") == F.col("second_shape")).alias("closes"),
+    )
+    return events.groupBy("rule", "color").transformWithState(
+        statefulProcessor=RulePairs(),
+        outputStructType="rule STRING, color BIGINT, first_seq BIGINT, second_seq BIGINT",
+        outputMode="Append",
+        timeMode="EventTime",
+    )
+
+
+class Predictions(InOrder):
+    """Minutes proportional to distance, fitted to the finished rides seen so far."""
+
+    fields = [("us", L), ("ended", B), ("ride_id", L), ("km", D), ("minutes", D)]
+    sort_fields = 3
+    state_schema = _struct(n=L, xy=D, xx=D)
+    first_state = (0, 0.0, 0.0)
+
+    def step(self, key, state, row):
+        n, xy, xx = state
+        _, ended, ride_id, km, minutes = row
+        if ended:
+            return (n + 1, xy + km * minutes, xx + km * km), []
+        guess = int(round(xy / xx * km, 9)) if n >= 2 and xx > 0 else -1
+        return state, [Row(ride_id=ride_id, predicted_minutes=guess)]
+
+
+def travel_time_prediction(rides: DataFrame, delay: str = "60 seconds") -> DataFrame:
+    km = geo.planar_km(F.col("start_lon"), F.col("start_lat"), F.col("end_lon"), F.col("end_lat"))
+    degrees = geo.direction_degrees(F.col("end_lon"), F.col("end_lat"), F.col("start_lon"), F.col("start_lat"))
+    timed = ride_cleansing(rides).withColumn("event_time", event_time()).withWatermark("event_time", delay)
+    events = timed.select(
+        "event_time", F.unix_micros("event_time").alias("us"), (~F.col("is_start")).alias("ended"), "ride_id",
+        geo.cell_id(F.col("end_lon"), F.col("end_lat")).alias("cell"), geo.direction_bucket(degrees).alias("sector"),
+        km.alias("km"), ((F.unix_millis("end_time") - F.unix_millis("start_time")) / F.lit(60000.0)).alias("minutes"),
+    )
+    return events.groupBy("cell", "sector").transformWithState(
+        statefulProcessor=Predictions(),
+        outputStructType="ride_id BIGINT, predicted_minutes INT",
+        outputMode="Append",
+        timeMode="EventTime",
+    )
+
+
+class Positions(InOrder):
+    """Passes events on in order and numbers them."""
+
+    fields = [("us", L), ("event_id", L), ("arrival_us", L), ("speed", D), ("throttle", D)]
+    sort_fields = 2
+    state_schema = _struct(n=L)
+    first_state = (0,)
+
+    def step(self, key, state, row):
+        us, event_id, arrival_us, speed, throttle = row
+        n = state[0] + 1
+        out = Row(
+            car_id=key[0], event_id=event_id, us=us, arrival_us=arrival_us, speed=speed, throttle=throttle, pos=n
+        )
+        return (n,), [out]
+
+
+def car_event_sort(cars: DataFrame, delay: str = "30 seconds") -> DataFrame:
+    """Events of each car in event-time order, numbered; rows behind the watermark are dropped."""
+    events = cars.withWatermark("ts", delay).select(
+        "car_id", "ts", F.unix_micros("ts").alias("us"), "event_id", F.unix_micros("arrival").alias("arrival_us"),
+        "speed", "throttle",
+    )
+    found = events.groupBy("car_id").transformWithState(
+        statefulProcessor=Positions(),
+        outputStructType=(
+            "car_id BIGINT, event_id BIGINT, us BIGINT, arrival_us BIGINT, speed DOUBLE, throttle DOUBLE, pos BIGINT"
+        ),
+        outputMode="Append",
+        timeMode="EventTime",
+    )
+    return found.select(
+        "car_id", "event_id", F.timestamp_micros("us").alias("ts"), F.timestamp_micros("arrival_us").alias("arrival"),
+        "speed", "throttle", "pos",
+    )
+
+
+class ClosestReports(InOrder):
+    """Reports that beat the best one so far; a best without a better for eight hours is forgotten."""
+
+    fields = [("us", L), ("ride_id", L), ("taxi_id", L), ("distance", D)]
+    sort_fields = 2
+    state_schema = _struct(best=D, since=L)
+    first_state = (None, None)
+    retention_us = 8 * 3600 * 1_000_000
+
+    def step(self, key, state, row):
+        best, since = state
+        us, _, taxi_id, distance = row
+        if best is None or us > since + self.retention_us or distance < best:
+            return (distance, us), [Row(query_id=key[0], taxi_id=taxi_id, us=us, distance=distance)]
+        return state, []
+
+
+def nearest_taxi_expiring(reports: DataFrame, delay: str = "60 seconds") -> DataFrame:
+    """``reports(query_id, ride_id, taxi_id, event_time, distance)`` of the queries active at the time."""
+    events = reports.withWatermark("event_time", delay).select(
+        "query_id", "event_time", F.unix_micros("event_time").alias("us"), "ride_id", "taxi_id",
+        F.col("distance").cast("double").alias("distance"),
+    )
+    found = events.groupBy("query_id").transformWithState(
+        statefulProcessor=ClosestReports(),
+        outputStructType="query_id BIGINT, taxi_id BIGINT, us BIGINT, distance DOUBLE",
+        outputMode="Append",
+        timeMode="EventTime",
+    )
+    return found.select(
+        "query_id", "taxi_id", F.timestamp_micros("us").alias("event_time"), F.col("distance").cast("float").alias("distance")
+    )

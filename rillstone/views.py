@@ -109,9 +109,9 @@ def cars(spark: SparkSession, folder: str) -> DataFrame:
     return cars_of(table(spark, folder, "events"))
 
 
-def items_of(events: DataFrame) -> DataFrame:
+def items_of(events: DataFrame, *more: str) -> DataFrame:
     return events.select(
-        F.col("event_id").alias("seq"), F.col("event_type").alias("shape"), F.col("user_id").alias("color")
+        F.col("event_id").alias("seq"), F.col("event_type").alias("shape"), F.col("user_id").alias("color"), *more
     )
 
 

@@ -12,8 +12,12 @@ from pyspark.sql import functions as F
 from rillstone import views
 from rillstone.operators import documents, events, mapreduce, matrix, relational
 from rillstone.plans import bikes, cars, control, languages, rides
+from rillstone.functions import geo
 from rillstone.session import prepare, shared_folder
 from rillstone.sources import connectors, lines, posts, raw
+from rillstone.streaming import ordered
+from rillstone.streaming import queries as stream
+from rillstone.streaming.runner import FLUSH_TIME, REPLAY_DELAY, Replay, table_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -269,6 +273,118 @@ BATCH: dict[str, Query] = {
 }
 
 
+# Rows far in the future that pass every filter of the streaming queries and have ids no record has.
+_FAR = (FLUSH_TIME, FLUSH_TIME, -73.9, 40.75, -73.9, 40.75, 1, -1, -1)
+RIDE_FLUSH = [(-1, True, *_FAR), (-1, False, *_FAR)]
+FARE_FLUSH = [(-2, -1, -1, FLUSH_TIME, "", 0.0, 0.0, 0.0)]
+CAR_FLUSH = [(-1, -1, FLUSH_TIME, FLUSH_TIME, 1.0, 0.0)]
+
+
+class Replayed:
+    """The warehouse tables as flushed streams."""
+
+    def __init__(self, spark: SparkSession, folder: str, name: str):
+        self.replay = Replay(spark, name)
+        self.table = lambda t: table_stream(spark, folder, t)
+
+    def rides(self) -> DataFrame:
+        return self.replay.flushed(views.rides_of(self.table("orders")), RIDE_FLUSH)
+
+    def fares(self) -> DataFrame:
+        return self.replay.flushed(views.fares_of(self.table("orders")), FARE_FLUSH)
+
+    def cars(self) -> DataFrame:
+        return self.replay.flushed(views.cars_of(self.table("events")), CAR_FLUSH)
+
+    def items(self, shape: str) -> DataFrame:
+        events = self.table("events")
+        timed = views.items_of(events.withColumn("ts", F.col("ts").cast("timestamp")), "ts")
+        return self.replay.flushed(timed, [(-1, shape, -1, FLUSH_TIME)])
+
+
+def _append(name: str, build: Callable[[Replayed, SparkSession], DataFrame]) -> Query:
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        r = Replayed(spark, folder, name)
+        return r.replay.to_table(build(r, spark))
+
+    return run
+
+
+def _stream_ride_count(spark, d):
+    # No flush: running totals wait for nothing.
+    return Replay(spark, "ride-count").latest(stream.ride_count(views.rides_of(table_stream(spark, d, "orders"))), ["driver_id"])
+
+
+def _stream_nearest_taxi(spark, d):
+    found = rides.nearest_taxi(views.rides_of(table_stream(spark, d, "orders")), _location_queries(spark))
+    return Replay(spark, "nearest-taxi").latest(found, ["query_id"])
+
+
+def _stream_ongoing_rides(spark, d):
+    """The newest event per taxi is kept by the stream; the thresholds are put to the kept table."""
+    kept = Replay(spark, "latest-rides").latest(
+        events.latest_per_key(views.rides_of(table_stream(spark, d, "orders"))), ["taxi_id"]
+    )
+    return rides.ongoing_rides(kept, views.thresholds(spark), F.lit(WATERMARK))
+
+
+def _stream_taxi_query(spark, d):
+    geo.register_sql_functions(spark)
+    asked = control.AdHocQueries(TAXI_QUERIES)
+    source = lambda: views.rides_of(table_stream(spark, d, "orders"))
+    stored = Replay(spark, "stored-rides").latest(asked.stored(source()), ["taxi_id"])
+    later = Replay(spark, "later-rides").to_table(asked.later_answers(source()))
+    return asked.echo(spark).unionByName(asked.stored_answers(stored)).unionByName(later)
+
+
+def _stream_expiring(spark, d):
+    active = control.active_queries(_control(spark))
+    r = Replayed(spark, d, "nearest-expiring")
+    reports = control.active_reports(views.rides_of(r.table("orders")), active)
+    flushed = r.replay.flushed(reports, [(-1, -1, -1, FLUSH_TIME, 0.0)])
+    return r.replay.to_table(ordered.nearest_taxi_expiring(flushed, REPLAY_DELAY))
+
+
+STREAMS: dict[str, Query] = {
+    "stream_ride_cleansing": lambda s, d: Replay(s, "cleansing").to_table(
+        stream.ride_cleansing(views.rides_of(table_stream(s, d, "orders")))
+    ),
+    "stream_hourly_tips": _append("hourly-tips", lambda r, s: stream.hourly_tips(r.fares(), REPLAY_DELAY)),
+    "stream_hourly_top_tips": _append("hourly-top", lambda r, s: stream.hourly_top_tips(r.fares(), REPLAY_DELAY)),
+    "stream_popular_places": _append("popular", lambda r, s: stream.popular_places(r.rides(), REPLAY_DELAY)),
+    "stream_rides_per_hour": _append("per-hour", lambda r, s: stream.rides_per_hour(r.rides(), REPLAY_DELAY)),
+    "stream_ride_count": _stream_ride_count,
+    "stream_rides_and_fares": _append(
+        "rides-fares", lambda r, s: stream.rides_and_fares(r.rides(), r.fares(), REPLAY_DELAY)
+    ),
+    "stream_unmatched_fares": _append(
+        "unmatched-fares", lambda r, s: stream.unmatched_fares(r.rides(), r.fares(), REPLAY_DELAY)
+    ),
+    "stream_unmatched_rides": _append(
+        "unmatched-rides", lambda r, s: stream.unmatched_rides(r.rides(), r.fares(), REPLAY_DELAY)
+    ),
+    "stream_long_rides": _append("long-rides", lambda r, s: stream.long_rides(r.rides(), REPLAY_DELAY)),
+    "stream_nearest_taxi": _stream_nearest_taxi,
+    "stream_nearest_taxi_expiring": _stream_expiring,
+    "stream_ongoing_rides": _stream_ongoing_rides,
+    "stream_taxi_query": _stream_taxi_query,
+    "stream_travel_time_prediction": _append(
+        "prediction", lambda r, s: ordered.travel_time_prediction(r.rides(), REPLAY_DELAY)
+    ),
+    "stream_driving_sessions": _append(
+        "sessions", lambda r, s: stream.driving_sessions(r.cars(), "6 hours", REPLAY_DELAY)
+    ),
+    "stream_driving_segments": _append("segments", lambda r, s: ordered.driving_segments(r.cars(), delay=REPLAY_DELAY)),
+    "stream_driving_segments_strict": _append(
+        "segments-strict", lambda r, s: ordered.driving_segments(r.cars(), strict=True, delay=REPLAY_DELAY)
+    ),
+    "stream_car_event_sort": _append("car-sort", lambda r, s: ordered.car_event_sort(r.cars(), REPLAY_DELAY)),
+    "stream_rule_pair_match": _append(
+        "rule-pairs", lambda r, s: ordered.rule_pairs(r.items("view"), views.rules(s), REPLAY_DELAY)
+    ),
+}
+
+
 def bound(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return plain(query(prepare(spark), sf_dir))

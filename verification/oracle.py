@@ -175,7 +175,7 @@ fitted AS (
   FROM points
   WINDOW w AS (PARTITION BY end_cell, sector ORDER BY event_time, NOT is_start, ride_id
                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
-SELECT ride_id, coalesce(CASE WHEN n >= 2 AND xx > 0 THEN CAST(trunc(xy / xx * km) AS INTEGER) END, -1) AS predicted_minutes
+SELECT ride_id, coalesce(CASE WHEN n >= 2 AND xx > 0 THEN CAST(trunc(round(xy / xx * km, 9)) AS INTEGER) END, -1) AS predicted_minutes
 FROM fitted WHERE is_start"""
 
 ROUTES = f"""WITH RECURSIVE {RIDES},
@@ -415,3 +415,13 @@ ORACLE: dict[str, str] = {
         SELECT trade_id, customer_id, t.ts AS ts, trade_info, e.ts AS customer_ts, e.event_type AS customer_info
         FROM t ASOF LEFT JOIN events e ON t.customer_id = e.user_id AND t.ts >= e.ts""",
 }
+
+STREAM_TWINS = (
+    "ride_cleansing hourly_tips hourly_top_tips popular_places rides_per_hour ride_count rides_and_fares unmatched_fares "
+    "unmatched_rides long_rides nearest_taxi nearest_taxi_expiring ongoing_rides taxi_query travel_time_prediction "
+    "driving_sessions driving_segments driving_segments_strict rule_pair_match"
+).split()
+ORACLE.update({f"stream_{name}": ORACLE[name] for name in STREAM_TWINS})
+# The replay waits for all stragglers, so no event is late and every event is sorted.
+ORACLE["stream_car_event_sort"] = _rounded(f"""WITH {CARS} SELECT car_id, event_id, ts, arrival, speed, throttle,
+    row_number() OVER (PARTITION BY car_id ORDER BY ts, event_id) AS pos FROM cars""", "speed", "throttle")
