@@ -21,10 +21,6 @@ def time_text(ts: Column) -> Column:
     return F.date_format(ts, TIME_FORMAT)
 
 
-def parse_time(text: Column) -> Column:
-    return F.try_to_timestamp(text, F.lit(TIME_FORMAT))
-
-
 def year_of(text: Column) -> Column:
     """Year of a timestamp text, null when the text is no timestamp."""
     return F.year(text.try_cast("timestamp"))

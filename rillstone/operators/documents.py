@@ -25,5 +25,6 @@ def inverted_index(
     words = df.select(
         F.explode(distinct_tokens(F.col(text))).alias("word"), F.col(doc_id).cast("string").alias("doc_id")
     )
-    blocks = numbered_blocks(words, ["word"], ["doc_id"], block_rows, max_rows)
+    # A word has at most one row per document, so a small collection needs no count of its words.
+    blocks = numbered_blocks(words, ["word"], ["doc_id"], block_rows, max_rows, at_most=df.count())
     return blocks.groupBy("word", "block").agg(F.array_sort(F.collect_list("doc_id")).alias("doc_ids"))

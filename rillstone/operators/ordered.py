@@ -46,15 +46,18 @@ class Sliced:
 
 
 def slice_groups(
-    df: DataFrame, keys: list[str], order: list[str], max_rows: int = MAX_GROUP_ROWS
+    df: DataFrame, keys: list[str], order: list[str], max_rows: int = MAX_GROUP_ROWS, at_most: int | None = None
 ) -> Sliced:
     """Find the groups with more than ``max_rows`` rows and cut them along ``order``.
 
     ``order`` lists ascending, non-null columns that make the order total. The row counts and, for
     large groups, a bounded sample are fetched while the plan is built, so the split points are
-    literals and a retried task sees the same slices.
+    literals and a retried task sees the same slices. ``at_most`` is a bound the caller knows for the
+    rows of any group; when it is low enough nothing is counted.
     """
     plain = Sliced(df, tuple(keys), tuple(order))
+    if at_most is not None and at_most <= max_rows:
+        return plain
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_rows)
     large = counts.orderBy(F.desc("_n")).limit(MAX_SPLIT_GROUPS).collect()
     if not large:
@@ -187,7 +190,9 @@ def _carry(sliced: Sliced, values: dict[str, tuple[str, Column]], reverse: bool)
     return per_slice.select(*columns)
 
 
-def numbered_blocks(df: DataFrame, keys: list[str], order: list[str], size: int, max_rows: int = MAX_GROUP_ROWS):
+def numbered_blocks(
+    df: DataFrame, keys: list[str], order: list[str], size: int, max_rows: int = MAX_GROUP_ROWS, at_most: int | None = None
+) -> DataFrame:
     """Add ``block``: 0 for the first ``size`` rows of a group, 1 for the next ones, and so on."""
-    counted = running(slice_groups(df, keys, order, max_rows), {"_pos": ("count", F.lit(1))})
+    counted = running(slice_groups(df, keys, order, max_rows, at_most), {"_pos": ("count", F.lit(1))})
     return counted.rows().withColumn("block", F.floor((F.col("_pos") - 1) / size).cast("bigint")).drop("_pos")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillstone.functions.geo import EARTH_RADIUS_KM, haversine_km
+from rillstone.session import shared_folder
 
 THREE_HOURS = 10_800
 
@@ -64,8 +65,9 @@ def farthest_stations(stations: DataFrame) -> DataFrame:
     placed = placed.select("lat", "long", "_s", *[f"c{i}" for i in range(len(LEVELS))])
 
     pairs = None
+    home = shared_folder(stations.sparkSession, "farthest-stations")
     for level in range(len(LEVELS)):
-        pairs = _surviving_pairs(placed, level, pairs)
+        pairs = _surviving_pairs(placed, level, pairs, f"{home}/level-{level}")
     last = f"c{len(LEVELS) - 1}"
     a = placed.select(F.col(last).alias("a"), F.col("lat").alias("lat1"), F.col("long").alias("lon1"), F.col("_s").alias("s1"))
     b = placed.select(F.col(last).alias("b"), F.col("lat").alias("lat2"), F.col("long").alias("lon2"), F.col("_s").alias("s2"))
@@ -81,8 +83,11 @@ def farthest_stations(stations: DataFrame) -> DataFrame:
     return best.select(F.col("_b.f.name").alias("station_a"), F.col("_b.s.name").alias("station_b"), F.col("_b.km").alias("km"))
 
 
-def _surviving_pairs(placed: DataFrame, level: int, parents: DataFrame | None) -> DataFrame:
-    """Cell pairs ``(a, b)``, ``a <= b``, that may hold the farthest pair."""
+def _surviving_pairs(placed: DataFrame, level: int, parents: DataFrame | None, folder: str) -> DataFrame:
+    """Cell pairs ``(a, b)``, ``a <= b``, that may hold the farthest pair.
+
+    The bounds of the pairs are written down, so that the next level does not work them out again.
+    """
     cell, parent = f"c{level}", f"c{level - 1}"
     keys = [cell] if parents is None else [cell, parent]
     discs = placed.groupBy(*keys).agg(
@@ -109,7 +114,8 @@ def _surviving_pairs(placed: DataFrame, level: int, parents: DataFrame | None) -
         met = up.join(a, "pa").join(b, "pb").filter((F.col("pa") != F.col("pb")) | (F.col("a") <= F.col("b")))
     upper = haversine_km(F.col("y_a"), F.col("x_a"), F.col("y_b"), F.col("x_b")) + F.col("r_a") + F.col("r_b")
     known = haversine_km(F.col("p_a.lat"), F.col("p_a.long"), F.col("p_b.lat"), F.col("p_b.long"))
-    bounded = met.select("a", "b", upper.alias("upper"), known.alias("known"))
-    floor = bounded.agg(F.max("known").alias("floor"))
+    met.select("a", "b", upper.alias("upper"), known.alias("known")).write.parquet(folder)
+    bounded = placed.sparkSession.read.parquet(folder)
+    floor = bounded.agg(F.max("known")).collect()[0][0]
     # A slack far below a millimetre keeps rounding from dropping the best pair.
-    return bounded.join(F.broadcast(floor), F.col("upper") + F.lit(1e-7) >= F.col("floor")).select("a", "b")
+    return bounded.filter(F.col("upper") >= F.lit((floor or 0.0) - 1e-7)).select("a", "b")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 def language_counts(tags: DataFrame, languages: DataFrame, first_year: int = 2010, last_year: int = 2020) -> DataFrame:
     """``(Year, Language, Count)`` of the tags that name a known language.
 
-    Mentions are counted before they meet the dictionary, so a frequent language is one row there.
+    Mentions are counted before they meet the dictionary, so a frequent language is a few rows there.
     """
     counts = (
         tags.filter(F.col("Year").between(first_year, last_year))
@@ -17,7 +17,7 @@ def language_counts(tags: DataFrame, languages: DataFrame, first_year: int = 201
         .agg(F.count(F.lit(1)).alias("Count"))
     )
     known = languages.select(F.lower("name").alias("Language")).distinct()
-    return counts.join(known, "Language", "left_semi").select("Year", "Language", "Count")
+    return counts.join(known, "Language").select("Year", "Language", "Count")
 
 
 def top_languages(counts: DataFrame, top: int = 10) -> DataFrame:

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillstone.functions.text import parse_time, time_text
-from rillstone.schemas import FARE_COLUMNS, RIDE_COLUMNS
+from rillstone.functions.text import TIME_FORMAT, time_text
+from rillstone.schemas import FARE, FARE_COLUMNS, RIDE_COLUMNS
 
 # Token positions of a car telemetry line of 23 tokens.
 CAR_TOKENS = 23
@@ -15,80 +15,63 @@ CAR_FLOATS = {"longitude": 20, "latitude": 21, "consumption": 7, "speed": 9, "th
 CAR_TIME = 22
 CORRUPT = "_corrupt"
 
+# Plain comma-separated tokens: no quotes, an empty token is null.
+_PLAIN = {"quote": "", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+_RIDE_TOKENS = (
+    "ride_id BIGINT, kind STRING, first TIMESTAMP, second TIMESTAMP, start_lon FLOAT, start_lat FLOAT, end_lon FLOAT, "
+    f"end_lat FLOAT, passenger_cnt SMALLINT, taxi_id BIGINT, driver_id BIGINT, {CORRUPT} STRING"
+)
+_FLOATS = ("start_lon", "start_lat", "end_lon", "end_lat", "tip", "tolls", "total_fare", *CAR_FLOATS)
 
-def _float(token: Column) -> Column:
-    """A float token; the empty token is zero."""
-    return F.when(token == "", F.lit(0.0).cast("float")).otherwise(token.try_cast("float"))
 
+def _tokens(lines: DataFrame, text: Column, schema: str, options: dict[str, str], keep: list[str]) -> DataFrame:
+    """Typed tokens of each line. The one-element generator parses a line once for all later uses."""
+    parsed = F.from_csv(text, F.lit(schema), {**_PLAIN, **options})
+    return lines.select(*keep, "value", F.inline(F.array(parsed)))
 
-def _finish(parsed: DataFrame, good: Column, columns: list[str], strict: bool, keep: list[str]) -> DataFrame:
-    """Apply the treatment of bad lines: raise in strict mode, else keep the text in ``_corrupt``."""
+
+def _records(tokens: DataFrame, columns: dict[str, Column], good: Column, strict: bool, keep: list[str]) -> DataFrame:
+    """Named columns of good lines. A bad line raises in strict mode, else its text is in ``_corrupt``."""
+    for name in columns:
+        if name not in _FLOATS:
+            good = good & columns[name].isNotNull()
+    good = F.coalesce(F.col(CORRUPT).isNull() & good, F.lit(False))
+    fields = F.struct(*[(F.coalesce(c, F.lit(0.0).cast("float")) if n in _FLOATS else c).alias(n) for n, c in columns.items()])
     if strict:
-        message = F.concat(F.lit("Invalid record: "), F.col("value"))
-        checked = parsed.withColumn("_ok", F.when(good, F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
-        return checked.filter("_ok").select(*keep, *columns)
-    typed = [F.when(good, F.col(c)).alias(c) for c in columns]
-    return parsed.select(*keep, *typed, F.when(~good, F.col("value")).alias(CORRUPT))
+        bad = F.raise_error(F.concat(F.lit("Invalid record: "), F.col("value")))
+        return tokens.select(*keep, F.when(good, fields).otherwise(bad).alias("_r")).select(*keep, "_r.*")
+    marked = tokens.select(*keep, F.when(good, fields).alias("_r"), F.when(~good, F.col("value")).alias(CORRUPT))
+    return marked.select(*keep, "_r.*", CORRUPT)
 
 
 def parse_ride_lines(lines: DataFrame, strict: bool = True, keep: list[str] | None = None) -> DataFrame:
     """Ride events from a ``value`` column. In END lines the two times stand in reverse order."""
-    t = F.split("value", ",")
-    ok_size = F.size(t) == 11
-    at = lambda i: F.get(t, F.lit(i))
-    start = at(1) == "START"
-    first, second = parse_time(at(2)), parse_time(at(3))
-    parsed = lines.select(
-        "*",
-        at(0).try_cast("bigint").alias("ride_id"),
-        start.alias("is_start"),
-        F.when(start, first).otherwise(second).alias("start_time"),
-        F.when(start, second).otherwise(first).alias("end_time"),
-        *[_float(at(i)).alias(n) for i, n in enumerate(["start_lon", "start_lat", "end_lon", "end_lat"], 4)],
-        at(8).try_cast("smallint").alias("passenger_cnt"),
-        at(9).try_cast("bigint").alias("taxi_id"),
-        at(10).try_cast("bigint").alias("driver_id"),
-        (ok_size & at(1).isin("START", "END")).alias("_shape"),
-    )
-    good = F.coalesce(F.col("_shape"), F.lit(False))
-    for c in RIDE_COLUMNS:
-        good = good & F.col(c).isNotNull()
-    return _finish(parsed, good, RIDE_COLUMNS, strict, keep or [])
+    t = _tokens(lines, F.col("value"), _RIDE_TOKENS, {"timestampFormat": TIME_FORMAT}, keep or [])
+    start = F.col("kind") == "START"
+    columns = {name: F.col(name) for name in RIDE_COLUMNS if name not in ("is_start", "start_time", "end_time")}
+    columns["is_start"] = start
+    columns["start_time"] = F.when(start, F.col("first")).otherwise(F.col("second"))
+    columns["end_time"] = F.when(start, F.col("second")).otherwise(F.col("first"))
+    in_order = {name: columns[name] for name in RIDE_COLUMNS}
+    return _records(t, in_order, F.col("kind").isin("START", "END"), strict, keep or [])
 
 
 def parse_fare_lines(lines: DataFrame, strict: bool = True, keep: list[str] | None = None) -> DataFrame:
-    t = F.split("value", ",")
-    at = lambda i: F.get(t, F.lit(i))
-    parsed = lines.select(
-        "*",
-        *[at(i).try_cast("bigint").alias(n) for i, n in enumerate(["ride_id", "taxi_id", "driver_id"])],
-        parse_time(at(3)).alias("start_time"),
-        at(4).alias("payment_type"),
-        *[_float(at(i)).alias(n) for i, n in enumerate(["tip", "tolls", "total_fare"], 5)],
-        (F.size(t) == 8).alias("_shape"),
-    )
-    good = F.coalesce(F.col("_shape"), F.lit(False))
-    for c in FARE_COLUMNS:
-        good = good & F.col(c).isNotNull()
-    return _finish(parsed, good, FARE_COLUMNS, strict, keep or [])
+    t = _tokens(lines, F.col("value"), f"{FARE}, {CORRUPT} STRING", {"timestampFormat": TIME_FORMAT}, keep or [])
+    columns = {name: F.col(name) for name in FARE_COLUMNS}
+    columns["payment_type"] = F.coalesce("payment_type", F.lit(""))
+    return _records(t, columns, F.lit(True), strict, keep or [])
 
 
 def parse_car_lines(lines: DataFrame, strict: bool = True, keep: list[str] | None = None) -> DataFrame:
     """Car telemetry lines, tokens separated by a comma or semicolon and any blanks."""
-    t = F.split("value", r"[,;]\s*")
-    at = lambda i: F.get(t, F.lit(i))
-    parsed = lines.select(
-        "*",
-        *[at(i).alias(n) for n, i in CAR_STRINGS.items()],
-        at(CAR_TIME).try_cast("timestamp").alias("ts"),
-        *[_float(at(i)).alias(n) for n, i in CAR_FLOATS.items()],
-        (F.size(t) == CAR_TOKENS).alias("_shape"),
-    )
-    columns = ["car_id", "event_id", "ts", *CAR_FLOATS]
-    good = F.coalesce(F.col("_shape"), F.lit(False))
-    for c in columns:
-        good = good & F.col(c).isNotNull()
-    return _finish(parsed, good, columns, strict, keep or [])
+    places = {i: f"{n} STRING" for n, i in CAR_STRINGS.items()} | {i: f"{n} FLOAT" for n, i in CAR_FLOATS.items()}
+    places[CAR_TIME] = "ts TIMESTAMP"
+    schema = ", ".join(places.get(i, f"unused_{i} STRING") for i in range(CAR_TOKENS)) + f", {CORRUPT} STRING"
+    text = F.regexp_replace("value", r"[,;]\s*", ",")
+    t = _tokens(lines, text, schema, {}, keep or [])
+    columns = {n: F.col(n) for n in ("car_id", "event_id", "ts", *CAR_FLOATS)}
+    return _records(t, columns, F.lit(True), strict, keep or [])
 
 
 def ride_line(ride: Column | None = None) -> Column:

@@ -16,11 +16,10 @@ def parse_posts(lines: DataFrame) -> DataFrame:
     """
     row = F.from_xml("value", POST_ATTRIBUTES, {"rowTag": "row", "mode": "PERMISSIVE"})
     candidates = lines.filter(F.col("value").rlike(r"^\s*<row\s"))
-    parsed = candidates.select(row.alias("r"), "value")
-    readable = parsed.filter(F.coalesce("r._Id", "r._CreationDate", "r._Tags").isNotNull())
-    return readable.select(
-        *[F.coalesce(F.col(f"r._{n}"), F.lit("")).alias(n) for n in ("Id", "CreationDate", "Tags")]
-    )
+    # The one-element generator parses a line once for all later filters and columns.
+    parsed = candidates.select(F.inline(F.array(row)))
+    readable = parsed.filter(F.coalesce("_Id", "_CreationDate", "_Tags").isNotNull())
+    return readable.select(*[F.coalesce(F.col(f"_{n}"), F.lit("")).alias(n) for n in ("Id", "CreationDate", "Tags")])
 
 
 def post_tags(posts: DataFrame, mode: str = "every") -> DataFrame:
