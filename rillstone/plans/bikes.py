@@ -108,7 +108,7 @@ def _surviving_pairs(placed: DataFrame, level: int, parents: DataFrame | None, f
 
     a, b = side("a"), side("b")
     if parents is None:
-        met = a.join(b, F.col("a") <= F.col("b"))
+        met = a.join(F.broadcast(b), F.col("a") <= F.col("b"))
     else:
         up = parents.select(F.col("a").alias("pa"), F.col("b").alias("pb"))
         met = up.join(a, "pa").join(b, "pb").filter((F.col("pa") != F.col("pb")) | (F.col("a") <= F.col("b")))

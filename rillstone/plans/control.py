@@ -139,42 +139,52 @@ def nearest_taxi_expiring(rides: DataFrame, control: DataFrame, max_rows: int =
     """Improving reports per query, for queries that expire and bests that are forgotten.
 
     A query is asked from its time until :func:`active_queries` ends it. A best report is forgotten
-    when no better one came for eight hours; the next report then starts over. Every round of the
-    loop finds the improving reports of the present start of all queries together, so there are as
-    many rounds as the longest-lived query has starts.
+    when no better one came for eight hours; the next report then starts over.
     """
-    spark = rides.sparkSession
-    reports = active_reports(rides, active_queries(control, max_rows))
+    found = improving_reports(active_reports(rides, active_queries(control, max_rows)), max_rows)
+    return found.select("query_id", "taxi_id", "event_time", "distance")
+
+
+def improving_reports(reports: DataFrame, max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+    """Reports ``(query_id, event_time, ride_id, distance, ...)`` that were the best when they came.
+
+    Every round of the loop finds the improving reports since the present start of all queries
+    together and where they end, so there are as many rounds as the longest-lived query has starts.
+    """
+    spark = reports.sparkSession
     home = shared_folder(spark, "nearest-taxi")
+    schema = reports.schema
     reports.write.parquet(f"{home}/reports")
-    reports = spark.read.parquet(f"{home}/reports")
-    later_than = F.expr(f"INTERVAL {REPORT_RETENTION}")
+    reports = spark.read.schema(schema).parquet(f"{home}/reports")
+    forgotten_after = F.expr(f"INTERVAL {REPORT_RETENTION}")
+    place = F.struct("event_time", "ride_id")
 
-    begin = reports.groupBy("query_id").agg(F.min(F.struct("event_time", "ride_id")).alias("begin"))
-    for round_no in range(1_000_000):
+    begin = reports.groupBy("query_id").agg(F.min(place).alias("begin"))
+    round_no = 0
+    while True:
         begin.write.parquet(f"{home}/begin/round={round_no}")
-        begin = spark.read.parquet(f"{home}/begin/round={round_no}")
+        begin = spark.read.schema(begin.schema).parquet(f"{home}/begin/round={round_no}")
         if not begin.limit(1).collect():
             break
-        epoch = reports.join(begin, "query_id").filter(F.struct("event_time", "ride_id") >= F.col("begin"))
-        s = slice_groups(epoch, ["query_id"], ["event_time", "ride_id"], max_rows)
+        since = reports.join(begin, "query_id").filter(place >= F.col("begin"))
+        s = slice_groups(since.select(*schema.names), ["query_id"], ["event_time", "ride_id"], max_rows)
         s = running(s, {"_best": ("min", F.col("distance"))}, inclusive=False)
         better = s.filter(F.col("_best").isNull() | (F.col("distance") < F.col("_best"))).rows().drop("_best")
         better.write.parquet(f"{home}/better/round={round_no}")
-        better = spark.read.parquet(f"{home}/better/round={round_no}")
+        better = spark.read.schema(better.schema).parquet(f"{home}/better/round={round_no}")
         s = slice_groups(better, ["query_id"], ["event_time", "ride_id"], max_rows)
         s = running(s, {"_next": ("last", F.col("event_time"))}, inclusive=False, reverse=True)
-        stale = F.col("_next").isNull() | (F.col("_next") > F.col("event_time") + later_than)
+        stale = F.col("_next").isNull() | (F.col("_next") > F.col("event_time") + forgotten_after)
         ends = s.rows().filter(stale).groupBy("query_id").agg(F.min("event_time").alias("last_better"))
         kept = better.join(ends, "query_id").filter(F.col("event_time") <= F.col("last_better"))
-        kept.select("query_id", "taxi_id", "event_time", "distance").write.parquet(f"{home}/kept/round={round_no}")
+        kept.select(*schema.names).write.parquet(f"{home}/kept/round={round_no}")
         begin = (
             reports.join(ends, "query_id")
-            .filter(F.col("event_time") > F.col("last_better") + later_than)
+            .filter(F.col("event_time") > F.col("last_better") + forgotten_after)
             .groupBy("query_id")
-            .agg(F.min(F.struct("event_time", "ride_id")).alias("begin"))
+            .agg(F.min(place).alias("begin"))
         )
-    empty = spark.createDataFrame([], "query_id BIGINT, taxi_id BIGINT, event_time TIMESTAMP, distance FLOAT")
+        round_no += 1
     if round_no == 0:
-        return empty
-    return spark.read.schema(empty.schema).parquet(*[f"{home}/kept/round={i}" for i in range(round_no)])
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*[f"{home}/kept/round={i}" for i in range(round_no)])

@@ -1,7 +1,9 @@
-"""Stateful operators that see the events of a key in event-time order.
+"""Keyed stateful operators that see the events of a key in event-time order.
 
-Rows wait in the state store until the watermark has passed them, then they are handled in order.
-Times travel as microseconds, so results do not depend on the zone of a worker.
+Rows wait in the state store until the watermark has passed them, then a timer handles them in
+order. One task handles one key, so these are for live streams in which no key outruns a task; for
+replays and for streams with very large keys use :mod:`rillstone.streaming.steps`, which gives the
+same rows. Times travel as microseconds, so results do not depend on the zone of a worker.
 """
 
 from __future__ import annotations
@@ -15,9 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from rillstone.functions import geo
-from rillstone.operators.events import event_time, segment_label
-from rillstone.plans.rides import ride_cleansing
+from rillstone.operators.events import segment_label
+from rillstone.streaming.steps import pair_rows, prediction_rows
 
 
 def _struct(**kinds: T.DataType) -> T.StructType:
@@ -169,13 +170,7 @@ class RulePairs(InOrder):
 
 def rule_pairs(items: DataFrame, rules: DataFrame, delay: str = "0 seconds") -> DataFrame:
     """``items`` need an event time ``ts``; ``rules`` is a static control table."""
-    met = items.withWatermark("ts", delay).join(
-        F.broadcast(rules), (F.col("shape") == F.col("first_shape")) | (F.col("shape") == F.col("second_shape"))
-    )
-    events = met.select(
-        "rule", "color", "ts", F.unix_micros("ts").alias("us"), "seq",
-        (F.col("shape") == F.col("first_shape")).alias("opens"), (F.col("shape") == F.col("second_shape")).alias("closes"),
-    )
+    events = pair_rows(items.withWatermark("ts", delay), rules).withColumn("us", F.unix_micros("ts"))
     return events.groupBy("rule", "color").transformWithState(
         statefulProcessor=RulePairs(),
         outputStructType="rule STRING, color BIGINT, first_seq BIGINT, second_seq BIGINT",
@@ -187,29 +182,23 @@ def rule_pairs(items: DataFrame, rules: DataFrame, delay: str = "0 seconds") ->
 class Predictions(InOrder):
     """Minutes proportional to distance, fitted to the finished rides seen so far."""
 
-    fields = [("us", L), ("ended", B), ("ride_id", L), ("km", D), ("minutes", D)]
+    fields = [("us", L), ("ended", B), ("ride_id", L), ("km", D), ("xy", D), ("xx", D)]
     sort_fields = 3
     state_schema = _struct(n=L, xy=D, xx=D)
     first_state = (0, 0.0, 0.0)
 
     def step(self, key, state, row):
         n, xy, xx = state
-        _, ended, ride_id, km, minutes = row
+        _, ended, ride_id, km, more_xy, more_xx = row
         if ended:
-            return (n + 1, xy + km * minutes, xx + km * km), []
+            return (n + 1, xy + more_xy, xx + more_xx), []
         guess = int(round(xy / xx * km, 9)) if n >= 2 and xx > 0 else -1
         return state, [Row(ride_id=ride_id, predicted_minutes=guess)]
 
 
 def travel_time_prediction(rides: DataFrame, delay: str = "60 seconds") -> DataFrame:
-    km = geo.planar_km(F.col("start_lon"), F.col("start_lat"), F.col("end_lon"), F.col("end_lat"))
-    degrees = geo.direction_degrees(F.col("end_lon"), F.col("end_lat"), F.col("start_lon"), F.col("start_lat"))
-    timed = ride_cleansing(rides).withColumn("event_time", event_time()).withWatermark("event_time", delay)
-    events = timed.select(
-        "event_time", F.unix_micros("event_time").alias("us"), (~F.col("is_start")).alias("ended"), "ride_id",
-        geo.cell_id(F.col("end_lon"), F.col("end_lat")).alias("cell"), geo.direction_bucket(degrees).alias("sector"),
-        km.alias("km"), ((F.unix_millis("end_time") - F.unix_millis("start_time")) / F.lit(60000.0)).alias("minutes"),
-    )
+    timed = prediction_rows(rides).withWatermark("event_time", delay)
+    events = timed.withColumn("us", F.unix_micros("event_time"))
     return events.groupBy("cell", "sector").transformWithState(
         statefulProcessor=Predictions(),
         outputStructType="ride_id BIGINT, predicted_minutes INT",

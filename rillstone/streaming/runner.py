@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rillstone.session import prepare, shared_folder
+from rillstone.streaming.steps import OrderedSteps, Step
 
 FLUSH_TIME = datetime(2100, 1, 1, tzinfo=timezone.utc)
 # Watermark delay for replays whose file order says nothing about event time.
@@ -72,6 +73,17 @@ class Replay:
         self._run(start)
         return self.spark.read.schema(result.schema).parquet(out)
 
+    def steps(self, source: DataFrame, ts: str, delay: str, step: Step, carry_schema: str, out_schema: str) -> DataFrame:
+        """Ordered operator by steps (see :mod:`rillstone.streaming.steps`), as a table."""
+        fold = OrderedSteps(self.home, ts, delay, step, carry_schema)
+
+        def start():
+            writer = source.writeStream.foreachBatch(fold)
+            return writer.option("checkpointLocation", f"{self.home}/checkpoint").trigger(availableNow=True).start()
+
+        self._run(start)
+        return self.spark.read.schema(out_schema).parquet(f"{self.home}/out/*")
+
     def latest(self, result: DataFrame, keys: list[str]) -> DataFrame:
         """Update-mode result as a table of the newest row per key.
 

@@ -8,14 +8,14 @@ from pyspark.sql import functions as F
 
 from rillstone import schemas, views
 from rillstone.operators import events
-from rillstone.plans import rides
+from rillstone.plans import control, rides
 from rillstone.session import shared_folder
 from rillstone.sources import connectors
-from rillstone.streaming import ordered
+from rillstone.streaming import ordered, steps
 from rillstone.streaming import queries as stream
-from rillstone.streaming.runner import REPLAY_DELAY, Replay, table_stream
+from rillstone.streaming.runner import FLUSH_TIME, REPLAY_DELAY, Replay, table_stream
 from test_events import at, fare, fare_table, ride, ride_table
-from verification.bindings import CAR_FLUSH, FARE_FLUSH, RIDE_FLUSH
+from verification.bindings import CAR_FLUSH, CONTROL_ROWS, FARE_FLUSH, RIDE_FLUSH
 
 
 def in_files(spark, folder, name, parts, source):
@@ -26,6 +26,20 @@ def in_files(spark, folder, name, parts, source):
     return home
 
 
+def test_keyed_pairs_and_reports(spark, folder):
+    raw = table_stream(spark, folder, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    replay = Replay(spark, "keyed-pairs")
+    source = replay.flushed(views.items_of(raw, "ts"), [(-1, "view", -1, FLUSH_TIME)])
+    got = replay.to_table(ordered.rule_pairs(source, views.rules(spark), REPLAY_DELAY))
+    assert rows(got) == rows(events.rule_pairs(views.items(spark, folder), views.rules(spark)))
+    asked = spark.createDataFrame(CONTROL_ROWS, "query_id BIGINT, lon FLOAT, lat FLOAT, ts TIMESTAMP")
+    replay = Replay(spark, "keyed-reports")
+    reports = control.active_reports(views.rides_of(table_stream(spark, folder, "orders")), control.active_queries(asked))
+    source = replay.flushed(reports, [(-1, -1, -1, FLUSH_TIME, 0.0)])
+    got = replay.to_table(ordered.nearest_taxi_expiring(source, REPLAY_DELAY))
+    assert rows(got) == rows(control.nearest_taxi_expiring(views.rides(spark, folder), asked))
+
+
 @pytest.mark.parametrize("name", ["segments", "positions", "sessions"])
 def test_many_small_batches_equal_one_table(spark, folder, name):
     home = in_files(spark, folder, "events", 3, folder)
@@ -45,6 +59,81 @@ def test_many_small_batches_equal_one_table(spark, folder, name):
     assert rows(replay.to_table(result).select(*digits)) == rows(want.select(*digits))
 
 
+def in_time_steps(spark, df, ts, count, name):
+    """A stream of ``count`` files that follow each other in event time."""
+    low, high = df.agg(F.unix_micros(F.min(ts)), F.unix_micros(F.max(ts))).first()
+    width = (high - low) // count + 1
+    step = F.floor((F.unix_micros(ts) - low) / width)
+    return file_stream(spark, [df.filter(step == i) for i in range(count)], name)
+
+
+@pytest.mark.parametrize(
+    "name, max_rows",
+    [("segments", 20), ("strict", 1_000_000), ("positions", 20), ("predictions", 20), ("pairs", 20), ("closest", 1_000_000)],
+)
+def test_steps_carry_over_between_batches(spark, folder, name, max_rows):
+    """Short watermark delays: most rows are handled batch by batch, not in the last one."""
+    replay = Replay(spark, name)
+    table = views.cars(spark, folder)
+    if name in ("segments", "strict"):
+        source = replay.flushed(in_time_steps(spark, table, "ts", 3, name), CAR_FLUSH)
+        want = events.driving_segments(table, name == "strict")
+        got = replay.steps(
+            source, "ts", "2 HOURS", steps.segments_step(name == "strict", max_rows), steps.SEGMENT_CARRY,
+            "car_id BIGINT, start_time TIMESTAMP, length BIGINT, max_speed INT, erraticness DOUBLE, label STRING",
+        )
+    elif name == "positions":
+        source = replay.flushed(in_time_steps(spark, table, "ts", 3, name), CAR_FLUSH)
+        want = events.positions(table, ["car_id"], ["ts", "event_id"])
+        got = replay.steps(
+            source, "ts", "2 HOURS", steps.positions_step(max_rows), steps.POSITION_CARRY,
+            "car_id BIGINT, event_id BIGINT, ts TIMESTAMP, arrival TIMESTAMP, speed DOUBLE, throttle DOUBLE, pos BIGINT",
+        )
+    elif name == "predictions":
+        data = steps.prediction_rows(views.rides(spark, folder))
+        flush = [(FLUSH_TIME, True, -1, -1, 0, 1.0, 1.0, 1.0)]
+        source = replay.flushed(in_time_steps(spark, data, "event_time", 3, name), flush)
+        want = rides.travel_time_prediction(views.rides(spark, folder))
+        got = replay.steps(
+            source, "event_time", "10 MINUTES", steps.predictions_step(max_rows), steps.PREDICTION_CARRY,
+            "ride_id BIGINT, predicted_minutes INT",
+        )
+    elif name == "pairs":
+        raw = spark.read.parquet(f"{folder}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+        data = steps.pair_rows(views.items_of(raw, "ts"), views.rules(spark))
+        source = replay.flushed(in_time_steps(spark, data, "ts", 3, name), [("", -1, FLUSH_TIME, -1, True, False)])
+        want = events.rule_pairs(views.items(spark, folder), views.rules(spark))
+        got = replay.steps(
+            source, "ts", "1 HOUR", steps.pairs_step(max_rows), steps.PAIR_CARRY,
+            "rule STRING, color BIGINT, first_seq BIGINT, second_seq BIGINT",
+        )
+    else:
+        asked = spark.createDataFrame(CONTROL_ROWS, "query_id BIGINT, lon FLOAT, lat FLOAT, ts TIMESTAMP")
+        data = control.active_reports(views.rides(spark, folder), control.active_queries(asked))
+        source = replay.flushed(in_time_steps(spark, data, "event_time", 3, name), [(-1, -1, -1, FLUSH_TIME, 0.0)])
+        want = control.nearest_taxi_expiring(views.rides(spark, folder), asked)
+        got = replay.steps(
+            source, "event_time", "10 MINUTES", steps.closest_step(max_rows), steps.REPORT_CARRY,
+            "query_id BIGINT, taxi_id BIGINT, event_time TIMESTAMP, distance FLOAT",
+        )
+    digits = [F.round(c, 6).alias(c) if t in ("double", "float") else F.col(c) for c, t in want.dtypes]
+    assert rows(got.select(*digits)) == rows(want.select(*digits))
+    assert len(spark.read.parquet(f"{replay.home}/state/0").collect()) == 1
+
+
+def test_a_repeated_batch_replaces_its_first_attempt(spark):
+    home = shared_folder(spark, "repeat")
+    fold = steps.OrderedSteps(home, "ts", "1 MINUTE", steps.positions_step(), steps.POSITION_CARRY)
+    schema = "car_id BIGINT, event_id BIGINT, ts TIMESTAMP, arrival TIMESTAMP, speed DOUBLE, throttle DOUBLE"
+    batch = lambda *events: spark.createDataFrame([(1, i, at(m), at(m), 1.0, 1.0) for i, m in events], schema)
+    fold(batch((1, 0), (2, 10)), 0)
+    fold(batch((3, 5), (4, 20)), 1)
+    fold(batch((3, 9.5), (4, 20), (9, 1)), 1)
+    fold(batch((5, 60)), 2)
+    out = spark.read.schema("event_id BIGINT, pos BIGINT").parquet(f"{home}/out/*")
+    assert rows(out) == [(1, 1), (2, 3), (3, 2), (4, 4)]
+
+
 def test_restart_continues_from_the_checkpoint(spark, folder):
     home = shared_folder(spark, "grown")
     orders = spark.read.parquet(f"{folder}/orders.parquet")

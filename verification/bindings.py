@@ -15,7 +15,7 @@ from rillstone.plans import bikes, cars, control, languages, rides
 from rillstone.functions import geo
 from rillstone.session import prepare, shared_folder
 from rillstone.sources import connectors, lines, posts, raw
-from rillstone.streaming import ordered
+from rillstone.streaming import steps
 from rillstone.streaming import queries as stream
 from rillstone.streaming.runner import FLUSH_TIME, REPLAY_DELAY, Replay, table_stream
 
@@ -342,7 +342,45 @@ def _stream_expiring(spark, d):
     r = Replayed(spark, d, "nearest-expiring")
     reports = control.active_reports(views.rides_of(r.table("orders")), active)
     flushed = r.replay.flushed(reports, [(-1, -1, -1, FLUSH_TIME, 0.0)])
-    return r.replay.to_table(ordered.nearest_taxi_expiring(flushed, REPLAY_DELAY))
+    return r.replay.steps(
+        flushed, "event_time", REPLAY_DELAY, steps.closest_step(), steps.REPORT_CARRY,
+        "query_id BIGINT, taxi_id BIGINT, event_time TIMESTAMP, distance FLOAT",
+    )
+
+
+def _stream_segments(strict: bool) -> Query:
+    def run(spark, d):
+        r = Replayed(spark, d, "segments")
+        return r.replay.steps(
+            r.cars(), "ts", REPLAY_DELAY, steps.segments_step(strict), steps.SEGMENT_CARRY,
+            "car_id BIGINT, start_time TIMESTAMP, length BIGINT, max_speed INT, erraticness DOUBLE, label STRING",
+        )
+
+    return run
+
+
+def _stream_positions(spark, d):
+    r = Replayed(spark, d, "car-sort")
+    return r.replay.steps(
+        r.cars(), "ts", REPLAY_DELAY, steps.positions_step(), steps.POSITION_CARRY,
+        "car_id BIGINT, event_id BIGINT, ts TIMESTAMP, arrival TIMESTAMP, speed DOUBLE, throttle DOUBLE, pos BIGINT",
+    )
+
+
+def _stream_predictions(spark, d):
+    r = Replayed(spark, d, "prediction")
+    return r.replay.steps(
+        steps.prediction_rows(r.rides()), "event_time", REPLAY_DELAY, steps.predictions_step(), steps.PREDICTION_CARRY,
+        "ride_id BIGINT, predicted_minutes INT",
+    )
+
+
+def _stream_pairs(spark, d):
+    r = Replayed(spark, d, "rule-pairs")
+    return r.replay.steps(
+        steps.pair_rows(r.items("view"), views.rules(spark)), "ts", REPLAY_DELAY, steps.pairs_step(), steps.PAIR_CARRY,
+        "rule STRING, color BIGINT, first_seq BIGINT, second_seq BIGINT",
+    )
 
 
 STREAMS: dict[str, Query] = {
@@ -368,20 +406,14 @@ STREAMS: dict[str, Query] = {
     "stream_nearest_taxi_expiring": _stream_expiring,
     "stream_ongoing_rides": _stream_ongoing_rides,
     "stream_taxi_query": _stream_taxi_query,
-    "stream_travel_time_prediction": _append(
-        "prediction", lambda r, s: ordered.travel_time_prediction(r.rides(), REPLAY_DELAY)
-    ),
+    "stream_travel_time_prediction": _stream_predictions,
     "stream_driving_sessions": _append(
         "sessions", lambda r, s: stream.driving_sessions(r.cars(), "6 hours", REPLAY_DELAY)
     ),
-    "stream_driving_segments": _append("segments", lambda r, s: ordered.driving_segments(r.cars(), delay=REPLAY_DELAY)),
-    "stream_driving_segments_strict": _append(
-        "segments-strict", lambda r, s: ordered.driving_segments(r.cars(), strict=True, delay=REPLAY_DELAY)
-    ),
-    "stream_car_event_sort": _append("car-sort", lambda r, s: ordered.car_event_sort(r.cars(), REPLAY_DELAY)),
-    "stream_rule_pair_match": _append(
-        "rule-pairs", lambda r, s: ordered.rule_pairs(r.items("view"), views.rules(s), REPLAY_DELAY)
-    ),
+    "stream_driving_segments": _stream_segments(False),
+    "stream_driving_segments_strict": _stream_segments(True),
+    "stream_car_event_sort": _stream_positions,
+    "stream_rule_pair_match": _stream_pairs,
 }
 
 
