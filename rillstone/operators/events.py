@@ -55,7 +55,8 @@ def positions(df: DataFrame, keys: list[str], order: list[str], max_rows: int =
 
 
 def segment_label(stddev: Column) -> Column:
-    level = (stddev / 2.5).cast("int")
+    """Calm, busy or crazy, in steps of 2.5. Rounded first, so the order of additions cannot change it."""
+    level = F.round(stddev / 2.5, 9).cast("int")
     return F.when(level == 0, "calm").when(level == 1, "busy").otherwise("crazy")
 
 

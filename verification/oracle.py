@@ -62,7 +62,7 @@ marked AS (
   FROM cars)"""
 
 LABEL = (
-    "CASE trunc(erraticness / 2.5e0) WHEN 0 THEN 'calm' WHEN 1 THEN 'busy' ELSE 'crazy' END AS label"
+    "CASE trunc(round(erraticness / 2.5e0, 9)) WHEN 0 THEN 'calm' WHEN 1 THEN 'busy' ELSE 'crazy' END AS label"
 )
 
 TRIPS = """
