@@ -35,15 +35,17 @@ def zip_codes_over(trips: DataFrame, seconds: int = THREE_HOURS) -> DataFrame:
 
 # Grid steps of the three refinement levels: cells per axis of the bounding box.
 LEVELS = (32, 512, 8192)
+# Refining stops when so few station pairs are left that comparing them is cheaper.
+FEW_PAIRS = 2_000_000
 
 
-def farthest_stations(stations: DataFrame) -> DataFrame:
+def farthest_stations(stations: DataFrame, few_pairs: int = FEW_PAIRS) -> DataFrame:
     """The pair of stations with the largest great-circle distance; on a tie the smallest ids.
 
     Pairs are ruled out cell by cell. A cell is a disc around its middle; the distance of two discs
     is at most that of their middles plus both radii. Cell pairs that stay below the best known
-    distance are dropped, the others are refined twice, and only stations of the last surviving
-    cell pairs are compared one by one. Only the coarse grid, at most ``LEVELS[0]**2`` cells, meets
+    distance are dropped, the others are refined up to twice, and only stations of the last
+    surviving cell pairs are compared one by one. Only the coarse grid, at most ``LEVELS[0]**2`` cells, meets
     itself; the finer cells meet along surviving parents.
     """
     places = stations.filter(F.col("lat").isNotNull() & F.col("long").isNotNull())
@@ -68,7 +70,9 @@ def farthest_stations(stations: DataFrame) -> DataFrame:
     home = shared_folder(stations.sparkSession, "farthest-stations")
     for level in range(len(LEVELS)):
         pairs = _surviving_pairs(placed, level, pairs, f"{home}/level-{level}")
-    last = f"c{len(LEVELS) - 1}"
+        if (pairs.agg(F.sum("pairs")).collect()[0][0] or 0) <= few_pairs:
+            break
+    last = f"c{level}"
     a = placed.select(F.col(last).alias("a"), F.col("lat").alias("lat1"), F.col("long").alias("lon1"), F.col("_s").alias("s1"))
     b = placed.select(F.col(last).alias("b"), F.col("lat").alias("lat2"), F.col("long").alias("lon2"), F.col("_s").alias("s2"))
     met = pairs.select("a", "b").join(a, "a").join(b, "b").filter(F.col("s1.id") != F.col("s2.id"))
@@ -92,7 +96,7 @@ def _surviving_pairs(placed: DataFrame, level: int, parents: DataFrame | None, f
     keys = [cell] if parents is None else [cell, parent]
     discs = placed.groupBy(*keys).agg(
         F.min("lat").alias("s"), F.max("lat").alias("n"), F.min("long").alias("w"), F.max("long").alias("e"),
-        F.min(F.struct("lat", "long")).alias("p"),
+        F.min(F.struct("lat", "long")).alias("p"), F.count(F.lit(1)).cast("double").alias("m"),
     )
     mid_lat, mid_lon = (F.col("s") + F.col("n")) / 2, (F.col("w") + F.col("e")) / 2
     # A latitude step and a longitude step along the widest parallel bound the radius from above.
@@ -100,11 +104,11 @@ def _surviving_pairs(placed: DataFrame, level: int, parents: DataFrame | None, f
         F.greatest(F.cos(F.radians("s")), F.cos(F.radians("n")))
     )
     half = F.radians((F.col("n") - F.col("s")) / 2) + F.radians((F.col("e") - F.col("w")) / 2) * widest
-    discs = discs.select(*keys, mid_lat.alias("y"), mid_lon.alias("x"), (half * EARTH_RADIUS_KM).alias("r"), "p")
+    discs = discs.select(*keys, mid_lat.alias("y"), mid_lon.alias("x"), (half * EARTH_RADIUS_KM).alias("r"), "p", "m")
 
     def side(name: str) -> DataFrame:
         columns = [F.col(cell).alias(name)] + ([F.col(parent).alias(f"p{name}")] if parents is not None else [])
-        return discs.select(*columns, *[F.col(c).alias(f"{c}_{name}") for c in ("y", "x", "r", "p")])
+        return discs.select(*columns, *[F.col(c).alias(f"{c}_{name}") for c in ("y", "x", "r", "p", "m")])
 
     a, b = side("a"), side("b")
     if parents is None:
@@ -114,8 +118,9 @@ def _surviving_pairs(placed: DataFrame, level: int, parents: DataFrame | None, f
         met = up.join(a, "pa").join(b, "pb").filter((F.col("pa") != F.col("pb")) | (F.col("a") <= F.col("b")))
     upper = haversine_km(F.col("y_a"), F.col("x_a"), F.col("y_b"), F.col("x_b")) + F.col("r_a") + F.col("r_b")
     known = haversine_km(F.col("p_a.lat"), F.col("p_a.long"), F.col("p_b.lat"), F.col("p_b.long"))
-    met.select("a", "b", upper.alias("upper"), known.alias("known")).write.parquet(folder)
+    pairs = (F.col("m_a") * F.col("m_b")).alias("pairs")
+    met.select("a", "b", upper.alias("upper"), known.alias("known"), pairs).write.parquet(folder)
     bounded = placed.sparkSession.read.parquet(folder)
     floor = bounded.agg(F.max("known")).collect()[0][0]
     # A slack far below a millimetre keeps rounding from dropping the best pair.
-    return bounded.filter(F.col("upper") >= F.lit((floor or 0.0) - 1e-7)).select("a", "b")
+    return bounded.filter(F.col("upper") >= F.lit((floor or 0.0) - 1e-7)).select("a", "b", "pairs")

@@ -21,6 +21,10 @@ def test_query_matches_sql(spark, folder, key):
     assert compare(spark, folder, QUERIES[key], SQL[key]) == ""
 
 
-@pytest.mark.parametrize("key", [k for k in QUERIES if k.startswith("stream_")])
+# The others are compared with their batch forms in test_streams.
+STREAMS = "hourly_top_tips popular_places rides_and_fares nearest_taxi ongoing_rides taxi_query".split()
+
+
+@pytest.mark.parametrize("key", [f"stream_{k}" for k in STREAMS])
 def test_stream_matches_sql(spark, folder, key):
     assert compare(spark, folder, QUERIES[key], SQL[key]) == ""
