@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from rillstone.llm import packing, token_counts
+from rillstone.llm import decontamination, packing, simhash, token_counts
 
-MODULES = (token_counts, packing)
+MODULES = (token_counts, decontamination, packing, simhash)
 
 QUERIES = {name: query for m in MODULES for name, query in m.QUERIES.items()}
 SQL = {name: sql for m in MODULES for name, sql in m.SQL.items()}
