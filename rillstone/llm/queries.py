@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from rillstone.llm import decontamination, packing, quality_rules, simhash, token_counts
+from rillstone.llm import decontamination, packing, personal_data, quality_rules, secret_scans, simhash, token_counts
 
-MODULES = (token_counts, quality_rules, decontamination, packing, simhash)
+MODULES = (token_counts, quality_rules, personal_data, decontamination, packing, simhash, secret_scans)
 
 QUERIES = {name: query for m in MODULES for name, query in m.QUERIES.items()}
 SQL = {name: sql for m in MODULES for name, sql in m.SQL.items()}
