@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from rillstone.llm import decontamination, packing, personal_data, quality_rules, secret_scans, simhash, token_counts
+from rillstone.llm import (
+    decontamination, license_scans, packing, personal_data, quality_classifier, quality_rules, secret_scans, simhash, token_counts,
+)
 
-MODULES = (token_counts, quality_rules, personal_data, decontamination, packing, simhash, secret_scans)
+MODULES = (
+    token_counts, quality_rules, personal_data, decontamination, packing, quality_classifier, simhash, secret_scans, license_scans,
+)
 
 QUERIES = {name: query for m in MODULES for name, query in m.QUERIES.items()}
 SQL = {name: sql for m in MODULES for name, sql in m.SQL.items()}
