@@ -199,14 +199,19 @@ def links(prints: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataFr
     return ordered.select(*key, "own", "fp").mapInArrow(run, "a bigint, b bigint")
 
 
+def components(marked: DataFrame, doc_id: str = "doc_id", radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
+    """``(_fp, root, least)`` for each different fingerprint of ``marked``: its component, and its least id, nulls last."""
+    first = F.min(F.struct(F.col(doc_id).isNull().alias("no_id"), F.col(doc_id).alias("id")))
+    prints = marked.groupBy(F.col("_fp").alias("fp")).agg(first.alias("least"))
+    star = stars(links(prints.select("fp"), radius, block)).withColumnsRenamed({"a": "fp", "b": "root"})
+    return prints.join(star, "fp", "left").select(F.col("fp").alias("_fp"), F.coalesce("root", "fp").alias("root"), "least")
+
+
 def classes(marked: DataFrame, doc_id: str = "doc_id", radius: int = RADIUS, block: int = BLOCK) -> DataFrame:
     """``(_fp, component_id)`` for each different fingerprint of ``marked``; the id is the least reachable ``doc_id``."""
-    prints = marked.groupBy(F.col("_fp").alias("fp")).agg(F.min(doc_id).alias("least"))
-    star = stars(links(prints.select("fp"), radius, block))
-    roots = prints.join(star.withColumnsRenamed({"a": "fp", "b": "root"}), "fp", "left")
-    roots = roots.select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    least = roots.groupBy("root").agg(F.min("least").alias("component_id"))
-    return roots.join(least, "root").select(F.col("fp").alias("_fp"), "component_id")
+    roots = components(marked, doc_id, radius, block)
+    least = roots.groupBy("root").agg(F.min("least")["id"].alias("component_id"))
+    return roots.join(least, "root").select("_fp", "component_id")
 
 
 def near_duplicates(
@@ -223,11 +228,16 @@ def near_duplicates(
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """The row with the least id of each component; of rows that share this id, the one with the least text."""
-    kept = near_duplicates(docs, doc_id, text, shingle, radius).select(F.col("component_id").alias("_kept")).distinct()
-    own = docs.join(kept, F.col(doc_id).eqNullSafe(F.col("_kept")), "left_semi")
-    first = Window.partitionBy(doc_id).orderBy(F.col(text).asc_nulls_last())
-    return own.withColumn("_n", F.row_number().over(first)).filter("_n = 1").select(*[f"`{c}`" for c in docs.columns])
+    """One row of each component, with its columns as they were: the least id, then fingerprint, then text; null ids last."""
+    named = docs.select(*[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(docs.columns)])
+    own_id, own_text = (f"_{docs.columns.index(c)}" for c in (doc_id, text))
+    marked = saved(fingerprints(named, own_text, shingle), "fingerprints")
+    chosen = components(marked, own_id, radius).groupBy("root").agg(F.min(F.struct("least", "_fp")).alias("c"))
+    chosen = chosen.select(F.col("c")["_fp"].alias("c_fp"), F.col("c")["least"]["id"].alias("c_id"))
+    own = marked.join(chosen, (F.col("_fp") == F.col("c_fp")) & F.col(own_id).eqNullSafe(F.col("c_id")), "left_semi")
+    first = Window.partitionBy("_fp", own_id).orderBy(F.col(own_text).asc_nulls_last())
+    kept = own.withColumn("_n", F.row_number().over(first)).filter("_n = 1")
+    return kept.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
 def op8_bit_sliced_simhash(spark: SparkSession, folder: str) -> DataFrame:
