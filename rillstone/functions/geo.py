@@ -75,11 +75,12 @@ def direction_bucket(degrees: Column) -> Column:
 
 
 def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
-    """Great-circle distance in km."""
+    """Great-circle distance in km. Rounding may lift the chord of antipodes above one, so it is held there."""
     half_lat = F.sin((F.radians(lat2) - F.radians(lat1)) / 2)
     half_lon = F.sin((F.radians(lon2) - F.radians(lon1)) / 2)
     chord = half_lat * half_lat + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * half_lon * half_lon
-    return F.lit(2 * EARTH_RADIUS_KM) * F.atan2(F.sqrt(chord), F.sqrt(F.lit(1.0) - chord))
+    held = F.least(chord, F.lit(1.0))
+    return F.lit(2 * EARTH_RADIUS_KM) * F.atan2(F.sqrt(held), F.sqrt(F.lit(1.0) - held))
 
 
 def register_sql_functions(spark: SparkSession) -> None:

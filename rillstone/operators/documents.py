@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rillstone.functions.text import distinct_tokens, tokens
-from rillstone.operators.ordered import MAX_GROUP_ROWS, numbered_blocks
+from rillstone.operators.ordered import numbered_blocks
 
 
 def word_count(df: DataFrame, text: str = "text") -> DataFrame:
@@ -15,7 +15,7 @@ def word_count(df: DataFrame, text: str = "text") -> DataFrame:
 
 
 def inverted_index(
-    df: DataFrame, doc_id: str = "doc_id", text: str = "text", block_rows: int = 1000, max_rows: int = MAX_GROUP_ROWS
+    df: DataFrame, doc_id: str = "doc_id", text: str = "text", block_rows: int = 1000, max_rows: int | None = None
 ) -> DataFrame:
     """``(word, block, doc_ids)``: the documents of each word, ids sorted as text.
 
@@ -25,6 +25,5 @@ def inverted_index(
     words = df.select(
         F.explode(distinct_tokens(F.col(text))).alias("word"), F.col(doc_id).cast("string").alias("doc_id")
     )
-    # A word has at most one row per document, so a small collection needs no count of its words.
-    blocks = numbered_blocks(words, ["word"], ["doc_id"], block_rows, max_rows, at_most=df.count())
+    blocks = numbered_blocks(words, ["word"], ["doc_id"], block_rows, max_rows)
     return blocks.groupBy("word", "block").agg(F.array_sort(F.collect_list("doc_id")).alias("doc_ids"))

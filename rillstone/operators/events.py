@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from rillstone.functions import geo
 from rillstone.operators.joins import with_every_row
-from rillstone.operators.ordered import MAX_GROUP_ROWS, running, slice_groups
+from rillstone.operators.ordered import running, slice_groups
 from rillstone.schemas import RIDE_COLUMNS
 
 
@@ -41,7 +41,7 @@ def latest_per_key(rides: DataFrame, key: str = "taxi_id") -> DataFrame:
 
 
 def mark_late(
-    df: DataFrame, ts: str, arrival: list[str], delay: str, max_rows: int = MAX_GROUP_ROWS
+    df: DataFrame, ts: str, arrival: list[str], delay: str, max_rows: int | None = None
 ) -> DataFrame:
     """Add ``is_late``: at or before the newest earlier arrival minus ``delay``, over the whole stream."""
     seen = running(slice_groups(df, [], arrival, max_rows), {"_newest": ("max", F.col(ts))}, inclusive=False)
@@ -49,7 +49,7 @@ def mark_late(
     return seen.rows().withColumn("is_late", F.coalesce(late, F.lit(False))).drop("_newest")
 
 
-def positions(df: DataFrame, keys: list[str], order: list[str], max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def positions(df: DataFrame, keys: list[str], order: list[str], max_rows: int | None = None) -> DataFrame:
     """Add ``pos``, the 1-based place of a row in the order of its group."""
     return running(slice_groups(df, keys, order, max_rows), {"pos": ("count", F.lit(1))}).rows()
 
@@ -71,7 +71,7 @@ def segment_summary(df: DataFrame, keys: list[str], counted: Column | None = Non
     ]
 
 
-def sessions(df: DataFrame, gap: str, max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def sessions(df: DataFrame, gap: str, max_rows: int | None = None) -> DataFrame:
     """Per car, runs of events no more than ``gap`` apart, summarised."""
     s = slice_groups(df, ["car_id"], ["ts", "event_id"], max_rows)
     s = running(s, {"_before": ("max", F.col("ts"))}, inclusive=False)
@@ -81,7 +81,7 @@ def sessions(df: DataFrame, gap: str, max_rows: int = MAX_GROUP_ROWS) -> DataFra
     return grouped.drop("_session").withColumn("label", segment_label(F.col("erraticness")))
 
 
-def driving_segments(df: DataFrame, strict: bool = False, max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def driving_segments(df: DataFrame, strict: bool = False, max_rows: int | None = None) -> DataFrame:
     """Runs of moving events that a stop ends; ``strict`` wants a stop in front as well.
 
     A stop belongs to the run it ends. Moving events at the time of a stop are left out.
@@ -105,7 +105,7 @@ def driving_segments(df: DataFrame, strict: bool = False, max_rows: int = MAX_GR
     return kept.drop("_run", "_closed").withColumn("label", segment_label(F.col("erraticness")))
 
 
-def rule_pairs(items: DataFrame, rules: DataFrame, max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def rule_pairs(items: DataFrame, rules: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Each item of a rule's first shape with the next item of its second shape in the same colour."""
     picked = with_every_row(items, rules).filter(
         (F.col("shape") == F.col("first_shape")) | (F.col("shape") == F.col("second_shape"))
@@ -117,7 +117,7 @@ def rule_pairs(items: DataFrame, rules: DataFrame, max_rows: int = MAX_GROUP_ROW
     return pairs.select("rule", "color", F.col("seq").alias("first_seq"), "second_seq")
 
 
-def asof_customers(trades: DataFrame, customers: DataFrame, max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def asof_customers(trades: DataFrame, customers: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Each trade with the newest customer record at or before it, null when there is none."""
     both = trades.select(
         "customer_id", "ts", F.lit(True).alias("_trade"), F.col("trade_id").alias("_id"), "trade_id",

@@ -16,22 +16,28 @@ def rows_with_key_in(df: DataFrame, keys: DataFrame, on: list[str], hot_rows: in
     The at most ``BROADCAST_ROWS`` largest keys above ``hot_rows`` are matched without moving their
     rows; all others meet in a shuffle.
     """
+    named = [F.col(c).alias(f"_k_{c}") for c in on]
+    same = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in on]
     hot = keys.filter(F.col("n") > hot_rows).orderBy(F.desc("n"), *on).limit(BROADCAST_ROWS)
-    hot = F.broadcast(hot.select(*on, F.lit(True).alias("_hot")))
-    marked = df.join(hot, on, "left")
+    hot = F.broadcast(hot.select(*named, F.lit(True).alias("_hot")))
+    marked = df.join(hot, same, "left").drop(*[f"_k_{c}" for c in on])
     stay = marked.filter(F.col("_hot")).drop("_hot")
-    move = marked.filter(F.col("_hot").isNull()).drop("_hot").join(keys.select(*on), on, "left_semi")
+    move = marked.filter(F.col("_hot").isNull()).drop("_hot").join(keys.select(*named), same, "left_semi")
     return stay.select(*df.columns).unionByName(move.select(*df.columns))
 
 
-def with_every_row(df: DataFrame, small: DataFrame, spread: int = 16) -> DataFrame:
+def with_every_row(df: DataFrame, small: DataFrame, piece_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Each row of ``df`` next to each row of a control table, for controls that apply to everything.
 
-    Up to ``BROADCAST_ROWS`` control rows are sent to the executors. A longer control table is
-    copied to ``spread`` groups and met there, so that no task holds all of it.
+    The control table is counted and sent to the executors in pieces of about ``piece_rows`` rows, one for all but long
+    tables; ``df`` stays where it is and is read once for each piece.
     """
-    if len(small.limit(BROADCAST_ROWS + 1).select(F.lit(1)).collect()) <= BROADCAST_ROWS:
+    pieces = max(1, -(-small.count() // piece_rows))
+    if pieces == 1:
         return df.join(F.broadcast(small), F.lit(True))
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(spread)))
-    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(spread - 1).cast("bigint"))))
-    return salted.join(copies, "_salt").drop("_salt")
+    number = F.pmod(F.xxhash64(*small.columns), F.lit(pieces))
+    out = None
+    for k in range(pieces):
+        met = df.join(F.broadcast(small.filter(number == k)), F.lit(True))
+        out = met if out is None else out.unionByName(met)
+    return out

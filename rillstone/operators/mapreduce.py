@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from math import isqrt
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -19,12 +20,13 @@ def map_reduce(
     keys: list[str],
     map_schema: str,
     reduce_schema: str,
-    spread: int = 32,
+    spread: int | None = None,
 ) -> DataFrame:
     """``map_fn`` per batch, ``combine_fn`` per batch and per part of a key, ``reduce_fn`` per key.
 
     ``combine_fn`` takes and returns rows of ``map_schema`` and may run any number of times; it
-    leaves few rows per key. A frequent key is combined in ``spread`` parts before its reduce.
+    leaves few rows per key. A frequent key is combined in ``spread`` parts before its reduce, by default about the square
+    root of the number of map tasks, so that neither a part nor the reduce meets more than so many batches' worth of rows.
     """
 
     def map_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -32,6 +34,7 @@ def map_reduce(
             yield combine_fn(map_fn(batch))
 
     mapped = df.mapInPandas(map_batches, map_schema)
+    spread = spread or max(1, isqrt(df.rdd.getNumPartitions()))
     parts = mapped.withColumn("_part", F.pmod(F.spark_partition_id(), F.lit(spread)))
     combined = parts.groupBy(*keys, "_part").applyInPandas(
         lambda pdf: combine_fn(pdf.drop(columns="_part")), map_schema

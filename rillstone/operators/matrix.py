@@ -1,6 +1,7 @@
 """Sparse matrices as relations ``(i, j, v)`` and ``(j, k, w)``; vectors as ``(index, value)``.
 
-Repeated coordinates are added up first, so a coordinate reaches the join once.
+Sums are linear, so repeated coordinates may meet the other side one by one. Only a vector or matrix that is looked up
+is added up first, so that it is small.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ def _hint_if_small(df: DataFrame, limit: int) -> DataFrame:
 def matrix_vector(matrix: DataFrame, vector: DataFrame) -> DataFrame:
     """``A x``: every matrix row is kept; a missing vector entry counts as zero."""
     x = _compact(vector, ["index"], "value")
-    joined = _compact(matrix, ["i", "j"], "v").join(x, F.col("j") == F.col("index"), "left")
+    joined = matrix.join(x, F.col("j") == F.col("index"), "left")
     return joined.groupBy("i").agg(F.sum(F.col("v") * F.coalesce("value", F.lit(0.0))).alias("value"))
 
 
@@ -37,7 +38,7 @@ def matrix_vector_in_memory(matrix: DataFrame, vector: DataFrame, limit: int = S
 
 def matrix_product(m: DataFrame, n: DataFrame) -> DataFrame:
     """``M N`` with both sides as relations."""
-    joined = _compact(m, ["i", "j"], "v").join(_compact(n, ["j", "k"], "w"), "j")
+    joined = m.join(n, "j")
     return joined.groupBy("i", "k").agg(F.sum(F.col("v") * F.col("w")).alias("value"))
 
 

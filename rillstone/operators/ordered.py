@@ -1,39 +1,30 @@
 """Running values over ordered groups, safe when one group holds a large part of all rows.
 
-A plain window sends a whole group to one task. Here groups above ``max_rows`` are cut into
-consecutive slices at sampled split points. The window runs inside each slice, and what the earlier
-slices contribute comes from a small table of slice totals. Groups below the bound take the plain
-window, and so does every group when nothing is large.
+A plain window sends a whole group to one task. Here the rows are dealt once into ranges of (group, order), so that a
+group of any size takes as many ranges as its share of the rows. They are written to shared storage with the number of
+their range. The window runs per group and range; what the earlier ranges of a group add up to comes from a carry table.
+Only the first and last group of a range can reach into another one, so that table has at most two rows per range.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-MAX_GROUP_ROWS = 1_000_000
-# Large groups that get split points. They are the largest ones, so a group outside this list
-# holds less than 1/MAX_SPLIT_GROUPS of all rows.
-MAX_SPLIT_GROUPS = 5_000
-MAX_SLICES = 20_000
-SAMPLES_PER_SLICE = 20
+from rillstone.session import shared_folder
 
 _SLICE = "_slice"
-_SPLIT = "_split"
 
 
 @dataclass(frozen=True)
 class Sliced:
-    """Rows with a slice number per group. ``slices`` is the number of slices of the split groups."""
+    """Rows with the number of their range in ``_slice``."""
 
     df: DataFrame
     keys: tuple[str, ...]
     order: tuple[str, ...]
-    slices: int = 0
 
     def with_column(self, name: str, value: Column) -> "Sliced":
         return replace(self, df=self.df.withColumn(name, value))
@@ -42,87 +33,34 @@ class Sliced:
         return replace(self, df=self.df.filter(condition))
 
     def rows(self) -> DataFrame:
-        return self.df.drop(_SLICE, _SPLIT)
+        return self.df.drop(_SLICE)
 
 
-def slice_groups(
-    df: DataFrame, keys: list[str], order: list[str], max_rows: int = MAX_GROUP_ROWS, at_most: int | None = None
-) -> Sliced:
-    """Find the groups with more than ``max_rows`` rows and cut them along ``order``.
+def slice_groups(df: DataFrame, keys: list[str], order: list[str], max_rows: int | None = None) -> Sliced:
+    """Deal the rows into ranges and write them down.
 
-    ``order`` lists ascending, non-null columns that make the order total. The row counts and, for
-    large groups, a bounded sample are fetched while the plan is built, so the split points are
-    literals and a retried task sees the same slices. ``at_most`` is a bound the caller knows for the
-    rows of any group; when it is low enough nothing is counted.
+    ``order`` lists ascending, non-null columns that make the order total. The number of ranges is that of Spark's
+    shuffle partitions; with ``max_rows`` the rows are counted and each range has about so many.
     """
-    plain = Sliced(df, tuple(keys), tuple(order))
-    if at_most is not None and at_most <= max_rows:
-        return plain
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_rows)
-    large = counts.orderBy(F.desc("_n")).limit(MAX_SPLIT_GROUPS).collect()
-    if not large:
-        return plain
-    total = sum(r["_n"] for r in large)
-    target = max(max_rows, -(-total // MAX_SLICES))
-    wanted = {tuple(r[k] for k in keys): -(-r["_n"] // target) for r in large}
-    points = _split_points(df, keys, order, large, wanted, total, counts.schema)
-    schema = T.StructType(
-        [df.schema[k] for k in keys]
-        + [T.StructField("_cuts", T.ArrayType(T.ArrayType(_cut_type(df, order))))]
-    )
-    cuts = df.sparkSession.createDataFrame([(*k, v) for k, v in points.items()], schema)
-    marked = _match_groups(df, cuts, keys)
-    position = F.struct(*[F.col(c) for c in order])
-    # Two short searches per row: among the first points of each run, then inside that run.
-    run = F.size(F.filter("_cuts", lambda r: r[0] <= position))
-    inside = F.size(F.filter(F.element_at("_cuts", run), lambda p: p <= position))
-    width = max((len(r) for runs in points.values() for r in runs), default=1) + 1
-    number = F.when(run > 0, run * F.lit(width) + inside).otherwise(F.lit(0))
-    sliced = (
-        marked.withColumn(_SPLIT, F.col("_cuts").isNotNull())
-        .withColumn(_SLICE, F.when(F.col(_SPLIT), number).otherwise(F.lit(0)))
-        .drop("_cuts")
-    )
-    bound = sum(len(r) for runs in points.values() for r in runs) + len(points)
-    return replace(plain, df=sliced, slices=bound)
-
-
-def _cut_type(df: DataFrame, order: list[str]) -> T.StructType:
-    return T.StructType([T.StructField(c, df.schema[c].dataType) for c in order])
-
-
-def _match_groups(df: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
-    """Left join with a table of at most ``MAX_SPLIT_GROUPS`` rows; null keys match."""
-    if not keys:
-        return df.join(F.broadcast(small), F.lit(True), "left")
-    renamed = small.select(*[F.col(k).alias(f"_g_{k}") for k in keys], *[c for c in small.columns if c not in keys])
-    on = [F.col(k).eqNullSafe(F.col(f"_g_{k}")) for k in keys]
-    return df.join(F.broadcast(renamed), on, "left").drop(*[f"_g_{k}" for k in keys])
-
-
-def _split_points(df, keys, order, large, wanted, total, counts_schema) -> dict[tuple, list[list[tuple]]]:
-    """Cut points per large group, from a sample of at most about SAMPLES_PER_SLICE per slice."""
-    groups = df.sparkSession.createDataFrame(large, counts_schema).withColumnRenamed("_n", "_rows")
-    fraction = min(1.0, SAMPLES_PER_SLICE * sum(wanted.values()) / total)
-    sample = df.select(*dict.fromkeys([*keys, *order])).sample(fraction, seed=17)
-    sample = _match_groups(sample, groups, keys).filter(F.col("_rows").isNotNull())
-    seen: dict[tuple, list[tuple]] = defaultdict(list)
-    for row in sample.select(*dict.fromkeys([*keys, *order])).collect():
-        seen[tuple(row[k] for k in keys)].append(tuple(row[c] for c in order))
-    points = {}
-    for key, values in seen.items():
-        values.sort()
-        step = max(1, len(values) // max(1, wanted[key]))
-        cuts = list(dict.fromkeys(values[step::step]))
-        if cuts:
-            run = max(1, int(len(cuts) ** 0.5))
-            points[key] = [cuts[i : i + run] for i in range(0, len(cuts), run)]
-    return points
+    position = list(dict.fromkeys([*keys, *order]))
+    if max_rows is None:
+        ranged = df.repartitionByRange(*position)
+    else:
+        ranged = df.repartitionByRange(max(1, -(-df.count() // max_rows)), *position)
+    numbered = ranged.withColumn(_SLICE, F.spark_partition_id())
+    path = shared_folder(df.sparkSession, "ranges")
+    numbered.write.parquet(path)
+    return Sliced(df.sparkSession.read.schema(numbered.schema).parquet(path), tuple(keys), tuple(order))
 
 
 _TOTALS = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
 
 
+def _same_group(keys: tuple[str, ...], prefix: str) -> list[Column]:
+    """Equality of the group columns with their prefixed copies; null keys are a group."""
+    return [F.col(k).eqNullSafe(F.col(f"{prefix}{k}")) for k in keys]
+
+
 def running(
     sliced: Sliced, values: dict[str, tuple[str, Column]], inclusive: bool = True, reverse: bool = False
 ) -> Sliced:
@@ -131,23 +69,16 @@ def running(
     Kinds: ``sum count min max last`` (``last`` skips nulls; with ``reverse`` it is the next value).
     Without ``inclusive`` the current row is left out.
     """
-    keys = list(sliced.keys)
-    split = sliced.slices > 0
     direction = [F.col(c).desc() if reverse else F.col(c).asc() for c in sliced.order]
-    parts = [*keys, _SLICE] if split else keys
     end = 0 if inclusive else -1
-    w = Window.partitionBy(*parts).orderBy(*direction).rowsBetween(Window.unboundedPreceding, end)
+    w = Window.partitionBy(*sliced.keys, _SLICE).orderBy(*direction).rowsBetween(Window.unboundedPreceding, end)
     local = {}
     for name, (kind, value) in values.items():
-        local[name] = F.last(value, ignorenulls=True).over(w) if kind == "last" else _TOTALS[kind](value).over(w)
-    if not split:
-        return replace(sliced, df=sliced.df.withColumns(local))
-
-    carry = _carry(sliced, values, reverse)
-    if sliced.slices <= MAX_SLICES + MAX_SPLIT_GROUPS:
-        carry = F.broadcast(carry)
-    on = [F.col(k).eqNullSafe(F.col(f"_c_{k}")) for k in keys] + [F.col(_SLICE) == F.col("_c_slice")]
-    out = sliced.df.withColumns({f"_l_{n}": c for n, c in local.items()}).join(carry, on, "left")
+        local[f"_l_{name}"] = F.last(value, ignorenulls=True).over(w) if kind == "last" else _TOTALS[kind](value).over(w)
+    # At most two rows per range.
+    carry = F.broadcast(_carry(sliced, values, reverse))
+    on = [*_same_group(sliced.keys, "_c_"), F.col(_SLICE) == F.col("_c_slice")]
+    out = sliced.df.withColumns(local).join(carry, on, "left")
     for name, (kind, _) in values.items():
         here, before = F.col(f"_l_{name}"), F.col(f"_c_{name}")
         if kind == "count":
@@ -159,14 +90,21 @@ def running(
         else:
             value = F.least(here, before) if kind == "min" else F.greatest(here, before)
         out = out.withColumn(name, value)
-    helpers = [f"_l_{n}" for n in values] + [f"_c_{n}" for n in values] + [f"_c_{k}" for k in keys] + ["_c_slice"]
+    helpers = [f"_l_{n}" for n in values] + [f"_c_{n}" for n in values] + [f"_c_{k}" for k in sliced.keys] + ["_c_slice"]
     return replace(sliced, df=out.drop(*helpers))
 
 
+def _spanning(sliced: Sliced) -> DataFrame:
+    """The groups that lie in more than one range, key columns prefixed with ``_s_``; at most one per range."""
+    pairs = sliced.df.select(*sliced.keys, _SLICE).distinct()
+    ranges = pairs.groupBy(*sliced.keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    return ranges.select(*[F.col(k).alias(f"_s_{k}") for k in sliced.keys])
+
+
 def _carry(sliced: Sliced, values: dict[str, tuple[str, Column]], reverse: bool) -> DataFrame:
-    """What all earlier slices of a split group add up to; one row per slice."""
+    """What all earlier ranges of a group add up to; one row per range of a group that has several."""
     keys = list(sliced.keys)
-    position = F.struct(*[F.col(c) for c in sliced.order])
+    position = F.struct(*sliced.order)
     totals = []
     for name, (kind, value) in values.items():
         if kind == "last":
@@ -175,7 +113,10 @@ def _carry(sliced: Sliced, values: dict[str, tuple[str, Column]], reverse: bool)
         else:
             total = _TOTALS[kind](value)
         totals.append(total.alias(name))
-    per_slice = sliced.df.filter(F.col(_SPLIT)).groupBy(*keys, _SLICE).agg(*totals)
+    rows = sliced.df
+    if keys:
+        rows = rows.join(F.broadcast(_spanning(sliced)), _same_group(sliced.keys, "_s_"), "left_semi")
+    per_slice = rows.groupBy(*keys, _SLICE).agg(*totals)
     direction = F.col(_SLICE).desc() if reverse else F.col(_SLICE).asc()
     before = Window.partitionBy(*keys).orderBy(direction).rowsBetween(Window.unboundedPreceding, -1)
     columns = [F.col(k).alias(f"_c_{k}") for k in keys] + [F.col(_SLICE).alias("_c_slice")]
@@ -190,9 +131,7 @@ def _carry(sliced: Sliced, values: dict[str, tuple[str, Column]], reverse: bool)
     return per_slice.select(*columns)
 
 
-def numbered_blocks(
-    df: DataFrame, keys: list[str], order: list[str], size: int, max_rows: int = MAX_GROUP_ROWS, at_most: int | None = None
-) -> DataFrame:
+def numbered_blocks(df: DataFrame, keys: list[str], order: list[str], size: int, max_rows: int | None = None) -> DataFrame:
     """Add ``block``: 0 for the first ``size`` rows of a group, 1 for the next ones, and so on."""
-    counted = running(slice_groups(df, keys, order, max_rows, at_most), {"_pos": ("count", F.lit(1))})
+    counted = running(slice_groups(df, keys, order, max_rows), {"_pos": ("count", F.lit(1))})
     return counted.rows().withColumn("block", F.floor((F.col("_pos") - 1) / size).cast("bigint")).drop("_pos")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillstone.operators.joins import HOT_ROWS, rows_with_key_in
-from rillstone.operators.ordered import MAX_GROUP_ROWS, numbered_blocks
+from rillstone.operators.ordered import numbered_blocks
 
 
 def selection(df: DataFrame, condition: Column) -> DataFrame:
@@ -39,12 +39,15 @@ def difference(left: DataFrame, right: DataFrame) -> DataFrame:
 
 def natural_join(left: DataFrame, right: DataFrame) -> DataFrame:
     """All pairs of rows that agree on the shared columns. Adaptive execution splits a skewed key."""
-    return left.join(right, [c for c in left.columns if c in right.columns])
+    shared = [c for c in left.columns if c in right.columns]
+    if not shared:
+        raise ValueError(f"no shared column to join on: {left.columns} and {right.columns}")
+    return left.join(right, shared)
 
 
 def repeated_values(df: DataFrame, column: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Rows whose value in ``column`` occurs in more than one row."""
-    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    """Rows whose value in ``column`` occurs in more than one row; null is a value like any other."""
+    counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
     return rows_with_key_in(df, counts.filter(F.col("n") > 1), [column], hot_rows)
 
 
@@ -68,27 +71,38 @@ def group_aggregate(df: DataFrame, keys: list[str], **columns: Column) -> DataFr
 
 
 def group_values(
-    df: DataFrame, key: str, value: str, tie: str, block_rows: int = 1000, max_rows: int = MAX_GROUP_ROWS
+    df: DataFrame, key: str, value: str, tie: str, block_rows: int = 1000, max_rows: int | None = None
 ) -> DataFrame:
     """Values of each key in sorted order, as ``(key, block, values)`` with at most ``block_rows`` per row.
 
     Blocks in order are the whole list; a key with few values has the single block 0. ``tie`` makes
-    the order of equal values definite.
+    the order of equal values definite. Null values are left out; a key that has no others keeps one empty block.
     """
     slim = df.select(key, value, tie).filter(F.col(value).isNotNull())
     blocks = numbered_blocks(slim, [key], [value, tie], block_rows, max_rows)
-    return blocks.groupBy(key, "block").agg(F.array_sort(F.collect_list(value)).alias("values"))
+    lists = blocks.groupBy(key, "block").agg(F.array_sort(F.collect_list(value)).alias("values"))
+    empty = df.groupBy(key).agg(F.count(value).alias("_n")).filter("_n = 0")
+    kind = lists.schema["values"].dataType
+    return lists.unionByName(empty.select(key, F.lit(0).cast("bigint").alias("block"), F.array().cast(kind).alias("values")))
 
 
-def partition_sorted(df: DataFrame, key: str, order: list[str], partitions: int) -> DataFrame:
-    """Hash partitions by key, each one sorted; the partition number is in ``partition_id``."""
-    spread = df.repartition(partitions, key).sortWithinPartitions(key, *order)
-    return spread.withColumn("partition_id", F.spark_partition_id())
+def partition_sorted(df: DataFrame, key: str, order: list[str], partitions: int | None = None) -> DataFrame:
+    """Hash partitions by key, each one sorted, as many as Spark's shuffle partitions unless told.
+
+    ``partition_id`` is the number of the partition and ``place`` grows with the rows of a partition.
+    """
+    spread = df.repartition(partitions, key) if partitions else df.repartition(F.col(key))
+    placed = spread.sortWithinPartitions(key, *order)
+    return placed.withColumn("partition_id", F.spark_partition_id()).withColumn("place", F.monotonically_increasing_id())
 
 
-def range_sort(df: DataFrame, order: list[str], partitions: int) -> DataFrame:
-    """A total order over range partitions; trailing tie columns let a frequent value span several."""
-    return df.repartitionByRange(partitions, *order).sortWithinPartitions(*order)
+def range_sort(df: DataFrame, order: list[str], partitions: int | None = None) -> DataFrame:
+    """A total order over range partitions; trailing tie columns let a frequent value span several.
+
+    ``place`` grows from row to row through all partitions.
+    """
+    ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
+    return ranged.sortWithinPartitions(*order).withColumn("place", F.monotonically_increasing_id())
 
 
 def increment(df: DataFrame, column: str) -> DataFrame:

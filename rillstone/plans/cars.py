@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rillstone.operators.events import mark_late, positions
+from rillstone.operators.relational import range_sort
 
 ARRIVAL = ["arrival", "event_id"]
 
@@ -17,10 +18,10 @@ def on_time_sorted(cars: DataFrame, delay: str = "30 SECONDS") -> DataFrame:
 
 
 def sorted_stream(cars: DataFrame, delay: str = "1 SECOND") -> DataFrame:
-    """All events in event-time order; ``output_tag`` tells late events from sorted ones."""
+    """All events in event-time order, ``place`` growing with it; ``output_tag`` tells late events from sorted ones."""
     marked = mark_late(cars, "ts", ARRIVAL, delay)
     tagged = marked.withColumn("output_tag", F.when(F.col("is_late"), "late").otherwise("sorted"))
-    return tagged.drop("is_late").orderBy("ts", "event_id")
+    return range_sort(tagged.drop("is_late"), ["ts", "event_id"])
 
 
 def late_count(cars: DataFrame, delay: str) -> DataFrame:

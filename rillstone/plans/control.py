@@ -12,7 +12,7 @@ from rillstone.functions import geo
 from rillstone.functions.text import time_text
 from rillstone.operators.events import event_time
 from rillstone.operators.joins import with_every_row
-from rillstone.operators.ordered import MAX_GROUP_ROWS, running, slice_groups
+from rillstone.operators.ordered import running, slice_groups
 from rillstone.plans.rides import distances_to
 from rillstone.schemas import RIDE_COLUMNS
 from rillstone.session import shared_folder
@@ -27,8 +27,10 @@ MAX_EVENT_DELAY = timedelta(seconds=60)
 
 def checked_predicate(text: str) -> Column:
     """A condition over ``ride.<field>`` and ``watermark`` (ms); anything else in the text is refused."""
+    if "\\" in text or text.count("'") % 2:
+        raise ValueError(f"predicate holds a backslash or an open quote: {text}")
     bare = re.sub(r"'[^']*'", " ", text)
-    if re.search(r"[;`\"\\]|--|/\*", bare):
+    if re.search(r"[;`\"]|--|/\*", bare):
         raise ValueError(f"predicate holds a forbidden character: {text}")
     for word in re.findall(r"(?<![\w.])[A-Za-z_][\w.]*", bare):
         if word.startswith("ride.") and word[5:] in RIDE_FIELDS:
@@ -111,7 +113,7 @@ QUERY_RETENTION = "15 MINUTES"
 REPORT_RETENTION = "8 HOURS"
 
 
-def active_queries(control: DataFrame, max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def active_queries(control: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Location queries with ``until``: the first control row more than 15 minutes later, if any.
 
     A row with longitude 0 only cleans up and asks nothing.
@@ -135,7 +137,7 @@ def active_reports(rides: DataFrame, queries: DataFrame) -> DataFrame:
     return reports.filter(asked).drop("since", "until")
 
 
-def nearest_taxi_expiring(rides: DataFrame, control: DataFrame, max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def nearest_taxi_expiring(rides: DataFrame, control: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Improving reports per query, for queries that expire and bests that are forgotten.
 
     A query is asked from its time until :func:`active_queries` ends it. A best report is forgotten
@@ -145,7 +147,7 @@ def nearest_taxi_expiring(rides: DataFrame, control: DataFrame, max_rows: int =
     return found.select("query_id", "taxi_id", "event_time", "distance")
 
 
-def improving_reports(reports: DataFrame, max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def improving_reports(reports: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Reports ``(query_id, event_time, ride_id, distance, ...)`` that were the best when they came.
 
     Every round of the loop finds the improving reports since the present start of all queries

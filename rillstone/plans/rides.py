@@ -12,7 +12,7 @@ from rillstone.functions import geo
 from rillstone.functions.text import whole_minutes
 from rillstone.operators.events import event_time, in_box_both_ends, latest_per_key, relevant_cell, with_event_time
 from rillstone.operators.joins import with_every_row
-from rillstone.operators.ordered import MAX_GROUP_ROWS, running, slice_groups
+from rillstone.operators.ordered import running, slice_groups
 from rillstone.schemas import FARE_COLUMNS, RIDE_COLUMNS
 
 LONG_RIDE = "2 HOURS"
@@ -34,18 +34,31 @@ def _fares_apart(fares: DataFrame) -> DataFrame:
     return fares.select(*[F.col(c).alias(f"fare_{c}") for c in FARE_COLUMNS])
 
 
-def rides_and_fares(rides: DataFrame, fares: DataFrame) -> DataFrame:
-    """START rides with their fares; fare columns are prefixed with ``fare_``."""
-    return starts(rides).join(_fares_apart(fares), F.col("ride_id") == F.col("fare_ride_id"))
+def same_ride(bound: str | None) -> Column:
+    """A ride and a fare (its columns prefixed) of one id, with a ``bound`` no further apart than that in time."""
+    same = F.col("ride_id") == F.col("fare_ride_id")
+    if bound is None:
+        return same
+    near = f"fare_start_time BETWEEN start_time - INTERVAL {bound} AND start_time + INTERVAL {bound}"
+    return same & F.expr(near)
 
 
-def unmatched_fares(rides: DataFrame, fares: DataFrame) -> DataFrame:
+def rides_and_fares(rides: DataFrame, fares: DataFrame, bound: str | None = None) -> DataFrame:
+    """START rides with their fares; fare columns are prefixed with ``fare_``.
+
+    With a ``bound`` (as "1 HOUR") pairs that start further apart do not count. A stream needs one, a table does not.
+    """
+    return starts(rides).join(_fares_apart(fares), same_ride(bound))
+
+
+def unmatched_fares(rides: DataFrame, fares: DataFrame, bound: str | None = None) -> DataFrame:
     """Fares without a START ride; rides with an id that is a multiple of 1000 count as absent."""
-    return fares.join(starts(rides, True).select("ride_id"), "ride_id", "left_anti")
+    lonely = _fares_apart(fares).join(starts(rides, True).select("ride_id", "start_time"), same_ride(bound), "left_anti")
+    return lonely.select(*[F.col(f"fare_{c}").alias(c) for c in FARE_COLUMNS])
 
 
-def unmatched_rides(rides: DataFrame, fares: DataFrame) -> DataFrame:
-    return starts(rides, True).join(fares.select("ride_id"), "ride_id", "left_anti")
+def unmatched_rides(rides: DataFrame, fares: DataFrame, bound: str | None = None) -> DataFrame:
+    return starts(rides, True).join(_fares_apart(fares).select("fare_ride_id", "fare_start_time"), same_ride(bound), "left_anti")
 
 
 def unmatched_sides(rides: DataFrame, fares: DataFrame) -> DataFrame:
@@ -99,18 +112,13 @@ def popular_places(rides: DataFrame, threshold: int = 20, inclusive: bool = True
 
 
 POPULAR_PLACES_SQL = """
-SELECT toCoords(cell) AS location, w.start AS wstart, w.end AS wend, is_start, pop_cnt
-FROM (
-  SELECT cell, is_start, window(event_time, '15 minutes', '5 minutes') AS w, count(is_start) AS pop_cnt
-  FROM (
-    SELECT event_time, is_start,
-           CASE WHEN is_start THEN toCellId(start_lon, start_lat) ELSE toCellId(end_lon, end_lat) END AS cell
-    FROM {rides}
-    WHERE isInNYC(start_lon, start_lat) AND isInNYC(end_lon, end_lat)
-  )
-  GROUP BY cell, is_start, window(event_time, '15 minutes', '5 minutes')
+WITH visits AS (
+  SELECT if(is_start, toCellId(start_lon, start_lat), toCellId(end_lon, end_lat)) AS place, is_start,
+         window(event_time, '15 minutes', '5 minutes') AS pane
+  FROM {rides} WHERE isInNYC(start_lon, start_lat) AND isInNYC(end_lon, end_lat)
 )
-WHERE pop_cnt > {threshold}
+SELECT toCoords(place) AS location, pane.start AS wstart, pane.end AS wend, is_start, count(*) AS pop_cnt
+FROM visits GROUP BY place, is_start, pane HAVING count(*) > {threshold}
 """
 
 
@@ -136,7 +144,7 @@ def _in_event_order(rides: DataFrame) -> DataFrame:
     return with_event_time(rides).withColumn("_end", ~F.col("is_start"))
 
 
-def ride_count_running(rides: DataFrame, max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def ride_count_running(rides: DataFrame, max_rows: int | None = None) -> DataFrame:
     """One row per event: how many events the driver has had so far."""
     slim = _in_event_order(rides).select("driver_id", "ride_id", "is_start", "event_time", "_end")
     counted = running(slice_groups(slim, ["driver_id"], EVENT_ORDER, max_rows), {"cnt": ("count", F.lit(1))})
@@ -174,7 +182,7 @@ def nearest_taxi(rides: DataFrame, queries: DataFrame) -> DataFrame:
 
 
 def nearest_taxi_improvements(
-    rides: DataFrame, queries: DataFrame, step: str = "5 minutes", max_rows: int = MAX_GROUP_ROWS
+    rides: DataFrame, queries: DataFrame, step: str = "5 minutes", max_rows: int | None = None
 ) -> DataFrame:
     """Reports that beat every earlier one of their location, in event-time order.
 
@@ -195,13 +203,13 @@ def nearest_taxi_improvements(
 
 
 def ongoing_rides(rides: DataFrame, thresholds: DataFrame, watermark: Column) -> DataFrame:
-    """Per threshold ``n``: taxis whose newest event is a START at least ``n`` whole minutes old."""
-    latest = latest_per_key(rides).filter("is_start")
+    """Per threshold ``n``: taxis whose newest event up to the watermark is a START at least ``n`` whole minutes old."""
+    latest = latest_per_key(rides.filter(event_time() <= watermark)).filter("is_start")
     waiting = with_every_row(latest, thresholds)
     return waiting.filter(whole_minutes(F.col("start_time"), watermark) >= F.col("n"))
 
 
-def travel_time_prediction(rides: DataFrame, max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def travel_time_prediction(rides: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Predicted minutes of each starting ride, from the finished rides before it.
 
     Per arrival cell and sector of approach, minutes are proportional to distance; the factor is
@@ -235,36 +243,37 @@ def travel_time_prediction(rides: DataFrame, max_rows: int = MAX_GROUP_ROWS) ->
 def grid_walk(x1: np.ndarray, y1: np.ndarray, x2: np.ndarray, y2: np.ndarray) -> list[np.ndarray]:
     """Cells crossed on the straight way between grid positions, for a batch of ways at once.
 
-    The walk goes west to east. On a rising way one step is diagonal close to the line, else along
-    one axis. On a falling way a diagonal step is followed by a second move, as results require.
-    Ways that would never meet their end stop after a generous number of steps.
+    All ways are walked west to east at once; ways that have come to their end leave the batch. The cell in whose column
+    the line is looked up is half a column ahead, and half a row towards the slope. Near the line a rising way takes the
+    diagonal; a falling way takes it and, as results require, makes a second move from there. A way ends at its last
+    column once its row is reached, or passed in the direction of the slope.
     """
-    swap = x1 > x2
-    x, y = np.where(swap, x2, x1).astype(np.int64), np.where(swap, y2, y1).astype(np.int64)
-    to_x, to_y = np.where(swap, x1, x2).astype(np.int64), np.where(swap, y1, y2).astype(np.int64)
-    from_x, from_y = x.copy(), y.copy()
-    slope = (to_y - from_y) / ((to_x - from_x) + 1e-8)
-    rising = slope > 0
-    limit = 4 * ((to_x - from_x) + np.abs(to_y - from_y)) + 8
-    path = [[c] for c in x + y * geo.GRID_COLUMNS]
-    for step in range(int(limit.max(initial=0))):
-        live = ((x < to_x) | (y != to_y)) & (step < limit)
-        if not live.any():
-            break
-        line = (x - from_x + 0.5) * slope + from_y + np.where(rising, -0.5, 0.5)
-        near = live & (np.abs(line - y) < 0.05)
-        up = live & rising
-        down = live & ~rising
-        across_up = up & ~near & (line < y)
-        climb = up & ~near & ~across_up
-        x = x + (near | across_up)
-        y = y + (near & rising) + climb - (near & ~rising)
-        across_down = down & (line > y)
-        x = x + across_down
-        y = y - (down & ~across_down)
-        for i in np.flatnonzero(live):
-            path[i].append(x[i] + y[i] * geo.GRID_COLUMNS)
-    return [np.asarray(p, dtype=np.int32) for p in path]
+    if not len(x1):
+        return []
+    west = np.where(x1 <= x2, [x1, y1], [x2, y2]).astype(np.int64)
+    east = np.where(x1 <= x2, [x2, y2], [x1, y1]).astype(np.int64)
+    slope = (east[1] - west[1]) / ((east[0] - west[0]) + 1e-8)
+    rises = slope > 0
+    way, x, y = np.arange(len(x1)), west[0].copy(), west[1].copy()
+    ways, cells = [way], [x + y * geo.GRID_COLUMNS]
+    while len(way):
+        ahead = np.where(rises[way], east[1][way] > y, east[1][way] < y)
+        on = (x < east[0][way]) | ahead
+        way, x, y = way[on], x[on], y[on]
+        up = rises[way]
+        line = (x - west[0][way] + 0.5) * slope[way] + west[1][way] + np.where(up, -0.5, 0.5)
+        near = np.abs(line - y) < 0.05
+        # After the diagonal a falling way goes on as it would without one.
+        y = y - (near & ~up)
+        x = x + near
+        along = np.where(up, ~near & (line < y), line > y)
+        y = y + np.where(up, near | (line >= y), -(~along).astype(np.int64))
+        x = x + along
+        ways.append(way)
+        cells.append(x + y * geo.GRID_COLUMNS)
+    way, cell = np.concatenate(ways), np.concatenate(cells).astype(np.int32)
+    order = np.argsort(way, kind="stable")
+    return np.split(cell[order], np.cumsum(np.bincount(way, minlength=len(x1)))[:-1])
 
 
 @F.pandas_udf(T.ArrayType(T.IntegerType()))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rillstone.operators.relational import range_sort
+
 # Positions of the wanted columns in the raw files, counted from zero.
 TRIP = {"taxi_id": 0, "driver_id": 1, "start": 5, "end": 6, "passengers": 7, "coordinates": (10, 11, 12, 13)}
 FARE = (0, 1, 3, 4, 8, 9, 10)
@@ -16,7 +18,7 @@ def _fields() -> Column:
 
 
 def trip_events(lines: DataFrame, line_no: str = "line_no") -> DataFrame:
-    """Two event lines per raw trip, ordered by event time; the ride id is the line number."""
+    """Two event lines per raw trip in event-time order, ``place`` growing with it; the ride id is the line number."""
     t = _fields()
     at = lambda i: F.get(t, F.lit(i))
     tail = [*[at(i) for i in TRIP["coordinates"]], at(TRIP["passengers"]), at(TRIP["taxi_id"]), at(TRIP["driver_id"])]
@@ -28,7 +30,7 @@ def trip_events(lines: DataFrame, line_no: str = "line_no") -> DataFrame:
         return F.struct(first.alias("event_time"), text.alias("value"))
 
     events = F.array(event("START", start, F.lit(UNKNOWN_TIME)), event("END", end, start))
-    return lines.select(F.inline(events)).orderBy("event_time", "value")
+    return range_sort(lines.select(F.inline(events)), ["event_time", "value"])
 
 
 def fare_records(lines: DataFrame, line_no: str = "line_no") -> DataFrame:

@@ -15,6 +15,7 @@ from rillstone.plans import rides as batch
 from rillstone.schemas import FARE_COLUMNS, RIDE_COLUMNS
 
 EVENT_DELAY = "60 seconds"
+# How far apart a ride and its fare may start, unless told; join state is kept for so long.
 PAIR_BOUND = "1 HOUR"
 
 
@@ -69,28 +70,21 @@ def _timed_fares(fares: DataFrame, delay: str) -> DataFrame:
     return fares.select(*[F.col(c).alias(f"fare_{c}") for c in FARE_COLUMNS]).withWatermark("fare_start_time", delay)
 
 
-def _same_ride():
-    """Same id and start times at most an hour apart; the bound lets old rows leave the join state."""
-    near = F.expr(
-        f"fare_start_time BETWEEN start_time - INTERVAL {PAIR_BOUND} AND start_time + INTERVAL {PAIR_BOUND}"
-    )
-    return (F.col("ride_id") == F.col("fare_ride_id")) & near
-
-
-def rides_and_fares(rides: DataFrame, fares: DataFrame, delay: str = EVENT_DELAY) -> DataFrame:
-    """Inner join of two streams. A fare must start within an hour of its ride."""
-    return _timed_starts(rides, delay).join(_timed_fares(fares, delay), _same_ride())
+def rides_and_fares(rides: DataFrame, fares: DataFrame, delay: str = EVENT_DELAY, bound: str = PAIR_BOUND) -> DataFrame:
+    """Inner join of two streams. A fare must start within ``bound`` of its ride, as in the batch form with that bound."""
+    return _timed_starts(rides, delay).join(_timed_fares(fares, delay), batch.same_ride(bound))
 
 
-def unmatched_fares(rides: DataFrame, fares: DataFrame, delay: str = EVENT_DELAY) -> DataFrame:
+def unmatched_fares(rides: DataFrame, fares: DataFrame, delay: str = EVENT_DELAY, bound: str = PAIR_BOUND) -> DataFrame:
     """Fares given up once the watermark says that no ride can follow."""
     known = _timed_starts(rides, delay, drop_reserved=True).select("ride_id", "start_time")
-    joined = _timed_fares(fares, delay).join(known, _same_ride(), "left_outer")
+    joined = _timed_fares(fares, delay).join(known, batch.same_ride(bound), "left_outer")
     return joined.filter(F.col("ride_id").isNull()).select(*[F.col(f"fare_{c}").alias(c) for c in FARE_COLUMNS])
 
 
-def unmatched_rides(rides: DataFrame, fares: DataFrame, delay: str = EVENT_DELAY) -> DataFrame:
-    joined = _timed_starts(rides, delay, drop_reserved=True).join(_timed_fares(fares, delay), _same_ride(), "left_outer")
+def unmatched_rides(rides: DataFrame, fares: DataFrame, delay: str = EVENT_DELAY, bound: str = PAIR_BOUND) -> DataFrame:
+    starts = _timed_starts(rides, delay, drop_reserved=True)
+    joined = starts.join(_timed_fares(fares, delay), batch.same_ride(bound), "left_outer")
     return joined.filter(F.col("fare_ride_id").isNull()).select(*RIDE_COLUMNS)
 
 

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from rillstone.functions import geo
 from rillstone.operators.events import event_time, segment_label
 from rillstone.operators.joins import with_every_row
-from rillstone.operators.ordered import MAX_GROUP_ROWS, running, slice_groups
+from rillstone.operators.ordered import running, slice_groups
 from rillstone.plans.control import improving_reports
 from rillstone.plans.rides import ride_cleansing
 
@@ -79,7 +79,7 @@ SEGMENT_CARRY = (
 )
 
 
-def segments_step(strict: bool = False, max_rows: int = MAX_GROUP_ROWS) -> Step:
+def segments_step(strict: bool = False, max_rows: int | None = None) -> Step:
     """Driving segments; the carry of a car is its last stop and the sums of the open run."""
 
     def step(ready: DataFrame, carry: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -146,7 +146,7 @@ def segments_step(strict: bool = False, max_rows: int = MAX_GROUP_ROWS) -> Step:
 POSITION_CARRY = "car_id BIGINT, n BIGINT"
 
 
-def positions_step(max_rows: int = MAX_GROUP_ROWS) -> Step:
+def positions_step(max_rows: int | None = None) -> Step:
     """Events of a car in order, numbered; the carry is how many there were."""
 
     def step(ready: DataFrame, carry: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -178,7 +178,7 @@ def prediction_rows(rides: DataFrame) -> DataFrame:
     )
 
 
-def predictions_step(max_rows: int = MAX_GROUP_ROWS) -> Step:
+def predictions_step(max_rows: int | None = None) -> Step:
     """Travel times from the rides seen so far; the carry is the sums of each cell and sector."""
 
     def step(ready: DataFrame, carry: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -205,7 +205,7 @@ def predictions_step(max_rows: int = MAX_GROUP_ROWS) -> Step:
 PAIR_CARRY = "rule STRING, color BIGINT, ts TIMESTAMP, seq BIGINT, opens BOOLEAN, closes BOOLEAN"
 
 
-def pairs_step(max_rows: int = MAX_GROUP_ROWS) -> Step:
+def pairs_step(max_rows: int | None = None) -> Step:
     """Rule matches; the carry is the items that still wait."""
 
     def step(ready: DataFrame, carry: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -231,7 +231,7 @@ def pair_rows(items: DataFrame, rules: DataFrame) -> DataFrame:
 REPORT_CARRY = "query_id BIGINT, ride_id BIGINT, taxi_id BIGINT, event_time TIMESTAMP, distance FLOAT"
 
 
-def closest_step(max_rows: int = MAX_GROUP_ROWS) -> Step:
+def closest_step(max_rows: int | None = None) -> Step:
     """Improving reports of expiring queries; the carry is the last report put out per query."""
 
     def step(ready: DataFrame, carry: DataFrame) -> tuple[DataFrame, DataFrame]:

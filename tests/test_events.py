@@ -80,6 +80,12 @@ def test_popular_places_border(spark):
     assert rides.popular_places_sql(spark, data, 19).count() == 3
 
 
+def test_ongoing_rides_do_not_look_ahead(spark):
+    data = [ride(1, begin=at(0), taxi=1), ride(1, False, at(0), at(500), taxi=1), ride(2, begin=at(600), taxi=1)]
+    limits = spark.createDataFrame([(30,)], "n BIGINT")
+    assert rows(rides.ongoing_rides(ride_table(spark, data), limits, F.lit(at(400))), "n", "ride_id") == [(30, 1)]
+
+
 def test_latest_and_ongoing(spark):
     data = [ride(1, begin=at(0)), ride(1, False, at(0), at(10)), ride(2, begin=at(10)), ride(3, begin=at(30), taxi=2)]
     latest = events.latest_per_key(ride_table(spark, data))
@@ -219,7 +225,7 @@ def test_expiring_queries(spark):
 
 
 def test_taxi_query_refuses_other_text(spark):
-    for text in ["1=1; drop", "java_method('a','b')", "ride.secret = 1", "x > 1", "`a`", "true -- x", "(SELECT 1) = 1"]:
+    for text in [r"'\'' = version() OR ' = '", "ride.taxi_id = '", r"'a\\' = 'b'", "1=1; drop", "java_method('a','b')", "ride.secret = 1", "x > 1", "`a`", "true -- x", "(SELECT 1) = 1"]:
         with pytest.raises(ValueError):
             control.checked_predicate(text)
     control.checked_predicate("NOT ride.is_start AND ride.taxi_id IN (1, 2) OR watermark > 5")

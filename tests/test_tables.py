@@ -69,6 +69,25 @@ def test_grouped_values_in_blocks(spark):
     assert blocks[:2] == [("A", 0, [10]), ("A", 1, [15])]
 
 
+def test_keys_without_values_keep_an_empty_list(spark):
+    keyed = table(spark, "key STRING, value INT, id INT", [("A", None, 1), ("A", None, 2), ("B", 3, 3), ("B", None, 4), (None, None, 5)])
+    assert rows(relational.group_values(keyed, "key", "value", "id")) == [("A", 0, []), ("B", 0, [3]), (None, 0, [])]
+
+
+def test_natural_join_needs_a_shared_column(spark):
+    with pytest.raises(ValueError, match="shared"):
+        relational.natural_join(table(spark, "a INT", [(1,)]), table(spark, "b INT", [(1,)]))
+
+
+def test_farthest_stations_at_opposite_ends_of_the_earth(spark):
+    places = [(1, "a", 10.0, -88.68), (2, "b", -10.0, 91.32), (3, "c", 0.0, 0.0), (4, "d", -170.0, 88.68)]
+    found = bikes.farthest_stations(table(spark, "id INT, name STRING, lat DOUBLE, long DOUBLE", places[:3])).first()
+    assert (found.station_a, found.station_b) == ("a", "b") and abs(found.km - 6371 * math.pi) < 1e-3
+    pairs = [(10.0, -88.68, -170.0, 88.68), (-88.68, 10.0, 88.68, -170.0), (0.0, 0.0, 0.0, 180.0)]
+    far = table(spark, "a DOUBLE, b DOUBLE, c DOUBLE, d DOUBLE", pairs).select(geo.haversine_km(*map(F.col, "abcd")).alias("km"))
+    assert not any(math.isnan(r.km) for r in far.collect())
+
+
 def test_partitions_are_sorted(spark):
     df = spark.range(1000).select((F.col("id") * 7919 % 1009).alias("k"), "id")
     by_hash = relational.partition_sorted(df, "k", ["id"], 3)

@@ -187,17 +187,16 @@ directed AS (
          greatest(ax, bx) AS x1, CASE WHEN ax <= bx THEN by_ ELSE ay END AS y1 FROM ways),
 sloped AS (SELECT *, (y1 - y0) / (x1 - x0 + 0.00000001e0) AS slope FROM directed),
 walk AS (
-  SELECT way, n, x0, y0, x1, y1, slope, x0 AS x, y0 AS y, 0 AS step FROM sloped
+  SELECT way, n, x0, y0, x1, y1, slope, x0 AS x, y0 AS y FROM sloped
   UNION ALL
   SELECT way, n, x0, y0, x1, y1, slope,
          x + CASE WHEN slope > 0 THEN (near OR line < y)::INTEGER
                   ELSE near::INTEGER + (line > y - near::INTEGER)::INTEGER END,
          y + CASE WHEN slope > 0 THEN (near OR line >= y)::INTEGER
-                  ELSE -near::INTEGER - (line <= y - near::INTEGER)::INTEGER END,
-         step + 1
+                  ELSE -near::INTEGER - (line <= y - near::INTEGER)::INTEGER END
   FROM (SELECT *, (x - x0 + 0.5e0) * slope + y0 + CASE WHEN slope > 0 THEN -0.5e0 ELSE 0.5e0 END AS line,
                abs(line - y) < 0.05e0 AS near
-        FROM walk WHERE (x < x1 OR y <> y1) AND step < 4 * (x1 - x0 + abs(y1 - y0)) + 8))
+        FROM walk WHERE x < x1 OR y <> y1))
 SELECT cell, CAST(sum(n) AS BIGINT) AS rides
 FROM (SELECT DISTINCT way, n, CAST(x + y * 250 AS INTEGER) AS cell FROM walk) GROUP BY cell"""
 
@@ -256,7 +255,8 @@ ORACLE: dict[str, str] = {
     "set_union": "SELECT c_nationkey AS nation FROM customer UNION SELECT s_nationkey FROM supplier WHERE s_acctbal > 5000",
     "set_union_all": "SELECT c_nationkey AS nation FROM customer UNION ALL SELECT s_nationkey FROM supplier WHERE s_acctbal > 5000",
     "set_intersect": "SELECT c_nationkey AS nation FROM customer INTERSECT SELECT s_nationkey FROM supplier WHERE s_acctbal > 5000",
-    "set_difference": "SELECT c_custkey AS key FROM customer EXCEPT SELECT o_custkey FROM orders",
+    "set_difference": """SELECT c_nationkey AS nation, c_mktsegment AS segment FROM customer
+        EXCEPT SELECT s_nationkey, 'MACHINERY' FROM supplier WHERE s_acctbal > 5000""",
     "repeated_values": """SELECT o_orderkey, round(o_totalprice, 6) AS o_totalprice FROM orders
         WHERE o_totalprice IN (SELECT o_totalprice FROM orders GROUP BY o_totalprice HAVING count(*) > 1)""",
     "dedup_first": """SELECT o_custkey, o_orderkey, round(o_totalprice, 6) AS o_totalprice FROM (
@@ -271,8 +271,10 @@ ORACLE: dict[str, str] = {
     "group_collect": """SELECT o_orderpriority, block, string_agg(CAST(o_custkey AS VARCHAR), ' ' ORDER BY o_custkey) AS "values" FROM (
         SELECT o_orderpriority, o_custkey, (row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_custkey, o_orderkey) - 1) // 1000 AS block
         FROM orders) GROUP BY ALL""",
-    "partition_sorted": "SELECT o_custkey, o_orderkey FROM orders",
-    "range_sort": "SELECT round(o_totalprice, 6) AS o_totalprice, o_orderkey FROM orders ORDER BY o_totalprice, o_orderkey",
+    "partition_sorted": """SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS offset_in_key
+        FROM orders""",
+    "range_sort": """SELECT round(o_totalprice, 6) AS o_totalprice, o_orderkey,
+        row_number() OVER (ORDER BY o_totalprice, o_orderkey) AS pos FROM orders""",
     "increment_map": "SELECT o_orderkey + 1 AS o_orderkey FROM orders",
     "map_reduce_udf": """SELECT o_orderpriority AS priority, round(avg(o_totalprice), 6) AS mean_price, count(*) AS n
         FROM orders GROUP BY o_orderpriority""",
@@ -329,8 +331,9 @@ ORACLE: dict[str, str] = {
     "trips_to_ride_events": f"""WITH {TRIP_BASE}, timed AS (
           SELECT *, strftime({_at('s_off')}, {_TIME}) AS s, strftime({_at('s_off + dur')}, {_TIME}) AS e,
                  concat_ws(',', start_lon, start_lat, end_lon, end_lat, 1 + ride_id % 5, taxi_id, driver_id) AS tail FROM trip_place)
-        SELECT s AS event_time, concat_ws(',', ride_id, 'START', s, '{EPOCH_TEXT}', tail) AS value FROM timed
-        UNION ALL SELECT e, concat_ws(',', ride_id, 'END', e, s, tail) FROM timed""",
+        SELECT *, row_number() OVER (ORDER BY event_time, value) AS pos FROM (
+          SELECT s AS event_time, concat_ws(',', ride_id, 'START', s, '{EPOCH_TEXT}', tail) AS value FROM timed
+          UNION ALL SELECT e, concat_ws(',', ride_id, 'END', e, s, tail) FROM timed)""",
     "raw_fares_normalize": f"""WITH {TRIP_BASE}, {FARES}
         SELECT concat_ws(',', ride_id, taxi_id, driver_id, strftime(start_time, {_TIME}), payment_type, tip, '0.0', total_fare) AS value
         FROM fares""",
@@ -381,7 +384,8 @@ ORACLE: dict[str, str] = {
     "nearest_taxi_expiring": _rounded(EXPIRING, "distance"),
     "ongoing_rides": _rides(
         f""", latest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY taxi_id
-          ORDER BY event_time DESC, is_start, ride_id DESC) AS rn FROM rides) WHERE rn = 1)
+          ORDER BY event_time DESC, is_start, ride_id DESC) AS rn FROM rides
+          WHERE event_time <= TIMESTAMP '2013-01-01 12:00:00') WHERE rn = 1)
         SELECT {RIDE_COLS}, n FROM latest, (VALUES (30::BIGINT), (60), (120)) AS v(n)
         WHERE is_start AND trunc((epoch_ms(TIMESTAMP '2013-01-01 12:00:00') - epoch_ms(start_time)) / 60000e0) >= n""", *COORDINATES),
     "taxi_query": TAXI_QUERY,
@@ -402,7 +406,7 @@ ORACLE: dict[str, str] = {
     "car_event_sort": _rounded(f"""WITH {CARS} SELECT car_id, event_id, ts, arrival, speed, throttle,
         row_number() OVER (PARTITION BY car_id ORDER BY ts, event_id) AS pos FROM marked WHERE NOT is_late""", "speed", "throttle"),
     "stream_sort": _rounded(f"""WITH {CARS} SELECT car_id, event_id, ts, arrival, speed, throttle,
-        CASE WHEN is_late THEN 'late' ELSE 'sorted' END AS output_tag FROM marked""", "speed", "throttle"),
+        CASE WHEN is_late THEN 'late' ELSE 'sorted' END AS output_tag, row_number() OVER (ORDER BY ts, event_id) AS pos FROM marked""", "speed", "throttle"),
     "late_events": f"WITH {CARS} SELECT 'LATE' AS tag, count(*) AS cnt FROM marked WHERE is_late",
     "events_per_user_second": f"""WITH {CARS} SELECT car_id AS user_id, date_trunc('second', ts) AS window_start, count(*) AS cnt
         FROM marked WHERE NOT is_late GROUP BY ALL""",
