@@ -257,7 +257,8 @@ def style_tree(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
     m = F.col("m")
     look = F.when(m > 1, (F.log(m) - F.coalesce("style", F.lit(0.0)) / m) / F.log(m)).otherwise(1.0)
     common = F.when(m > 1, F.coalesce("spread", F.lit(0.0)) / F.log(m)).otherwise(0.0)
-    own = own.select("host", "path", "m", look.alias("look"), "texts", common.alias("common"))
+    # Written down, as it is read twice below and pages are long to parse.
+    own = saved(own.select("host", "path", "m", look.alias("look"), "texts", common.alias("common")), "elements")
     # Contents of a branch: its own and those of all elements below it.
     steps = F.split("path", ">")
     above = F.transform(F.sequence(F.lit(2), F.size(steps)), lambda k: F.array_join(F.slice(steps, 1, k), ">"))
