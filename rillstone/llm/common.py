@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rillstone.session import shared_folder
@@ -32,6 +33,15 @@ def saved(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def with_fixed(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` with a column that is worked out once per row, whatever later filters and expressions make of it.
+
+    A plain column may be put in place of its name, also inside lambdas, when a filter is pushed down. Rows of a
+    generator are not.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def fields(ddl: str) -> list[T.StructField]:
     return list(T.StructType.fromDDL(ddl).fields)
 

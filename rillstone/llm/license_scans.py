@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillstone.llm.common import table
+from rillstone.llm.common import table, with_fixed
 
 SHINGLE = 5
 BANDS = 24
@@ -153,13 +153,13 @@ def find_licenses(docs: DataFrame, templates=TEMPLATES, text: str = "text") -> D
     for name, notice in templates:
         t = Template(name, notice)
         sized[len(t.shingles)].append(t)
-    out = docs.withColumn("_words", words_of(F.col(text)))
+    out = with_fixed(docs.drop("_words", "_hashes"), "_words", words_of(F.col(text)))
     words = F.col("_words")
     joined = F.transform(
         F.slice(words, 1, F.greatest(F.size(words) - SHINGLE + 1, F.lit(0))),
         lambda w, i: F.xxhash64(F.concat_ws(" ", w, *[F.get(words, i + k) for k in range(1, SHINGLE)])),
     )
-    out = out.withColumn("_hashes", joined)
+    out = with_fixed(out, "_hashes", joined)
     every = sorted({k for ts in sized.values() for t in ts for k in t.keys})
     out = out.withColumn("_some", F.exists("_hashes", lambda h: h.isin(every)))
     parts = [F.coalesce(_found(ts, words, F.col("_hashes")), F.array().cast(MATCH)) for _, ts in sorted(sized.items())]

@@ -15,7 +15,7 @@ from math import log
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillstone.llm.common import table
+from rillstone.llm.common import table, with_fixed
 
 SPACE = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -87,7 +87,7 @@ def bucket_ratios(
     marked = trusted.select(F.col(trusted.columns[0]).alias("_id")).filter("_id IS NOT NULL").distinct()
     marked = marked.withColumn("_trusted", F.lit(1)).hint("shuffle_hash")
     texts = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"))
-    joined = texts.join(marked, "_id", "left").select("_trusted", words_of(F.col("_text")).alias("_words"))
+    joined = with_fixed(texts.join(marked, "_id", "left"), "_words", words_of(F.col("_text")))
     grams = joined.select("_trusted", F.explode(buckets_of(F.col("_words"), buckets)).alias("b"))
     counts = grams.groupBy("b").agg(F.count(F.lit(1)).alias("raw"), F.count("_trusted").alias("own")).collect()
     raw, own = [0] * buckets, [0] * buckets
@@ -111,7 +111,7 @@ def judge(docs: DataFrame, weights: list[int], text: str = "text", threshold: fl
     """
     known = F.from_json(F.lit(json.dumps(weights)), "array<bigint>")
     t, words = F.coalesce(F.col(text), F.lit("")), F.col("_words")
-    out = docs.withColumn("_words", words_of(F.col(text)))
+    out = with_fixed(docs.drop("_words"), "_words", words_of(F.col(text)))
     total = F.aggregate(buckets_of(words, len(weights)), F.lit(0).cast("bigint"), lambda a, b: a + F.get(known, b))
     out = out.withColumns(
         {
