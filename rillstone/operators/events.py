@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillstone.functions import geo
-from rillstone.operators.joins import with_every_row
 from rillstone.operators.ordered import running, slice_groups
 from rillstone.schemas import RIDE_COLUMNS
 
@@ -41,11 +40,15 @@ def latest_per_key(rides: DataFrame, key: str = "taxi_id") -> DataFrame:
 
 
 def mark_late(
-    df: DataFrame, ts: str, arrival: list[str], delay: str, max_rows: int | None = None
+    df: DataFrame, ts: str, arrival: list[str], delay: str, max_rows: int | None = None, newest: Column | None = None
 ) -> DataFrame:
-    """Add ``is_late``: at or before the newest earlier arrival minus ``delay``, over the whole stream."""
+    """Add ``is_late``: at or before the newest earlier arrival minus ``delay``, over the whole stream.
+
+    ``newest`` is the newest time of what came before these rows, if anything did.
+    """
     seen = running(slice_groups(df, [], arrival, max_rows), {"_newest": ("max", F.col(ts))}, inclusive=False)
-    late = F.col(ts) <= F.col("_newest") - F.expr(f"INTERVAL {delay}")
+    before = F.col("_newest") if newest is None else F.greatest("_newest", newest)
+    late = F.col(ts) <= before - F.expr(f"INTERVAL {delay}")
     return seen.rows().withColumn("is_late", F.coalesce(late, F.lit(False))).drop("_newest")
 
 
@@ -105,11 +108,14 @@ def driving_segments(df: DataFrame, strict: bool = False, max_rows: int | None =
     return kept.drop("_run", "_closed").withColumn("label", segment_label(F.col("erraticness")))
 
 
+def by_shape(rules: DataFrame) -> DataFrame:
+    """Rules keyed by each shape that they name."""
+    return rules.withColumn("shape", F.explode(F.array_distinct(F.array("first_shape", "second_shape"))))
+
+
 def rule_pairs(items: DataFrame, rules: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Each item of a rule's first shape with the next item of its second shape in the same colour."""
-    picked = with_every_row(items, rules).filter(
-        (F.col("shape") == F.col("first_shape")) | (F.col("shape") == F.col("second_shape"))
-    )
+    picked = items.join(by_shape(rules), "shape")
     s = slice_groups(picked, ["rule", "color"], ["seq"], max_rows)
     closing = F.when(F.col("shape") == F.col("second_shape"), F.col("seq"))
     s = running(s, {"second_seq": ("last", closing)}, inclusive=False, reverse=True)

@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 from datetime import datetime, timedelta, timezone
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,9 +15,8 @@ from rillstone.functions.text import time_text
 from rillstone.operators.events import event_time
 from rillstone.operators.joins import with_every_row
 from rillstone.operators.ordered import running, slice_groups
-from rillstone.plans.rides import distances_to
+from rillstone.plans.rides import ride_ends, with_distance
 from rillstone.schemas import RIDE_COLUMNS
-from rillstone.session import shared_folder
 from rillstone.sources.lines import ride_line
 
 # What the text of an ad-hoc predicate may contain.
@@ -131,10 +132,19 @@ def active_queries(control: DataFrame, max_rows: int | None = None) -> DataFrame
 
 
 def active_reports(rides: DataFrame, queries: DataFrame) -> DataFrame:
-    """Distances to the locations that are asked for at the time of the ride's end."""
-    reports = distances_to(rides, queries.withColumnRenamed("ts", "since"), keep_times=True)
+    """Distances to the locations that are asked for at the time of the ride's end.
+
+    Rides meet the queries that end by the hour; only queries without an end, those of the last quarter of an hour of the
+    control rows, are put to every ride.
+    """
+    timed = queries.withColumnRenamed("ts", "since")
+    hour = lambda c: F.floor(F.unix_seconds(c) / 3600)
+    ends = ride_ends(rides)
+    closed = timed.filter("until IS NOT NULL").withColumn("_hour", F.explode(F.sequence(hour(F.col("since")), hour(F.col("until")))))
+    met = ends.withColumn("_hour", hour(F.col("event_time"))).join(closed, "_hour").drop("_hour")
+    always = with_every_row(ends, timed.filter("until IS NULL"))
     asked = (F.col("event_time") >= F.col("since")) & (F.col("until").isNull() | (F.col("event_time") < F.col("until")))
-    return reports.filter(asked).drop("since", "until")
+    return with_distance(met.unionByName(always).filter(asked))
 
 
 def nearest_taxi_expiring(rides: DataFrame, control: DataFrame, max_rows: int | None = None) -> DataFrame:
@@ -147,46 +157,85 @@ def nearest_taxi_expiring(rides: DataFrame, control: DataFrame, max_rows: int |
     return found.select("query_id", "taxi_id", "event_time", "distance")
 
 
+_KEEP_MICROS = 8 * 3600 * 10**6  # REPORT_RETENTION
+_NO_TIME = -(1 << 62)
+_SUMMARY = (
+    "query_id BIGINT, slice INT, low ARRAY<DOUBLE>, low_prev ARRAY<BIGINT>, low_t ARRAY<BIGINT>, low_d ARRAY<DOUBLE>, "
+    "run_last ARRAY<BIGINT>, run_t ARRAY<BIGINT>, run_d ARRAY<DOUBLE>"
+)
+
+
+def _in_order(pdf: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray, np.ndarray, np.ndarray]:
+    """The reports of a range in order, their times and distances, and the next report that replaces each.
+
+    A report is replaced by the first later one that is nearer or comes when it is forgotten; the length of the range
+    stands for one beyond it.
+    """
+    pdf = pdf.sort_values(["t", "ride_id"], kind="stable")
+    t, d = pdf["t"].to_numpy("i8"), np.nan_to_num(pdf["distance"].to_numpy("f8"), nan=np.inf)
+    nearer, open_ = np.full(len(t), len(t)), []
+    for i, here in enumerate(d.tolist()):
+        while open_ and d[open_[-1]] > here:
+            nearer[open_.pop()] = i
+        open_.append(i)
+    return pdf, t, d, np.minimum(nearer, np.searchsorted(t, t + _KEEP_MICROS, "right"))
+
+
+def _summarised(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+    """What a range does to any best report that enters it: where it is first replaced, and what is best in the end."""
+    _, t, d, after = _in_order(pdf)
+    end = np.arange(len(t))
+    for i in range(len(t) - 1, -1, -1):
+        if after[i] < len(t):
+            end[i] = end[after[i]]
+    before = np.minimum.accumulate(np.concatenate([[np.inf], d[:-1]]))
+    low = np.flatnonzero((d < before) | (np.arange(len(t)) == 0))
+    last = np.flatnonzero(np.append(end[1:] != end[:-1], True))
+    lists = [d[low], np.where(low > 0, t[low - 1], _NO_TIME), t[end[low]], d[end[low]], t[last], t[end[last]], d[end[last]]]
+    return pd.DataFrame([[*key, *(v.tolist() for v in lists)]], columns=[c.split()[0] for c in _SUMMARY.split(", ")])
+
+
+def _entered(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+    """The best report with which each range of a query is entered, from the summaries of the ranges."""
+    t, d, rows = _NO_TIME, np.inf, []
+    for r in pdf.sort_values("slice").itertuples():
+        rows.append((key[0], r.slice, t, d))
+        forgotten = t if t == _NO_TIME else t + _KEEP_MICROS
+        near = np.searchsorted(-np.asarray(r.low), -d, "right")
+        run = np.searchsorted(np.asarray(r.run_last), forgotten, "right")
+        if near < len(r.low) and r.low_prev[near] <= forgotten:
+            t, d = r.low_t[near], r.low_d[near]
+        elif run < len(r.run_last):
+            t, d = r.run_t[run], r.run_d[run]
+    return pd.DataFrame(rows, columns=["query_id", "slice", "in_t", "in_d"])
+
+
+def _kept(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The reports of a range that are the best when they come."""
+    pdf, t, d, after = _in_order(pdf)
+    in_t, in_d = int(pdf["in_t"].iloc[0]), float(pdf["in_d"].iloc[0])
+    forgotten = in_t if in_t == _NO_TIME else in_t + _KEEP_MICROS
+    near = np.flatnonzero(d < in_d)
+    i = min(near[0] if len(near) else len(t), np.searchsorted(t, forgotten, "right"))
+    best = np.zeros(len(t), bool)
+    while i < len(t):
+        best[i] = True
+        i = after[i]
+    return pdf[best].drop(columns=["t", "in_t", "in_d", "slice"])
+
+
 def improving_reports(reports: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Reports ``(query_id, event_time, ride_id, distance, ...)`` that were the best when they came.
 
-    Every round of the loop finds the improving reports since the present start of all queries
-    together and where they end, so there are as many rounds as the longest-lived query has starts.
+    Reports are dealt into ranges of (query, time). A range is summed up as what it does to any best report that enters
+    it, in short lists. The summaries of a query in order tell with which report each range is entered, and the ranges
+    then mark their own reports. The number of jobs does not depend on how often reports are forgotten.
     """
-    spark = reports.sparkSession
-    home = shared_folder(spark, "nearest-taxi")
-    schema = reports.schema
-    reports.write.parquet(f"{home}/reports")
-    reports = spark.read.schema(schema).parquet(f"{home}/reports")
-    forgotten_after = F.expr(f"INTERVAL {REPORT_RETENTION}")
-    place = F.struct("event_time", "ride_id")
-
-    begin = reports.groupBy("query_id").agg(F.min(place).alias("begin"))
-    round_no = 0
-    while True:
-        begin.write.parquet(f"{home}/begin/round={round_no}")
-        begin = spark.read.schema(begin.schema).parquet(f"{home}/begin/round={round_no}")
-        if not begin.limit(1).collect():
-            break
-        since = reports.join(begin, "query_id").filter(place >= F.col("begin"))
-        s = slice_groups(since.select(*schema.names), ["query_id"], ["event_time", "ride_id"], max_rows)
-        s = running(s, {"_best": ("min", F.col("distance"))}, inclusive=False)
-        better = s.filter(F.col("_best").isNull() | (F.col("distance") < F.col("_best"))).rows().drop("_best")
-        better.write.parquet(f"{home}/better/round={round_no}")
-        better = spark.read.schema(better.schema).parquet(f"{home}/better/round={round_no}")
-        s = slice_groups(better, ["query_id"], ["event_time", "ride_id"], max_rows)
-        s = running(s, {"_next": ("last", F.col("event_time"))}, inclusive=False, reverse=True)
-        stale = F.col("_next").isNull() | (F.col("_next") > F.col("event_time") + forgotten_after)
-        ends = s.rows().filter(stale).groupBy("query_id").agg(F.min("event_time").alias("last_better"))
-        kept = better.join(ends, "query_id").filter(F.col("event_time") <= F.col("last_better"))
-        kept.select(*schema.names).write.parquet(f"{home}/kept/round={round_no}")
-        begin = (
-            reports.join(ends, "query_id")
-            .filter(F.col("event_time") > F.col("last_better") + forgotten_after)
-            .groupBy("query_id")
-            .agg(F.min(place).alias("begin"))
-        )
-        round_no += 1
-    if round_no == 0:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(*[f"{home}/kept/round={i}" for i in range(round_no)])
+    names = reports.columns
+    ranged = slice_groups(reports, ["query_id"], ["event_time", "ride_id"], max_rows).df
+    timed = ranged.withColumnRenamed("_slice", "slice").withColumn("t", F.unix_micros("event_time"))
+    slim = timed.select("query_id", "slice", "t", "ride_id", "distance")
+    summaries = slim.groupBy("query_id", "slice").applyInPandas(_summarised, _SUMMARY)
+    entered = summaries.groupBy("query_id").applyInPandas(_entered, "query_id BIGINT, slice INT, in_t BIGINT, in_d DOUBLE")
+    met = timed.join(entered, ["query_id", "slice"]).select(*names, "slice", "t", "in_t", "in_d")
+    return met.groupBy("query_id", "slice").applyInPandas(_kept, reports.schema)

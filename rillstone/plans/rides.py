@@ -161,18 +161,21 @@ def long_rides(rides: DataFrame, nyc_only: bool = False) -> DataFrame:
     return events.filter("is_start").join(ends, in_time, "left_anti")
 
 
-def distances_to(rides: DataFrame, queries: DataFrame, keep_times: bool = False) -> DataFrame:
-    """Distance of every finished ride's end to every asked location.
-
-    ``keep_times`` passes on the columns ``since`` and ``until`` of the queries.
-    """
+def ride_ends(rides: DataFrame) -> DataFrame:
+    """Where and when taxis have finished a ride."""
     ends = with_event_time(rides).filter(~F.col("is_start"))
-    slim = ends.select("ride_id", "taxi_id", "event_time", "end_lon", "end_lat")
+    return ends.select("ride_id", "taxi_id", "event_time", "end_lon", "end_lat")
+
+
+def with_distance(met: DataFrame) -> DataFrame:
+    """Ends of rides next to asked locations, with the distance."""
     km = geo.planar_km(F.col("lon"), F.col("lat"), F.col("end_lon"), F.col("end_lat")).cast("float")
-    times = ["since", "until"] if keep_times else []
-    return with_every_row(slim, queries).select(
-        "query_id", "ride_id", "taxi_id", "event_time", km.alias("distance"), *times
-    )
+    return met.select("query_id", "ride_id", "taxi_id", "event_time", km.alias("distance"))
+
+
+def distances_to(rides: DataFrame, queries: DataFrame) -> DataFrame:
+    """Distance of every finished ride's end to every asked location."""
+    return with_distance(with_every_row(ride_ends(rides), queries))
 
 
 def nearest_taxi(rides: DataFrame, queries: DataFrame) -> DataFrame:

@@ -22,6 +22,9 @@ from rillstone.streaming.steps import OrderedSteps, Step
 FLUSH_TIME = datetime(2100, 1, 1, tzinfo=timezone.utc)
 # Watermark delay for replays whose file order says nothing about event time.
 REPLAY_DELAY = "60 days"
+# A replay in steps has at least so many, and more when a step would have more rows than this.
+STEPS = 4
+STEP_ROWS = 1_000_000
 
 
 def table_stream(spark: SparkSession, folder: str, name: str, files_per_batch: int | None = None) -> DataFrame:
@@ -33,6 +36,22 @@ def table_stream(spark: SparkSession, folder: str, name: str, files_per_batch: i
     return reader.parquet(f"{folder}/{name}.parque[t]")
 
 
+def stepped_stream(df: DataFrame, order: str, home: str, steps: int = STEPS) -> DataFrame:
+    """A table as a stream of files that follow each other in ``order`` (a time), one per micro-batch.
+
+    Each step is a stretch of time of equal length, written as one file of bounded size.
+    """
+    spark = df.sparkSession
+    n, low, high = df.agg(F.count(F.lit(1)), F.unix_micros(F.min(order)), F.unix_micros(F.max(order))).first()
+    steps = max(steps, -(-n // STEP_ROWS))
+    width = ((high or 0) - (low or 0)) // steps + 1
+    number = F.floor((F.unix_micros(order) - F.lit(low or 0)) / width)
+    df.limit(0).write.mode("overwrite").parquet(home)
+    for i in range(steps):
+        df.filter(number == i).coalesce(1).write.mode("append").parquet(home)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(home)
+
+
 @dataclass
 class Replay:
     """Input streams with their flush rows, and the home of checkpoint and output."""
@@ -41,6 +60,7 @@ class Replay:
     name: str
     home: str = ""
     flushes: list[tuple[str, DataFrame]] = field(default_factory=list)
+    sources: int = 0
 
     def __post_init__(self):
         prepare(self.spark)
@@ -73,9 +93,16 @@ class Replay:
         self._run(start)
         return self.spark.read.schema(result.schema).parquet(out)
 
-    def steps(self, source: DataFrame, ts: str, delay: str, step: Step, carry_schema: str, out_schema: str) -> DataFrame:
+    def stepped(self, df: DataFrame, order: str) -> DataFrame:
+        """The table as a stream in ``order`` (see :func:`stepped_stream`)."""
+        self.sources += 1
+        return stepped_stream(df, order, f"{self.home}/source-{self.sources}")
+
+    def steps(
+        self, source: DataFrame, ts: str, delay: str, step: Step, carry_schema: str, out_schema: str, arrival: tuple[str, ...] = ()
+    ) -> DataFrame:
         """Ordered operator by steps (see :mod:`rillstone.streaming.steps`), as a table."""
-        fold = OrderedSteps(self.home, ts, delay, step, carry_schema)
+        fold = OrderedSteps(self.home, ts, delay, step, carry_schema, arrival)
 
         def start():
             writer = source.writeStream.foreachBatch(fold)
@@ -84,6 +111,10 @@ class Replay:
         self._run(start)
         return self.spark.read.schema(out_schema).parquet(f"{self.home}/out/*")
 
+    def late(self, schema: T.StructType) -> DataFrame:
+        """The late rows of a run by steps."""
+        return self.spark.read.schema(schema).parquet(f"{self.home}/late/*")
+
     def latest(self, result: DataFrame, keys: list[str]) -> DataFrame:
         """Update-mode result as a table of the newest row per key.
 

@@ -2,13 +2,13 @@
 
 A keyed stateful operator handles all rows of a key in one task, row by row. Here every micro-batch
 runs the batch form over the rows that its watermark has passed, so a key of any size is cut into
-slices and handled by all tasks. Between batches there is
+ranges and handled by all tasks. Between batches there is
 
-* a log of the rows on time, written once, from which each step reads its range of event time;
+* a table of pending rows, which the watermark has not passed yet: as many as the delay spans;
 * a small carry table, one row per key (or per waiting item), that the next step puts in front.
 
-All of it lies on shared storage under the number of the batch. A repeated batch starts from the
-carry of the one before and replaces what its first attempt wrote.
+All of it lies on shared storage under the number of the batch. A repeated batch starts from what the
+one before left and replaces what its first attempt wrote; what no batch can need again is deleted.
 """
 
 from __future__ import annotations
@@ -16,12 +16,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillstone.functions import geo
-from rillstone.operators.events import event_time, segment_label
-from rillstone.operators.joins import with_every_row
+from rillstone.operators.events import by_shape, event_time, mark_late, segment_label
 from rillstone.operators.ordered import running, slice_groups
 from rillstone.plans.control import improving_reports
 from rillstone.plans.rides import ride_cleansing
@@ -34,7 +33,8 @@ class OrderedSteps:
     """A ``foreachBatch`` function. ``step(ready, carry)`` gives the rows to put out and the new carry.
 
     The watermark is the newest event time seen before or in the batch, less ``delay``. Rows at or
-    behind the watermark of the batch before are late and dropped.
+    behind the watermark of the batch before are late. With ``arrival``, columns that order the rows as they
+    came, lateness is told row by row, as :func:`mark_late` tells it for a table. Late rows go to ``late``.
     """
 
     home: str
@@ -42,36 +42,48 @@ class OrderedSteps:
     delay: str
     step: Step
     carry_schema: str
+    arrival: tuple[str, ...] = ()
 
     def __call__(self, batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        passed, version = None, -1
+        spark, home, schema = batch.sparkSession, self.home, batch.schema
+        read = lambda name, kind: spark.read.schema(kind).parquet(f"{home}/{name}")
+        newest = passed = None
         if number > 0:
-            known = spark.read.parquet(f"{self.home}/state/{number - 1}").first()
-            passed, version = known["watermark"], known["carry"]
-        fresh = batch if passed is None else batch.filter(F.unix_micros(self.ts) > passed)
-        fresh.write.mode("overwrite").parquet(f"{self.home}/rows/batch={number}")
-        log = spark.read.schema(batch.schema).parquet(f"{self.home}/rows/batch={number}")
-        newest = log.agg(F.unix_micros(F.max(self.ts) - F.expr(f"INTERVAL {self.delay}"))).first()[0]
-        watermark = max((w for w in (passed, newest) if w is not None), default=None)
-        if watermark is not None and watermark != passed:
-            upto = F.col(self.ts) <= F.timestamp_micros(F.lit(watermark))
-            after = F.lit(True) if passed is None else F.col(self.ts) > F.timestamp_micros(F.lit(passed))
-            ready = spark.read.schema(batch.schema).parquet(
-                *[f"{self.home}/rows/batch={i}" for i in range(number + 1)]
-            ).filter(upto & after)
-            carry = (
-                spark.createDataFrame([], self.carry_schema) if version < 0
-                else spark.read.schema(self.carry_schema).parquet(f"{self.home}/carry/{version}")
-            )
-            out, carry = self.step(ready, carry)
-            out.write.mode("overwrite").parquet(f"{self.home}/out/batch={number}")
-            carry.write.mode("overwrite").parquet(f"{self.home}/carry/{number}")
-            version = number
+            known = spark.read.parquet(f"{home}/state/{number - 1}").first()
+            newest, passed = known["newest"], known["watermark"]
+        micros = lambda value: F.timestamp_micros(F.lit(value))
+        if self.arrival:
+            before = None if newest is None else micros(newest)
+            marked = mark_late(batch, self.ts, list(self.arrival), self.delay, newest=before)
         else:
-            log.limit(0).select(F.lit(1).alias("none")).write.mode("overwrite").parquet(f"{self.home}/out/batch={number}")
-        state = spark.createDataFrame([(watermark, version)], "watermark BIGINT, carry BIGINT")
-        state.coalesce(1).write.mode("overwrite").parquet(f"{self.home}/state/{number}")
+            marked = batch.withColumn("is_late", F.lit(False) if passed is None else F.unix_micros(self.ts) <= passed)
+        marked.write.mode("overwrite").parquet(f"{home}/rows/{number}")
+        rows = read(f"rows/{number}", marked.schema)
+        rows.filter("is_late").drop("is_late").write.mode("overwrite").parquet(f"{home}/late/batch={number}")
+        fresh = rows.filter("NOT is_late").drop("is_late")
+        seen = rows.agg(F.unix_micros(F.max(self.ts)).alias("at"), F.unix_micros(F.max(self.ts) - F.expr(f"INTERVAL {self.delay}"))).first()
+        newest = max((t for t in (newest, seen[0]) if t is not None), default=None)
+        watermark = max((t for t in (passed, seen[1]) if t is not None), default=None)
+        waiting = fresh if number == 0 else fresh.unionByName(read(f"pending/{number - 1}", schema))
+        carry = spark.createDataFrame([], self.carry_schema) if number == 0 else read(f"carry/{number - 1}", self.carry_schema)
+        if watermark != passed:
+            upto = F.col(self.ts) <= micros(watermark)
+            out, carry = self.step(waiting.filter(upto), carry)
+            waiting = waiting.filter(~upto)
+            out.write.mode("overwrite").parquet(f"{home}/out/batch={number}")
+        else:
+            rows.limit(0).select(F.lit(1).alias("none")).write.mode("overwrite").parquet(f"{home}/out/batch={number}")
+        carry.write.mode("overwrite").parquet(f"{home}/carry/{number}")
+        waiting.write.mode("overwrite").parquet(f"{home}/pending/{number}")
+        pending = spark.read.schema(schema).parquet(f"{home}/pending/{number}").count()
+        state = spark.createDataFrame([(newest, watermark, pending)], "newest BIGINT, watermark BIGINT, pending BIGINT")
+        state.coalesce(1).write.mode("overwrite").parquet(f"{home}/state/{number}")
+        self._forget(spark, number - 2)
+
+    def _forget(self, spark: SparkSession, number: int) -> None:
+        for name in ("rows", "carry", "pending"):
+            old = spark._jvm.org.apache.hadoop.fs.Path(f"{self.home}/{name}/{number}")
+            old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
 
 
 SEGMENT_CARRY = (
@@ -224,7 +236,7 @@ def pairs_step(max_rows: int | None = None) -> Step:
 def pair_rows(items: DataFrame, rules: DataFrame) -> DataFrame:
     """Items next to the rules they open or close; ``rules`` is a static control table."""
     opens, closes = F.col("shape") == F.col("first_shape"), F.col("shape") == F.col("second_shape")
-    met = with_every_row(items, rules).filter(opens | closes)
+    met = items.join(by_shape(rules), "shape")
     return met.select("rule", "color", "ts", "seq", opens.alias("opens"), closes.alias("closes"))
 
 

@@ -224,6 +224,22 @@ def test_expiring_queries(spark):
     assert nobody.count() == 0
 
 
+def test_many_forgotten_reports(spark):
+    """Two hundred times nothing nearer comes for eight hours; ranges of any size give the same."""
+    rng = random.Random(8)
+    data = []
+    for i in range(900):
+        t = at((i // 3) * 490 + rng.randrange(60))
+        data.append((i % 2, i, i, t, float(rng.randrange(50))))
+    schema = "query_id BIGINT, ride_id BIGINT, taxi_id BIGINT, event_time TIMESTAMP, distance FLOAT"
+    reports = spark.createDataFrame(data, schema)
+    want = expiring_loop([(q, t, r, x, d) for q, r, x, t, d in data])
+    for max_rows in (None, 7, 100):
+        got = control.improving_reports(reports, max_rows)
+        assert rows(got, "query_id", "taxi_id", "event_time") == want
+    assert len(want) > 200
+
+
 def test_taxi_query_refuses_other_text(spark):
     for text in [r"'\'' = version() OR ' = '", "ride.taxi_id = '", r"'a\\' = 'b'", "1=1; drop", "java_method('a','b')", "ride.secret = 1", "x > 1", "`a`", "true -- x", "(SELECT 1) = 1"]:
         with pytest.raises(ValueError):

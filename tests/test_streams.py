@@ -4,6 +4,7 @@ from datetime import datetime, timedelta
 
 import pytest
 from conftest import rows
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from rillstone import schemas, views
@@ -180,6 +181,38 @@ def test_unmatched_fares_in_both_orders(spark, turned):
     assert rows(replay.to_table(stream.unmatched_fares(seen, fares)), "ride_id") == [(2,)]
 
 
+def test_pairs_beyond_the_bound_are_alike_in_both_forms(spark):
+    """Ride 2 starts two hours before its fare: a pair only where the bound allows it."""
+    asked, paid = [ride(1, begin=at(0)), ride(2, begin=at(0))], [fare(1, 1, at(5)), fare(2, 1, at(120))]
+    ride_rows, fare_rows = ride_table(spark, asked), fare_table(spark, paid)
+    for bound, pairs in (("1 HOUR", [(1,)]), ("3 HOURS", [(1,), (2,)])):
+        for form in ("rides_and_fares", "unmatched_fares", "unmatched_rides"):
+            replay = Replay(spark, "bound")
+            seen = replay.flushed(file_stream(spark, [ride_rows], "rides"), RIDE_FLUSH)
+            fares = replay.flushed(file_stream(spark, [fare_rows], "fares"), FARE_FLUSH)
+            got = rows(replay.to_table(getattr(stream, form)(seen, fares, bound=bound)), "ride_id")
+            assert got == rows(getattr(rides, form)(ride_rows, fare_rows, bound), "ride_id")
+            assert got == (pairs if form == "rides_and_fares" else sorted({(1,), (2,)} - set(pairs)))
+
+
+def test_only_rows_within_the_delay_are_kept(spark, folder):
+    """Most cars are handled in their own batch; what waits is bounded by the delay, and old folders are gone."""
+    replay = Replay(spark, "bounded")
+    table = views.cars(spark, folder)
+    source = replay.flushed(replay.stepped(table, "arrival"), CAR_FLUSH)
+    replay.steps(
+        source, "ts", "30 MINUTES", steps.positions_step(), steps.POSITION_CARRY,
+        "car_id BIGINT, event_id BIGINT, ts TIMESTAMP, arrival TIMESTAMP, speed DOUBLE, throttle DOUBLE, pos BIGINT",
+        ("arrival", "event_id"),
+    )
+    pending = [spark.read.parquet(f"{replay.home}/state/{i}").first()["pending"] for i in range(5)]
+    assert len(pending) == 5 and max(pending) < 0.05 * table.count()
+    with pytest.raises(AnalysisException):
+        spark.read.parquet(f"{replay.home}/pending/1")
+    late = events.mark_late(table, "ts", ["arrival", "event_id"], "30 MINUTES").filter("is_late")
+    assert replay.late(source.schema).count() == late.count() > 0
+
+
 def test_rows_behind_the_watermark_are_dropped(spark):
     early = fare_table(spark, [fare(1, 1, at(0), 1.0)])
     steps = [fare_table(spark, [fare(2, 1, at(300), 2.0)]), fare_table(spark, [fare(3, 1, at(310), 4.0)]), early]

@@ -17,12 +17,13 @@ from rillstone.session import prepare, shared_folder
 from rillstone.sources import connectors, lines, posts, raw
 from rillstone.streaming import steps
 from rillstone.streaming import queries as stream
-from rillstone.streaming.runner import FLUSH_TIME, REPLAY_DELAY, Replay, table_stream
+from rillstone.streaming.runner import FLUSH_TIME, Replay
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 DIGITS = 6
 CAR_DELAY = "30 MINUTES"
+STREAM_CAR_DELAY = "30 SECONDS"
 SESSION_GAP = "6 HOURS"
 WATERMARK = datetime(2013, 1, 1, 12, 0, 0)
 TAXI_QUERIES = [
@@ -292,25 +293,26 @@ CAR_FLUSH = [(-1, -1, FLUSH_TIME, FLUSH_TIME, 1.0, 0.0)]
 
 
 class Replayed:
-    """The warehouse tables as flushed streams."""
+    """The warehouse tables as flushed streams, in several steps of time."""
 
     def __init__(self, spark: SparkSession, folder: str, name: str):
-        self.replay = Replay(spark, name)
-        self.table = lambda t: table_stream(spark, folder, t)
+        self.spark, self.folder, self.replay = spark, folder, Replay(spark, name)
+
+    def plain_rides(self) -> DataFrame:
+        return self.replay.stepped(rides.with_event_time(views.rides(self.spark, self.folder)), "event_time").drop("event_time")
 
     def rides(self) -> DataFrame:
-        return self.replay.flushed(views.rides_of(self.table("orders")), RIDE_FLUSH)
+        return self.replay.flushed(self.plain_rides(), RIDE_FLUSH)
 
     def fares(self) -> DataFrame:
-        return self.replay.flushed(views.fares_of(self.table("orders")), FARE_FLUSH)
+        return self.replay.flushed(self.replay.stepped(views.fares(self.spark, self.folder), "start_time"), FARE_FLUSH)
 
-    def cars(self) -> DataFrame:
-        return self.replay.flushed(views.cars_of(self.table("events")), CAR_FLUSH)
+    def cars(self, order: str = "ts") -> DataFrame:
+        return self.replay.flushed(self.replay.stepped(views.cars(self.spark, self.folder), order), CAR_FLUSH)
 
     def items(self, shape: str) -> DataFrame:
-        events = self.table("events")
-        timed = views.items_of(events.withColumn("ts", F.col("ts").cast("timestamp")), "ts")
-        return self.replay.flushed(timed, [(-1, shape, -1, FLUSH_TIME)])
+        records = T(self.spark, self.folder, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+        return self.replay.flushed(self.replay.stepped(views.items_of(records, "ts"), "ts"), [(-1, shape, -1, FLUSH_TIME)])
 
 
 def _append(name: str, build: Callable[[Replayed, SparkSession], DataFrame]) -> Query:
@@ -323,38 +325,39 @@ def _append(name: str, build: Callable[[Replayed, SparkSession], DataFrame]) ->
 
 def _stream_ride_count(spark, d):
     # No flush: running totals wait for nothing.
-    return Replay(spark, "ride-count").latest(stream.ride_count(views.rides_of(table_stream(spark, d, "orders"))), ["driver_id"])
+    r = Replayed(spark, d, "ride-count")
+    return r.replay.latest(stream.ride_count(r.plain_rides()), ["driver_id"])
 
 
 def _stream_nearest_taxi(spark, d):
-    found = rides.nearest_taxi(views.rides_of(table_stream(spark, d, "orders")), _location_queries(spark))
-    return Replay(spark, "nearest-taxi").latest(found, ["query_id"])
+    r = Replayed(spark, d, "nearest-taxi")
+    return r.replay.latest(rides.nearest_taxi(r.plain_rides(), _location_queries(spark)), ["query_id"])
 
 
 def _stream_ongoing_rides(spark, d):
     """The newest event per taxi is kept by the stream; the thresholds are put to the kept table."""
-    kept = Replay(spark, "latest-rides").latest(
-        events.latest_per_key(views.rides_of(table_stream(spark, d, "orders"))), ["taxi_id"]
-    )
+    r = Replayed(spark, d, "latest-rides")
+    known = r.plain_rides().filter(events.event_time() <= F.lit(WATERMARK))
+    kept = r.replay.latest(events.latest_per_key(known), ["taxi_id"])
     return rides.ongoing_rides(kept, views.thresholds(spark), F.lit(WATERMARK))
 
 
 def _stream_taxi_query(spark, d):
     geo.register_sql_functions(spark)
     asked = control.AdHocQueries(TAXI_QUERIES)
-    source = lambda: views.rides_of(table_stream(spark, d, "orders"))
-    stored = Replay(spark, "stored-rides").latest(asked.stored(source()), ["taxi_id"])
-    later = Replay(spark, "later-rides").to_table(asked.later_answers(source()))
+    first, second = Replayed(spark, d, "stored-rides"), Replayed(spark, d, "later-rides")
+    stored = first.replay.latest(asked.stored(first.plain_rides()), ["taxi_id"])
+    later = second.replay.to_table(asked.later_answers(second.plain_rides()))
     return asked.echo(spark).unionByName(asked.stored_answers(stored)).unionByName(later)
 
 
 def _stream_expiring(spark, d):
     active = control.active_queries(_control(spark))
     r = Replayed(spark, d, "nearest-expiring")
-    reports = control.active_reports(views.rides_of(r.table("orders")), active)
+    reports = control.active_reports(r.plain_rides(), active)
     flushed = r.replay.flushed(reports, [(-1, -1, -1, FLUSH_TIME, 0.0)])
     return r.replay.steps(
-        flushed, "event_time", REPLAY_DELAY, steps.closest_step(), steps.REPORT_CARRY,
+        flushed, "event_time", stream.EVENT_DELAY, steps.closest_step(), steps.REPORT_CARRY,
         "query_id BIGINT, taxi_id BIGINT, event_time TIMESTAMP, distance FLOAT",
     )
 
@@ -363,7 +366,7 @@ def _stream_segments(strict: bool) -> Query:
     def run(spark, d):
         r = Replayed(spark, d, "segments")
         return r.replay.steps(
-            r.cars(), "ts", REPLAY_DELAY, steps.segments_step(strict), steps.SEGMENT_CARRY,
+            r.cars(), "ts", STREAM_CAR_DELAY, steps.segments_step(strict), steps.SEGMENT_CARRY,
             "car_id BIGINT, start_time TIMESTAMP, length BIGINT, max_speed INT, erraticness DOUBLE, label STRING",
         )
 
@@ -371,17 +374,42 @@ def _stream_segments(strict: bool) -> Query:
 
 
 def _stream_positions(spark, d):
-    r = Replayed(spark, d, "car-sort")
-    return r.replay.steps(
-        r.cars(), "ts", REPLAY_DELAY, steps.positions_step(), steps.POSITION_CARRY,
+    return _sorted_cars(spark, d, "car-sort")[0]
+
+
+def _sorted_cars(spark, d, name):
+    """On-time events in order, and the late ones, of cars that are heard in order of arrival."""
+    r = Replayed(spark, d, name)
+    source = r.cars("arrival")
+    on_time = r.replay.steps(
+        source, "ts", CAR_DELAY, steps.positions_step(), steps.POSITION_CARRY,
         "car_id BIGINT, event_id BIGINT, ts TIMESTAMP, arrival TIMESTAMP, speed DOUBLE, throttle DOUBLE, pos BIGINT",
+        ("arrival", "event_id"),
     )
+    return on_time.filter("event_id >= 0"), r.replay.late(source.schema)
+
+
+def _stream_late(spark, d):
+    late = _sorted_cars(spark, d, "late")[1]
+    return late.agg(F.count(F.lit(1)).alias("cnt")).select(F.lit("LATE").alias("tag"), "cnt")
+
+
+def _stream_per_second(spark, d):
+    on_time = _sorted_cars(spark, d, "per-second")[0]
+    counts = on_time.groupBy("car_id", F.window("ts", "1 second").alias("w")).agg(F.count(F.lit(1)).alias("cnt"))
+    return counts.select(F.col("car_id").alias("user_id"), F.col("w.start").alias("window_start"), "cnt")
+
+
+def _stream_tagged(spark, d):
+    on_time, late = _sorted_cars(spark, d, "tagged")
+    both = on_time.drop("pos").withColumn("output_tag", F.lit("sorted")).unionByName(late.withColumn("output_tag", F.lit("late")))
+    return _in_place(relational.range_sort(both, ["ts", "event_id"]))
 
 
 def _stream_predictions(spark, d):
     r = Replayed(spark, d, "prediction")
     return r.replay.steps(
-        steps.prediction_rows(r.rides()), "event_time", REPLAY_DELAY, steps.predictions_step(), steps.PREDICTION_CARRY,
+        steps.prediction_rows(r.rides()), "event_time", stream.EVENT_DELAY, steps.predictions_step(), steps.PREDICTION_CARRY,
         "ride_id BIGINT, predicted_minutes INT",
     )
 
@@ -389,41 +417,47 @@ def _stream_predictions(spark, d):
 def _stream_pairs(spark, d):
     r = Replayed(spark, d, "rule-pairs")
     return r.replay.steps(
-        steps.pair_rows(r.items("view"), views.rules(spark)), "ts", REPLAY_DELAY, steps.pairs_step(), steps.PAIR_CARRY,
+        steps.pair_rows(r.items("view"), views.rules(spark)), "ts", STREAM_CAR_DELAY, steps.pairs_step(), steps.PAIR_CARRY,
         "rule STRING, color BIGINT, first_seq BIGINT, second_seq BIGINT",
     )
 
 
+def _stream_cleansing(spark, d):
+    r = Replayed(spark, d, "cleansing")
+    return r.replay.to_table(stream.ride_cleansing(r.plain_rides()))
+
+
 STREAMS: dict[str, Query] = {
-    "stream_ride_cleansing": lambda s, d: Replay(s, "cleansing").to_table(
-        stream.ride_cleansing(views.rides_of(table_stream(s, d, "orders")))
-    ),
-    "stream_hourly_tips": _append("hourly-tips", lambda r, s: stream.hourly_tips(r.fares(), REPLAY_DELAY)),
-    "stream_hourly_top_tips": _append("hourly-top", lambda r, s: stream.hourly_top_tips(r.fares(), REPLAY_DELAY)),
-    "stream_popular_places": _append("popular", lambda r, s: stream.popular_places(r.rides(), REPLAY_DELAY)),
-    "stream_rides_per_hour": _append("per-hour", lambda r, s: stream.rides_per_hour(r.rides(), REPLAY_DELAY)),
+    "stream_ride_cleansing": _stream_cleansing,
+    "stream_hourly_tips": _append("hourly-tips", lambda r, s: stream.hourly_tips(r.fares())),
+    "stream_hourly_top_tips": _append("hourly-top", lambda r, s: stream.hourly_top_tips(r.fares())),
+    "stream_popular_places": _append("popular", lambda r, s: stream.popular_places(r.rides())),
+    "stream_rides_per_hour": _append("per-hour", lambda r, s: stream.rides_per_hour(r.rides())),
     "stream_ride_count": _stream_ride_count,
     "stream_rides_and_fares": _append(
-        "rides-fares", lambda r, s: stream.rides_and_fares(r.rides(), r.fares(), REPLAY_DELAY)
+        "rides-fares", lambda r, s: stream.rides_and_fares(r.rides(), r.fares())
     ),
     "stream_unmatched_fares": _append(
-        "unmatched-fares", lambda r, s: stream.unmatched_fares(r.rides(), r.fares(), REPLAY_DELAY)
+        "unmatched-fares", lambda r, s: stream.unmatched_fares(r.rides(), r.fares())
     ),
     "stream_unmatched_rides": _append(
-        "unmatched-rides", lambda r, s: stream.unmatched_rides(r.rides(), r.fares(), REPLAY_DELAY)
+        "unmatched-rides", lambda r, s: stream.unmatched_rides(r.rides(), r.fares())
     ),
-    "stream_long_rides": _append("long-rides", lambda r, s: stream.long_rides(r.rides(), REPLAY_DELAY)),
+    "stream_long_rides": _append("long-rides", lambda r, s: stream.long_rides(r.rides())),
     "stream_nearest_taxi": _stream_nearest_taxi,
     "stream_nearest_taxi_expiring": _stream_expiring,
     "stream_ongoing_rides": _stream_ongoing_rides,
     "stream_taxi_query": _stream_taxi_query,
     "stream_travel_time_prediction": _stream_predictions,
     "stream_driving_sessions": _append(
-        "sessions", lambda r, s: stream.driving_sessions(r.cars(), "6 hours", REPLAY_DELAY)
+        "sessions", lambda r, s: stream.driving_sessions(r.cars(), "6 hours", STREAM_CAR_DELAY)
     ),
     "stream_driving_segments": _stream_segments(False),
     "stream_driving_segments_strict": _stream_segments(True),
     "stream_car_event_sort": _stream_positions,
+    "stream_late_events": _stream_late,
+    "stream_events_per_user_second": _stream_per_second,
+    "stream_sort_tagged": _stream_tagged,
     "stream_rule_pair_match": _stream_pairs,
 }
 

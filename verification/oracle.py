@@ -423,9 +423,8 @@ ORACLE: dict[str, str] = {
 STREAM_TWINS = (
     "ride_cleansing hourly_tips hourly_top_tips popular_places rides_per_hour ride_count rides_and_fares unmatched_fares "
     "unmatched_rides long_rides nearest_taxi nearest_taxi_expiring ongoing_rides taxi_query travel_time_prediction "
-    "driving_sessions driving_segments driving_segments_strict rule_pair_match"
+    "driving_sessions driving_segments driving_segments_strict rule_pair_match car_event_sort late_events "
+    "events_per_user_second"
 ).split()
 ORACLE.update({f"stream_{name}": ORACLE[name] for name in STREAM_TWINS})
-# The replay waits for all stragglers, so no event is late and every event is sorted.
-ORACLE["stream_car_event_sort"] = _rounded(f"""WITH {CARS} SELECT car_id, event_id, ts, arrival, speed, throttle,
-    row_number() OVER (PARTITION BY car_id ORDER BY ts, event_id) AS pos FROM cars""", "speed", "throttle")
+ORACLE["stream_sort_tagged"] = ORACLE["stream_sort"]
