@@ -20,11 +20,12 @@ _SLICE = "_slice"
 
 @dataclass(frozen=True)
 class Sliced:
-    """Rows with the number of their range in ``_slice``."""
+    """Rows with the number of their range in ``_slice``; ``worked`` tells that they hold running values already."""
 
     df: DataFrame
     keys: tuple[str, ...]
     order: tuple[str, ...]
+    worked: bool = False
 
     def with_column(self, name: str, value: Column) -> "Sliced":
         return replace(self, df=self.df.withColumn(name, value))
@@ -47,10 +48,13 @@ def slice_groups(df: DataFrame, keys: list[str], order: list[str], max_rows: int
         ranged = df.repartitionByRange(*position)
     else:
         ranged = df.repartitionByRange(max(1, -(-df.count() // max_rows)), *position)
-    numbered = ranged.withColumn(_SLICE, F.spark_partition_id())
+    return Sliced(_written(ranged.withColumn(_SLICE, F.spark_partition_id())), tuple(keys), tuple(order))
+
+
+def _written(df: DataFrame) -> DataFrame:
     path = shared_folder(df.sparkSession, "ranges")
-    numbered.write.parquet(path)
-    return Sliced(df.sparkSession.read.schema(numbered.schema).parquet(path), tuple(keys), tuple(order))
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 _TOTALS = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
@@ -69,6 +73,8 @@ def running(
     Kinds: ``sum count min max last`` (``last`` skips nulls; with ``reverse`` it is the next value).
     Without ``inclusive`` the current row is left out.
     """
+    if sliced.worked:  # rows and carry are read apart, so earlier windows would run for each
+        sliced = replace(sliced, df=_written(sliced.df), worked=False)
     direction = [F.col(c).desc() if reverse else F.col(c).asc() for c in sliced.order]
     end = 0 if inclusive else -1
     w = Window.partitionBy(*sliced.keys, _SLICE).orderBy(*direction).rowsBetween(Window.unboundedPreceding, end)
@@ -91,7 +97,7 @@ def running(
             value = F.least(here, before) if kind == "min" else F.greatest(here, before)
         out = out.withColumn(name, value)
     helpers = [f"_l_{n}" for n in values] + [f"_c_{n}" for n in values] + [f"_c_{k}" for k in sliced.keys] + ["_c_slice"]
-    return replace(sliced, df=out.drop(*helpers))
+    return replace(sliced, df=out.drop(*helpers), worked=True)
 
 
 def _spanning(sliced: Sliced) -> DataFrame:

@@ -36,9 +36,7 @@ def test_filters_reach_the_scan(spark, folder):
     [
         ("ride_cleansing", 0), ("increment_map", 0), ("rides_table_view", 0), ("posts_xml_parse", None), ("dedup_first", 1),
         ("hourly_tips", 1), ("hourly_top_tips", 2), ("popular_places", 2), ("rides_per_hour", 1), ("ride_count", 1),
-        ("nearest_taxi", 1), ("latest_ride_per_taxi", 1), ("driving_segments", 1), ("driving_sessions", 1),
-        ("travel_time_prediction", 1), ("ride_count_running", 1), ("rule_pair_match", 1), ("asof_enrich", 1),
-        ("inverted_index", 1), ("group_collect", 1), ("route_cell_traffic", 2),
+        ("nearest_taxi", 1), ("latest_ride_per_taxi", 1), ("route_cell_traffic", 2), ("matvec_join", 2), ("matmul_join", 1),
     ],
 )
 def test_number_of_shuffles(spark, folder, key, moves):
@@ -48,6 +46,23 @@ def test_number_of_shuffles(spark, folder, key, moves):
     assert "CartesianProduct" not in text
 
 
+# After the range partitioning: one shuffle of the rows by group and range, and four of the carry table (groups and ranges,
+# groups with several, their totals, the window over them), of a row per group and range at most. Then what the query adds.
+@pytest.mark.parametrize(
+    "key, more",
+    [
+        ("driving_segments", 1), ("driving_sessions", 1), ("travel_time_prediction", 0), ("ride_count_running", 0),
+        ("rule_pair_match", 0), ("asof_enrich", 0), ("inverted_index", 1),
+    ],
+)
+def test_shuffles_of_ordered_queries(spark, folder, key, more):
+    text = plan(QUERIES[key](spark, folder))
+    assert exchanges(text) == 5 + more
+    assert len(re.findall("FileScan", text)) == 3 and len(re.findall(r"FileScan.*/ranges-", text)) == 3
+    assert "NestedLoop" not in text and "CartesianProduct" not in text
+    assert len(re.findall(r"hashpartitioning\([^()]*_slice#\d+, \d+\), ENSURE", text)) >= 2
+
+
 @pytest.mark.parametrize("key", ["word_count", "matmul_join", "hourly_tips", "nearest_taxi", "latest_ride_per_taxi", "rides_per_hour"])
 def test_rows_are_combined_before_the_shuffle(spark, folder, key):
     assert re.search(r"partial_", plan(QUERIES[key](spark, folder)))
