@@ -1,8 +1,11 @@
 """Quality rules: surface rules, then a log-likelihood ratio of hashed n-grams.
 
-Words and word pairs are hashed into buckets. Two multinomials over the buckets are counted, one over the whole corpus
-and one over its trusted documents. A document's score is the mean log ratio of its n-grams; those below a fixed
-threshold are rejected. Ratios are rounded to integers, so that sums do not depend on the order of addition.
+The n-grams are of characters, at the ends of words: the last two characters of a word, and its last with the first of the
+next word. They are hashed into buckets. Two multinomials over the buckets are counted, one over the whole corpus and one
+over its trusted documents. A document's score is the mean log ratio of its n-grams; those below a fixed threshold are
+rejected. Ratios are rounded to integers, so that sums do not depend on the order of addition.
+
+Words themselves would not do: in a small corpus most words of a document without a label occur in no trusted one.
 
 Only DataFrame functions are used.
 """
@@ -23,8 +26,8 @@ MIN_WORDS = 50
 MAX_REPEATED = 50  # percent of the words
 BUCKETS = 1 << 14
 SCALE = 1 << 20
-THRESHOLD = -0.06
-SMOOTHING = 1
+THRESHOLD = -0.5
+SMOOTHING = 5
 
 
 def _let(value: Column, body) -> Column:
@@ -68,11 +71,11 @@ def repeated_lines(text: Column) -> Column:
 
 
 def buckets_of(words: Column, buckets: int) -> Column:
-    """Bucket of each word and of each two neighbouring words."""
-    single = F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(buckets)).cast("int"))
+    """Bucket of the end of each word and of what meets between each two neighbouring words."""
+    single = F.transform(words, lambda w: F.pmod(F.xxhash64(F.substring(w, -2, 2)), F.lit(buckets)).cast("int"))
     pairs = F.transform(
         F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))),
-        lambda w, i: F.pmod(F.xxhash64(w, F.get(words, i + 1)), F.lit(buckets)).cast("int"),
+        lambda w, i: F.pmod(F.xxhash64(F.substring(w, -1, 1), F.substring(F.get(words, i + 1), 1, 1)), F.lit(buckets)).cast("int"),
     )
     return F.concat(single, pairs)
 
@@ -97,10 +100,12 @@ def bucket_ratios(
 
 
 def ratios(raw: list[int], own: list[int]) -> list[int]:
+    """Log of what the trusted documents hold of each bucket over what they would hold if they were like all; both plus
+    ``SMOOTHING``, so that rare buckets say little."""
     if not any(own):
         return [0] * len(raw)  # nothing is trusted, so nothing is told apart
-    base = log(sum(raw) + SMOOTHING * len(raw)) - log(sum(own) + SMOOTHING * len(own))
-    return [round(SCALE * (log(t + SMOOTHING) - log(r + SMOOTHING) + base)) for r, t in zip(raw, own)]
+    share = sum(own) / sum(raw)
+    return [round(SCALE * log((t + SMOOTHING) / (r * share + SMOOTHING))) for r, t in zip(raw, own)]
 
 
 def judge(docs: DataFrame, weights: list[int], text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
