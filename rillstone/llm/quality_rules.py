@@ -1,11 +1,14 @@
 """Quality rules: surface rules, then a log-likelihood ratio of hashed n-grams.
 
-The n-grams are of characters, at the ends of words: the last two characters of a word, and its last with the first of the
-next word. They are hashed into buckets. Two multinomials over the buckets are counted, one over the whole corpus and one
-over its trusted documents. A document's score is the mean log ratio of its n-grams; those below a fixed threshold are
-rejected. Ratios are rounded to integers, so that sums do not depend on the order of addition.
+The n-grams are all character trigrams of the text, inside words and where they meet, its white space taken as single
+spaces. They are hashed into buckets. Two multinomials over the buckets are counted, one over the whole corpus and one over
+its trusted documents. The trusted one backs off to the classes of the characters (capital, letter, digit, punctuation,
+symbol, space): a trigram that no trusted document holds speaks against a text mostly by its class, so letters of a language
+without labels say little and symbols inside words much. A document's score is the mean log ratio of its trigrams; those
+below a fixed threshold are rejected. Ratios are rounded to integers, so that sums do not depend on the order of addition.
 
-Words themselves would not do: in a small corpus most words of a document without a label occur in no trusted one.
+A text is a list of tokens, words with a space on each side and what meets between two words, and each trigram lies in
+exactly one of them. Trigrams are counted over different tokens, and the sums of frequent ones are known when texts are scored.
 
 Only DataFrame functions are used.
 """
@@ -13,21 +16,28 @@ Only DataFrame functions are used.
 from __future__ import annotations
 
 import json
-from math import log
+from math import exp, log
 
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillstone.llm.common import table, with_fixed
+from rillstone.llm.common import saved, table, with_fixed
 
 SPACE = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEATED = 50  # percent of the words
-BUCKETS = 1 << 14
+BUCKETS = 1 << 16
+KNOWN = 1 << 14  # slots for frequent tokens
 SCALE = 1 << 20
 THRESHOLD = -0.5
 SMOOTHING = 5
+MASS = 2.0  # weight of a trigram's class, as a share of its expected count
+# Later patterns leave the names of earlier classes alone.
+CLASSES = (
+    (r"[#*$%&|<>]|[^\p{L}\p{M}\p{N}\p{P} ]", "#"), (r"[\p{P}&&[^#]]", "."), (r"\p{Lu}", "A"), (r"[\p{L}\p{M}&&[^A]]", "a"), (r"\p{N}", "0"),
+)
 
 
 def _let(value: Column, body) -> Column:
@@ -70,19 +80,45 @@ def repeated_lines(text: Column) -> Column:
     return _let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x)))
 
 
-def buckets_of(words: Column, buckets: int) -> Column:
-    """Bucket of the end of each word and of what meets between each two neighbouring words."""
-    single = F.transform(words, lambda w: F.pmod(F.xxhash64(F.substring(w, -2, 2)), F.lit(buckets)).cast("int"))
-    pairs = F.transform(
+def tokens_of(words: Column) -> Column:
+    """The words with a space on each side, and the last and first character around each space between them."""
+    meets = F.transform(
         F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))),
-        lambda w, i: F.pmod(F.xxhash64(F.substring(w, -1, 1), F.substring(F.get(words, i + 1), 1, 1)), F.lit(buckets)).cast("int"),
+        lambda w, i: F.concat(F.substring(w, -1, 1), F.lit(" "), F.substring(F.get(words, i + 1), 1, 1)),
     )
-    return F.concat(single, pairs)
+    return F.concat(F.transform(words, lambda w: F.concat(F.lit(" "), w, F.lit(" "))), meets)
+
+
+def trigrams(token: Column) -> Column:
+    return _let(
+        F.split(token, ""),
+        lambda c: F.transform(F.slice(c, 1, F.size(c) - 2), lambda x, i: F.concat(x, F.get(c, i + 1), F.get(c, i + 2))),
+    )
+
+
+def bucket_of(gram: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(gram), F.lit(buckets)).cast("int")
+
+
+def classes_of(token: Column) -> Column:
+    """The token with each character replaced by its class."""
+    for pattern, name in CLASSES:
+        token = F.regexp_replace(token, pattern, name)
+    return token
+
+
+class Ratios(list):
+    """Rounded log ratio of each bucket; ``frequent`` has tokens whose sums are worth knowing, which changes no result."""
+
+    frequent: list[str] = []
+
+    def sum_of(self, token: str) -> int:
+        return sum(self[xxhash.xxh64_intdigest(token[i : i + 3].encode(), 42) % len(self)] for i in range(len(token) - 2))
 
 
 def bucket_ratios(
     docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text: str = "text", buckets: int = BUCKETS
-) -> list[int]:
+) -> Ratios:
     """Rounded log ratio of each bucket, trusted documents against all; ``buckets`` numbers whatever the corpus holds.
 
     ``trusted`` has the ids of the trusted documents in its first column. All documents are counted.
@@ -91,12 +127,35 @@ def bucket_ratios(
     marked = marked.withColumn("_trusted", F.lit(1)).hint("shuffle_hash")
     texts = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"))
     joined = with_fixed(texts.join(marked, "_id", "left"), "_words", words_of(F.col("_text")))
-    grams = joined.select("_trusted", F.explode(buckets_of(F.col("_words"), buckets)).alias("b"))
-    counts = grams.groupBy("b").agg(F.count(F.lit(1)).alias("raw"), F.count("_trusted").alias("own")).collect()
-    raw, own = [0] * buckets, [0] * buckets
-    for r in counts:
-        raw[r["b"]], own[r["b"]] = r["raw"], r["own"]
-    return ratios(raw, own)
+    each = joined.select("_trusted", F.explode(tokens_of(F.col("_words"))).alias("token")).groupBy("token")
+    each = saved(each.agg(F.count(F.lit(1)).alias("raw"), F.count("_trusted").alias("own")), "tokens")
+    grams = F.arrays_zip(trigrams(F.col("token")).alias("g"), trigrams(classes_of(F.col("token"))).alias("c"))
+    grams = each.select("raw", "own", F.explode(grams).alias("x")).select("raw", "own", bucket_of(F.col("x.g"), buckets).alias("b"), "x.c")
+    counts = grams.groupBy("b", "c").agg(F.sum("raw").alias("raw"), F.sum("own").alias("own")).collect()
+    out = Ratios(backed_off(sorted(map(tuple, counts)), buckets))
+    slots = each.groupBy(F.pmod(F.xxhash64("token"), F.lit(KNOWN)).alias("slot"))
+    # Tokens of ordinary length only: these reach the driver.
+    out.frequent = [r.token for r in slots.agg(F.max_by("token", F.when(F.length("token") <= 64, F.col("raw"))).alias("token")).collect() if r.token]
+    return out
+
+
+def backed_off(counts: list[tuple[int, str, int, int]], buckets: int) -> list[int]:
+    """``ratios`` of buckets from (bucket, class, raw, own), with the ratio of the classes in it as what is expected of a
+    bucket: their mean by raw count. It weighs ``MASS`` times the expected count, whatever the size of the corpus."""
+    raw, own, back = [0] * buckets, [0] * buckets, [0.0] * buckets
+    places = {c: i for i, c in enumerate(sorted({c for _, c, _, _ in counts}))}
+    many, trusted = [0] * len(places), [0] * len(places)
+    for b, c, r, t in counts:
+        raw[b], own[b] = raw[b] + r, own[b] + t
+        many[places[c]], trusted[places[c]] = many[places[c]] + r, trusted[places[c]] + t
+    if not any(own):
+        return [0] * buckets
+    of_class = [exp(w / SCALE) for w in ratios(many, trusted)]
+    for b, c, r, _ in counts:
+        back[b] += r * of_class[places[c]]
+    share = sum(own) / sum(raw)
+    # raw * share is the expected count, back * share what the classes make of it
+    return [round(SCALE * log((t + MASS * k * share) / ((1 + MASS) * r * share))) if r else 0 for r, t, k in zip(raw, own, back)]
 
 
 def ratios(raw: list[int], own: list[int]) -> list[int]:
@@ -108,16 +167,30 @@ def ratios(raw: list[int], own: list[int]) -> list[int]:
     return [round(SCALE * log((t + SMOOTHING) / (r * share + SMOOTHING))) for r, t in zip(raw, own)]
 
 
-def judge(docs: DataFrame, weights: list[int], text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+def judge(docs: DataFrame, weights: Ratios, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with the surface counts, ``base_failed``, ``score`` and ``kept``; no shuffle, whole texts.
 
     A null or empty text has no words and fails. Repeated rows are judged alike, columns that already have one of the new
     names are replaced, an empty table gives an empty one. A mean ratio of exactly the threshold is kept.
     """
     known = F.from_json(F.lit(json.dumps(weights)), "array<bigint>")
+    keys, sums = [0] * KNOWN, [0] * KNOWN
+    for token in weights.frequent:
+        h = xxhash.xxh64_intdigest(token.encode(), 42)
+        keys[h % KNOWN], sums[h % KNOWN] = h - (h >> 63 << 64), weights.sum_of(token)
+    keys, sums = (F.from_json(F.lit(json.dumps(x)), "array<bigint>") for x in (keys, sums))
     t, words = F.coalesce(F.col(text), F.lit("")), F.col("_words")
     out = with_fixed(docs.drop("_words"), "_words", words_of(F.col(text)))
-    total = F.aggregate(buckets_of(words, len(weights)), F.lit(0).cast("bigint"), lambda a, b: a + F.get(known, b))
+
+    def slow(token: Column) -> Column:
+        return F.aggregate(trigrams(token), F.lit(0).cast("bigint"), lambda a, g: a + F.get(known, bucket_of(g, len(weights))))
+
+    def worth(token: Column, h: Column) -> Column:
+        slot = F.pmod(h, F.lit(KNOWN)).cast("int")
+        return F.when(F.get(keys, slot) == h, F.get(sums, slot)).otherwise(slow(token))
+
+    hashed = F.transform(tokens_of(words), lambda w: F.struct(w.alias("w"), F.xxhash64(w).alias("h")))
+    total = F.aggregate(hashed, F.lit(0).cast("bigint"), lambda a, x: a + worth(x["w"], x["h"]))
     out = out.withColumns(
         {
             "n_words": F.size(words).cast("bigint"),
@@ -128,7 +201,7 @@ def judge(docs: DataFrame, weights: list[int], text: str = "text", threshold: fl
             "_total": total,
         }
     )
-    grams = F.greatest(2 * F.col("n_words") - 1, F.lit(1))
+    grams = F.greatest(F.col("word_chars") + F.col("n_words") - 1, F.lit(1))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
     least = F.lit(round(threshold * SCALE)) * grams
     return out.withColumns(

@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter
 
@@ -93,3 +94,38 @@ def test_odd_rows(spark):
 def test_only_spark_functions(spark, folder):
     plan = qr.op2_likelihood_ratio(spark, folder)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas|Exchange", plan)
+
+
+def spoiled(spark, folder, spoil):
+    """Scores of 60 clean documents whose longer words are spoiled, judged in one table with all the others."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    good = {r.doc_id for r in table(spark, folder, "labels").collect() if r.quality == 1}
+    clean = [(i, t) for i, t in sorted(docs.collect()) if i in good and not base(t)[-1]][:60]
+    junk = [(-1 - i, re.sub(r"\S{5,}", lambda m: spoil(m[0]), t)) for i, t in clean]
+    trusted = spark.createDataFrame([(i,) for i in good], "doc_id long")
+    df = docs.unionByName(spark.createDataFrame(junk, "doc_id long, text string"))
+    rows = qr.judge(df, qr.bucket_ratios(df, trusted)).filter("NOT base_failed").collect()
+    return [r for r in rows if r.doc_id < 0], [r for r in rows if r.doc_id in good]
+
+
+@pytest.mark.parametrize("kind", ["symbols", "letters and digits"])
+def test_junk_inside_words_goes(spark, kind):
+    r = random.Random(1)
+    some = lambda: "#$%&|<>*" if kind == "symbols" else "".join(r.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(6))
+    times = 3 if kind == "symbols" else 1
+    junk, clean = spoiled(spark, "/root/testdata/sf0.01", lambda w: w[:2] + "".join(some() + w[2 + k : 3 + k] for k in range(times)) + w[2 + times :])
+    assert len(junk) > 40 and not any(x.kept for x in junk)
+    assert len(clean) > 100 and all(x.kept for x in clean)
+
+
+def test_trigrams_against_plain_python(spark):
+    texts = ["a bc déf\n\U0001f642x#1 \t Ab1", "x" * 300 + " y", "q"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    weights = qr.bucket_ratios(df, df.limit(1))
+    for frequent in (weights.frequent, []):
+        weights.frequent = frequent
+        for r in qr.judge(df, weights).collect():
+            s = " " + " ".join(WORD.findall(texts[r.doc_id])) + " "
+            grams = [s[i : i + 3] for i in range(len(s) - 2)]
+            total = sum(weights[xxhash.xxh64_intdigest(g.encode(), 42) % qr.BUCKETS] for g in grams)
+            assert r.score == total / (len(grams) * qr.SCALE)
