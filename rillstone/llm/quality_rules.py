@@ -33,6 +33,7 @@ KNOWN = 1 << 14  # slots for frequent tokens
 SCALE = 1 << 20
 THRESHOLD = -0.5
 SMOOTHING = 5
+LEAST = log(1 / 200)  # no ratio of counts falls lower, however large the corpus
 MASS = 2.0  # weight of a trigram's class, as a share of its expected count
 # Later patterns leave the names of earlier classes alone.
 CLASSES = (
@@ -107,13 +108,19 @@ def classes_of(token: Column) -> Column:
     return token
 
 
+def _hash(text: str) -> int:
+    """Spark's xxhash64 of a string."""
+    h = xxhash.xxh64_intdigest(text.encode(), 42)
+    return h - (h >> 63 << 64)
+
+
 class Ratios(list):
     """Rounded log ratio of each bucket; ``frequent`` has tokens whose sums are worth knowing, which changes no result."""
 
     frequent: list[str] = []
 
     def sum_of(self, token: str) -> int:
-        return sum(self[xxhash.xxh64_intdigest(token[i : i + 3].encode(), 42) % len(self)] for i in range(len(token) - 2))
+        return sum(self[_hash(token[i : i + 3]) % len(self)] for i in range(len(token) - 2))
 
 
 def bucket_ratios(
@@ -160,11 +167,11 @@ def backed_off(counts: list[tuple[int, str, int, int]], buckets: int) -> list[in
 
 def ratios(raw: list[int], own: list[int]) -> list[int]:
     """Log of what the trusted documents hold of each bucket over what they would hold if they were like all; both plus
-    ``SMOOTHING``, so that rare buckets say little."""
+    ``SMOOTHING``, so that rare buckets say little, and never below ``LEAST``."""
     if not any(own):
         return [0] * len(raw)  # nothing is trusted, so nothing is told apart
     share = sum(own) / sum(raw)
-    return [round(SCALE * log((t + SMOOTHING) / (r * share + SMOOTHING))) for r, t in zip(raw, own)]
+    return [round(SCALE * max(LEAST, log((t + SMOOTHING) / (r * share + SMOOTHING)))) for r, t in zip(raw, own)]
 
 
 def judge(docs: DataFrame, weights: Ratios, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -176,8 +183,8 @@ def judge(docs: DataFrame, weights: Ratios, text: str = "text", threshold: float
     known = F.from_json(F.lit(json.dumps(weights)), "array<bigint>")
     keys, sums = [0] * KNOWN, [0] * KNOWN
     for token in weights.frequent:
-        h = xxhash.xxh64_intdigest(token.encode(), 42)
-        keys[h % KNOWN], sums[h % KNOWN] = h - (h >> 63 << 64), weights.sum_of(token)
+        h = _hash(token)
+        keys[h % KNOWN], sums[h % KNOWN] = h, weights.sum_of(token)
     keys, sums = (F.from_json(F.lit(json.dumps(x)), "array<bigint>") for x in (keys, sums))
     t, words = F.coalesce(F.col(text), F.lit("")), F.col("_words")
     out = with_fixed(docs.drop("_words"), "_words", words_of(F.col(text)))

@@ -129,3 +129,23 @@ def test_trigrams_against_plain_python(spark):
             grams = [s[i : i + 3] for i in range(len(s) - 2)]
             total = sum(weights[xxhash.xxh64_intdigest(g.encode(), 42) % qr.BUCKETS] for g in grams)
             assert r.score == total / (len(grams) * qr.SCALE)
+
+
+@pytest.mark.parametrize("size", ["sf0.001", "sf0.01"])
+def test_a_clean_language_without_labels_stays(spark, size):
+    folder = f"/root/testdata/{size}"
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    labels = table(spark, folder, "labels")
+    foreign = docs.filter("lang = 'es'").select("doc_id")
+    trusted = qr.trusted_ids(labels).join(foreign, "doc_id", "left_anti")
+    quality = {r.doc_id: r.quality for r in labels.collect()}
+    rows = [r for r in qr.judge(docs, qr.bucket_ratios(docs, trusted)).collect() if not r.base_failed]
+    spanish = [r for r in rows if r.lang == "es" and quality.get(r.doc_id) == 1]
+    assert len(spanish) > 3 and all(r.kept for r in spanish)
+    assert not any(r.kept for r in rows if quality.get(r.doc_id) == 0)
+
+
+def test_weights_of_unseen_buckets_do_not_grow_with_the_corpus():
+    for back in ("aaa", "###"):
+        made = [qr.backed_off([(0, "aaa", 900 * k, 800 * k), (1, back, 100 * k, 0)], 2)[1] / qr.SCALE for k in (10**3, 10**9)]
+        assert abs(made[0] - made[1]) < 0.01 and made[0] > -6
