@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from rillstone.llm import (
-    decontamination, html_extraction, license_scans, packing, personal_data, quality_classifier, quality_rules, secret_scans, simhash, token_counts,
+    collocations, decontamination, html_extraction, license_scans, packing, personal_data, quality_classifier, quality_rules, secret_scans, simhash, token_counts,
 )
 
 MODULES = (
     token_counts, quality_rules, personal_data, decontamination, packing, html_extraction, quality_classifier, simhash, secret_scans,
-    license_scans,
+    license_scans, collocations,
 )
 
 QUERIES = {name: query for m in MODULES for name, query in m.QUERIES.items()}
