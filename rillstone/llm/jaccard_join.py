@@ -21,9 +21,10 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillstone.llm.common import add_columns, bounded_batches, emit_rows, saved, table
+from rillstone.llm.common import bounded_batches, emit_rows, saved, table
 from rillstone.llm.components import stars
 from rillstone.llm.simhash import forest
+from rillstone.operators.ordered import running, slice_groups
 
 WORDS = 5
 PERCENT = 80
@@ -32,10 +33,10 @@ SAMPLE = 32
 FREQUENT = 8
 KNOWN = 1 << 16
 # A prefix holds one n-gram in so many more than one shared n-gram would need.
-EXTRA = 20
+EXTRA = 10
 # Documents and n-grams of a cut.
-BLOCK = 1024
-BLOCK_GRAMS = 1 << 20
+BLOCK = 2048
+BLOCK_GRAMS = 1 << 21
 # Weight of a binary probe against a step of the merge, as in the DivideSkip formula for the number of long lists.
 PROBE = 1.0
 
@@ -171,7 +172,7 @@ def linked(left: list[np.ndarray], right: list[np.ndarray] | None, percent: int
     return np.concatenate(found), np.repeat(np.arange(len(queries)), [len(f) for f in found])
 
 
-def _block_links(rows: list[tuple], percent: int) -> list[np.ndarray]:
+def _block_links(rows: list[tuple], words: int, percent: int) -> list[np.ndarray]:
     """Key, links in copies, and least linked key for each set of one pair of cuts."""
     low, high = rows[0][1], rows[0][2]
     by = {r[4]: r for r in rows}  # repeated rows of one text
@@ -182,7 +183,8 @@ def _block_links(rows: list[tuple], percent: int) -> list[np.ndarray]:
     if not left or (low != high and not right):
         i = j = np.zeros(0, "i8")
     else:
-        i, j = linked([m[6] for m in left], [m[6] for m in right] if low != high else None, percent)
+        sets = [shingles(m[6], words) for m in members]
+        i, j = linked(sets[: len(left)], sets[len(left) :] if low != high else None, percent)
         j = j + (len(left) if low != high else 0)
     links = np.zeros(len(members), "i8")
     np.add.at(links, i, copies[j])
@@ -194,37 +196,39 @@ def _block_links(rows: list[tuple], percent: int) -> list[np.ndarray]:
     return [key, links, key[rank[root[place]]]]
 
 
-def links(shards: DataFrame, percent: int = PERCENT) -> DataFrame:
+def links(shards: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """``(key, links, low)`` of every set in every pair of cuts: copies it links with there, and the least key linked."""
     cut = ["root", "low", "high"]
-    ordered = shards.repartition(*cut).sortWithinPartitions(*cut, "own", "n", "key").select(*cut, "own", "key", "copies", "grams")
+    ordered = shards.repartition(*cut).sortWithinPartitions(*cut, "own", "n", "key").select(*cut, "own", "key", "copies", "text")
     bounded_batches(shards.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         for batch in batches:
-            plain = [batch.column(k).to_pylist() for k in range(6)]
-            lists = batch.column(6)
-            flat, offsets = lists.values.to_numpy().view("u8"), lists.offsets.to_numpy()
             made = []
-            for k, row in enumerate(zip(*plain)):
+            for row in zip(*(batch.column(k).to_pylist() for k in range(7))):
                 if held and held[0][:3] != row[:3]:
-                    made.append(_block_links(held, percent))
+                    made.append(_block_links(held, words, percent))
                     held = []
-                held.append((*row, flat[offsets[k] : offsets[k + 1]].copy()))
+                held.append(row)
             if made:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([m[k] for m in made])) for k in range(3)], ["key", "links", "low"])
         if held:
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in _block_links(held, percent)], ["key", "links", "low"])
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in _block_links(held, words, percent)], ["key", "links", "low"])
 
     return ordered.mapInArrow(run, "key bigint, links bigint, low bigint")
 
 
-def _in_components(shared: DataFrame, alive: DataFrame) -> DataFrame:
-    """``alive`` with ``root``, equal for sets whose prefixes share n-grams, directly or over others."""
-    rows = shared.join(alive.select("key"), "key", "left_semi")
-    least = rows.groupBy("gram").agg(F.min("key").alias("b"))
-    star = stars(rows.join(least, "gram").select(F.col("key").alias("a"), "b").filter("a <> b").distinct())
+def _in_components(shared: DataFrame, alive: DataFrame, percent: int) -> DataFrame:
+    """``alive`` with ``root``, equal for sets whose prefixes share n-grams, directly or over others.
+
+    Of the sets that share an n-gram, ordered by size, only neighbours that are near enough in size are joined: the sets
+    between two that may link are near enough to their neighbours as well. Ranges of the order keep a frequent n-gram out of one task.
+    """
+    rows = slice_groups(shared.join(alive, "key"), ["gram"], ["n", "key"])
+    ordered = running(rows, {"b": ("last", F.col("key")), "b_n": ("last", F.col("n"))}, inclusive=False).rows()
+    near = ordered.filter((F.col("b") != F.col("key")) & (100 * F.col("b_n") >= percent * F.col("n")))
+    star = stars(near.select(F.col("key").alias("a"), "b").distinct())
     named = star.select(F.col("a").alias("key"), F.col("b").alias("root"))
     return alive.join(named, "key", "left").withColumn("root", F.coalesce("root", "key"))
 
@@ -257,23 +261,17 @@ def similar(
     wanted = F.expr(f"cast(ceil(ceil(n * {percent} / 100) / {extra}) as bigint)")
     counted = sizes.join(shared.groupBy("key").agg(F.count(F.lit(1)).alias("n_shared")), "key", "left")
     alive = saved(counted.filter(F.col("n") > 0).filter(F.coalesce("n_shared", F.lit(0)) + F.col("n_known") >= wanted).select("key", "n"), "candidates")
-    placed = _in_components(shared.union(late.select("gram", "key")), alive)
+    placed = _in_components(shared.union(late.select("gram", "key")), alive, percent)
     large = placed.groupBy("root").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("grams")).filter("docs > 1")
     large = large.select("root", F.ceil(F.greatest(F.col("docs") / block, F.col("grams") / block_grams)).cast("int").alias("cuts"))
     dealt = placed.join(large, "root").withColumn("own", F.pmod(F.xxhash64("key", F.lit(11)), F.col("cuts")).cast("int"))
     dealt = dealt.join(sets, "key")
 
-    dealt = dealt.select(F.col("key").alias("d_key"), F.col("first").alias("d_first"), "root", "cuts", "own", "copies")
-    texts = once.join(dealt, (F.col("key") == F.col("d_key")) & F.col("id").eqNullSafe(F.col("d_first")))
-
-    def work(texts):
-        made = [shingles(t, words).view("i8") for t in texts]
-        return [[len(g) for g in made], made]
-
-    grams = add_columns(texts, ["text"], "n bigint, grams array<bigint>", work, keep=["key", "root", "cuts", "own", "copies"])
-    shards = grams.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
+    dealt = dealt.select(F.col("key").alias("d_key"), F.col("first").alias("d_first"), "root", "cuts", "own", "copies", "n")
+    texts = once.join(dealt, (F.col("key") == F.col("d_key")) & F.col("id").eqNullSafe(F.col("d_first"))).drop("id", "d_key", "d_first")
+    shards = texts.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
     shards = shards.withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")}).drop("other", "cuts")
-    found = saved(links(shards, percent), "links")
+    found = saved(links(shards, words, percent), "links")
 
     star = stars(found.filter("low <> key").select(F.col("key").alias("a"), F.col("low").alias("b")))
     total = found.groupBy("key").agg(F.sum("links").alias("links"))
