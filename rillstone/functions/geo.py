@@ -83,6 +83,24 @@ def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colu
     return F.lit(2 * EARTH_RADIUS_KM) * F.atan2(F.sqrt(held), F.sqrt(F.lit(1.0) - held))
 
 
+def _way_cells() -> str:
+    """SQL text of the cells on a way between columns ``x1, y1`` and ``x2, y2`` of the grid.
+
+    A way is the straight line between the middles of two cells; it lies on every cell whose inside it meets. Between the
+    middles of columns ``a`` and ``a + 1`` it crosses one border of columns, and the rows of a column are those between its
+    two crossings. Twice the distances are whole numbers, so rows follow by whole division. Where the line meets a corner
+    it goes on in the cell across.
+    """
+    dx, dy = "abs(x2 - x1)", "abs(y2 - y1)"
+    first = f"if(a = 0, 0, int(((2 * a - 1) * {dy} + {dx}) div (2 * {dx})))"
+    last = f"if(a = {dx}, {dy}, int(((2 * a + 1) * {dy} + {dx} - 1) div (2 * {dx})))"
+    cell = f"int(x1 + a * sign(x2 - x1) + {GRID_COLUMNS} * (y1 + b * sign(y2 - y1)))"
+    return f"flatten(transform(sequence(0, {dx}), a -> transform(sequence({first}, {last}), b -> {cell})))"
+
+
+WAY_CELLS = _way_cells()
+
+
 def register_sql_functions(spark: SparkSession) -> None:
     """Make the functions callable by name from SQL text; the optimizer inlines them."""
     box = f"lon BETWEEN {LON_WEST}D AND {LON_EAST}D AND lat BETWEEN {LAT_SOUTH}D AND {LAT_NORTH}D"
@@ -103,5 +121,6 @@ def register_sql_functions(spark: SparkSession) -> None:
         "planarKm(lon1 FLOAT, lat1 FLOAT, lon2 FLOAT, lat2 FLOAT) RETURNS DOUBLE": distance,
         "timeDiff(first TIMESTAMP, second TIMESTAMP) RETURNS BIGINT": "unix_millis(second) - unix_millis(first)",
     }
+    bodies["cellsOnWay(x1 INT, y1 INT, x2 INT, y2 INT) RETURNS TABLE (cell INT)"] = f"SELECT explode({WAY_CELLS})"
     for signature, body in bodies.items():
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {signature} RETURN {body}")

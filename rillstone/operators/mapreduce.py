@@ -26,7 +26,7 @@ def map_reduce(
 
     ``combine_fn`` takes and returns rows of ``map_schema`` and may run any number of times; it
     leaves few rows per key. A frequent key is combined in ``spread`` parts before its reduce, by default about the square
-    root of the number of map tasks, so that neither a part nor the reduce meets more than so many batches' worth of rows.
+    root of the number of shuffle partitions, so that neither a part nor the reduce meets more than so many batches' worth of rows.
     """
 
     def map_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -34,7 +34,7 @@ def map_reduce(
             yield combine_fn(map_fn(batch))
 
     mapped = df.mapInPandas(map_batches, map_schema)
-    spread = spread or max(1, isqrt(df.rdd.getNumPartitions()))
+    spread = spread or max(1, isqrt(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     parts = mapped.withColumn("_part", F.pmod(F.spark_partition_id(), F.lit(spread)))
     combined = parts.groupBy(*keys, "_part").applyInPandas(
         lambda pdf: combine_fn(pdf.drop(columns="_part")), map_schema

@@ -9,6 +9,8 @@ from rillstone.functions.geo import EARTH_RADIUS_KM, haversine_km
 from rillstone.session import shared_folder
 
 THREE_HOURS = 10_800
+# 2^14 registers of a sketch.
+SKETCH_BITS = 14
 
 
 def longest_bike(trips: DataFrame) -> DataFrame:
@@ -27,6 +29,16 @@ def count_bikes(trips: DataFrame) -> DataFrame:
     return trips.agg(F.count_distinct("bike_id").alias("n"))
 
 
+def bike_sketches(trips: DataFrame, by: str) -> DataFrame:
+    """A sketch of the bikes of each group, for distinct counts that add up over groups; it has a fixed size."""
+    return trips.groupBy(by).agg(F.hll_sketch_agg("bike_id", F.lit(SKETCH_BITS)).alias("sketch"))
+
+
+def bikes_of_sketches(sketches: DataFrame, *by: str) -> DataFrame:
+    """About how many bikes there are in all groups, or for each value of ``by``; the error is about 1 %."""
+    return sketches.groupBy(*by).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("n"))
+
+
 def zip_codes_over(trips: DataFrame, seconds: int = THREE_HOURS) -> DataFrame:
     """Zip codes whose trips add up to more than ``seconds``."""
     totals = trips.groupBy("zip_code").agg(F.sum("duration").alias("total_duration"))

@@ -131,17 +131,44 @@ def active_queries(control: DataFrame, max_rows: int | None = None) -> DataFrame
     return s.rows().filter("_probe").select("query_id", "lon", "lat", "ts", "until")
 
 
+# Sizes in hours of the blocks of time that stand for a query's hours.
+_BLOCKS = (1, 64, 4096)
+
+
+def _blocks_between(first: Column, last: Column) -> Column:
+    """The hours ``first`` to ``last`` as ``(size, block)``: whole blocks inside, smaller ones at both ends."""
+
+    def run(low: Column, high: Column, size: int) -> Column:
+        blocks = F.transform(F.sequence(low, high), lambda b: F.struct(F.lit(size).alias("size"), b.alias("block")))
+        return F.when(low <= high, blocks).otherwise(F.array().cast("array<struct<size: int, block: bigint>>"))
+
+    out, low, high = [], first, last
+    for size, larger in zip(_BLOCKS, (*_BLOCKS[1:], None)):
+        if larger is None:
+            out.append(run(low, high, size))
+            break
+        step = larger // size
+        inner_low, inner_high = F.ceil(low / step), F.floor((high + 1) / step) - 1
+        none = inner_low > inner_high
+        out.append(run(low, F.when(none, high).otherwise(inner_low * step - 1), size))
+        out.append(run(F.when(none, high + 1).otherwise((inner_high + 1) * step), high, size))
+        low, high = inner_low, inner_high
+    return F.concat(*out)
+
+
 def active_reports(rides: DataFrame, queries: DataFrame) -> DataFrame:
     """Distances to the locations that are asked for at the time of the ride's end.
 
-    Rides meet the queries that end by the hour; only queries without an end, those of the last quarter of an hour of the
-    control rows, are put to every ride.
+    Rides meet the queries that end by blocks of hours, a few hundred for a query of ten years; only queries without an end,
+    those of the last quarter of an hour of the control rows, are put to every ride.
     """
     timed = queries.withColumnRenamed("ts", "since")
     hour = lambda c: F.floor(F.unix_seconds(c) / 3600)
     ends = ride_ends(rides)
-    closed = timed.filter("until IS NOT NULL").withColumn("_hour", F.explode(F.sequence(hour(F.col("since")), hour(F.col("until")))))
-    met = ends.withColumn("_hour", hour(F.col("event_time"))).join(closed, "_hour").drop("_hour")
+    blocks = F.explode(_blocks_between(hour(F.col("since")), hour(F.col("until"))))
+    closed = timed.filter("until IS NOT NULL").withColumn("_block", blocks)
+    places = F.array(*[F.struct(F.lit(n).alias("size"), F.floor(hour(F.col("event_time")) / n).alias("block")) for n in _BLOCKS])
+    met = ends.withColumn("_block", F.explode(places)).join(closed, "_block").drop("_block")
     always = with_every_row(ends, timed.filter("until IS NULL"))
     asked = (F.col("event_time") >= F.col("since")) & (F.col("until").isNull() | (F.col("event_time") < F.col("until")))
     return with_distance(met.unionByName(always).filter(asked))
@@ -224,6 +251,10 @@ def _kept(pdf: pd.DataFrame) -> pd.DataFrame:
     return pdf[best].drop(columns=["t", "in_t", "in_d", "slice"])
 
 
+# Rows of a range that a task holds at a time.
+RANGE_ROWS = 500_000
+
+
 def improving_reports(reports: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Reports ``(query_id, event_time, ride_id, distance, ...)`` that were the best when they came.
 
@@ -232,7 +263,7 @@ def improving_reports(reports: DataFrame, max_rows: int | None = None) -> DataFr
     then mark their own reports. The number of jobs does not depend on how often reports are forgotten.
     """
     names = reports.columns
-    ranged = slice_groups(reports, ["query_id"], ["event_time", "ride_id"], max_rows).df
+    ranged = slice_groups(reports, ["query_id"], ["event_time", "ride_id"], max_rows or RANGE_ROWS).df
     timed = ranged.withColumnRenamed("_slice", "slice").withColumn("t", F.unix_micros("event_time"))
     slim = timed.select("query_id", "slice", "t", "ride_id", "distance")
     summaries = slim.groupBy("query_id", "slice").applyInPandas(_summarised, _SUMMARY)

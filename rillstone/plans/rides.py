@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from rillstone.functions import geo
 from rillstone.functions.text import whole_minutes
@@ -61,7 +58,7 @@ def unmatched_rides(rides: DataFrame, fares: DataFrame, bound: str | None = None
     return starts(rides, True).join(_fares_apart(fares).select("fare_ride_id", "fare_start_time"), same_ride(bound), "left_anti")
 
 
-def unmatched_sides(rides: DataFrame, fares: DataFrame) -> DataFrame:
+def unmatched_sides(rides: DataFrame, fares: DataFrame, bound: str | None = None) -> DataFrame:
     """Both kinds of unmatched rows, told apart by ``output_tag``.
 
     Two anti joins rather than one full join: adaptive execution can split a skewed anti join.
@@ -70,8 +67,8 @@ def unmatched_sides(rides: DataFrame, fares: DataFrame) -> DataFrame:
     def tagged(rows: DataFrame, tag: str) -> DataFrame:
         return rows.select(F.lit(tag).alias("output_tag"), "ride_id", "taxi_id")
 
-    lonely_fares = tagged(unmatched_fares(rides, fares), "unmatched_fare")
-    return lonely_fares.unionByName(tagged(unmatched_rides(rides, fares), "unmatched_ride"))
+    lonely_fares = tagged(unmatched_fares(rides, fares, bound), "unmatched_fare")
+    return lonely_fares.unionByName(tagged(unmatched_rides(rides, fares, bound), "unmatched_ride"))
 
 
 def hourly_tips(fares: DataFrame) -> DataFrame:
@@ -243,57 +240,31 @@ def travel_time_prediction(rides: DataFrame, max_rows: int | None = None) -> Dat
     return s.rows().filter("is_start").select("ride_id", F.coalesce(guess, F.lit(-1)).alias("predicted_minutes"))
 
 
-def grid_walk(x1: np.ndarray, y1: np.ndarray, x2: np.ndarray, y2: np.ndarray) -> list[np.ndarray]:
-    """Cells crossed on the straight way between grid positions, for a batch of ways at once.
-
-    All ways are walked west to east at once; ways that have come to their end leave the batch. The cell in whose column
-    the line is looked up is half a column ahead, and half a row towards the slope. Near the line a rising way takes the
-    diagonal; a falling way takes it and, as results require, makes a second move from there. A way ends at its last
-    column once its row is reached, or passed in the direction of the slope.
-    """
-    if not len(x1):
-        return []
-    west = np.where(x1 <= x2, [x1, y1], [x2, y2]).astype(np.int64)
-    east = np.where(x1 <= x2, [x2, y2], [x1, y1]).astype(np.int64)
-    slope = (east[1] - west[1]) / ((east[0] - west[0]) + 1e-8)
-    rises = slope > 0
-    way, x, y = np.arange(len(x1)), west[0].copy(), west[1].copy()
-    ways, cells = [way], [x + y * geo.GRID_COLUMNS]
-    while len(way):
-        ahead = np.where(rises[way], east[1][way] > y, east[1][way] < y)
-        on = (x < east[0][way]) | ahead
-        way, x, y = way[on], x[on], y[on]
-        up = rises[way]
-        line = (x - west[0][way] + 0.5) * slope[way] + west[1][way] + np.where(up, -0.5, 0.5)
-        near = np.abs(line - y) < 0.05
-        # After the diagonal a falling way goes on as it would without one.
-        y = y - (near & ~up)
-        x = x + near
-        along = np.where(up, ~near & (line < y), line > y)
-        y = y + np.where(up, near | (line >= y), -(~along).astype(np.int64))
-        x = x + along
-        ways.append(way)
-        cells.append(x + y * geo.GRID_COLUMNS)
-    way, cell = np.concatenate(ways), np.concatenate(cells).astype(np.int32)
-    order = np.argsort(way, kind="stable")
-    return np.split(cell[order], np.cumsum(np.bincount(way, minlength=len(x1)))[:-1])
-
-
-@F.pandas_udf(T.ArrayType(T.IntegerType()))
-def cells_on_way(x1: pd.Series, y1: pd.Series, x2: pd.Series, y2: pd.Series) -> pd.Series:
-    return pd.Series(grid_walk(*(s.to_numpy() for s in (x1, y1, x2, y2))))
-
-
-def route_cell_traffic(rides: DataFrame) -> DataFrame:
-    """How many rides cross each grid cell. Rides are counted per way before the ways are walked."""
-    ways = starts(ride_cleansing(rides)).groupBy(
+def _ways(rides: DataFrame) -> DataFrame:
+    """Rides per pair of grid cells, so that a way is worked out once."""
+    return starts(ride_cleansing(rides)).groupBy(
         geo.grid_x(F.col("start_lon")).alias("x1"), geo.grid_y(F.col("start_lat")).alias("y1"),
         geo.grid_x(F.col("end_lon")).alias("x2"), geo.grid_y(F.col("end_lat")).alias("y2"),
     ).agg(F.count(F.lit(1)).alias("n"))
-    cells = ways.select("n", F.explode(F.array_distinct(cells_on_way("x1", "y1", "x2", "y2"))).alias("cell"))
+
+
+def route_cell_traffic(rides: DataFrame) -> DataFrame:
+    """How many rides cross each grid cell on the straight way from start to end."""
+    cells = _ways(rides).select("n", F.explode(F.expr(geo.WAY_CELLS)).alias("cell"))
     return cells.groupBy("cell").agg(F.sum("n").alias("rides"))
 
 
+ROUTE_CELLS_SQL = """
+SELECT cell, sum(n) AS rides FROM {ways} AS w, LATERAL cellsOnWay(w.x1, w.y1, w.x2, w.y2) GROUP BY cell
+"""
+
+
+def route_cell_traffic_sql(spark: SparkSession, rides: DataFrame) -> DataFrame:
+    """The same question as SQL text over the table function ``cellsOnWay``."""
+    geo.register_sql_functions(spark)
+    return spark.sql(ROUTE_CELLS_SQL, ways=_ways(rides))
+
+
 def rides_table(rides: DataFrame) -> DataFrame:
     """The table form of ride events: event time in place of start and end."""
     shaped = with_event_time(rides)

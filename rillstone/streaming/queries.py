@@ -15,8 +15,6 @@ from rillstone.plans import rides as batch
 from rillstone.schemas import FARE_COLUMNS, RIDE_COLUMNS
 
 EVENT_DELAY = "60 seconds"
-# How far apart a ride and its fare may start, unless told; join state is kept for so long.
-PAIR_BOUND = "1 HOUR"
 
 
 def ride_cleansing(rides: DataFrame) -> DataFrame:
@@ -70,19 +68,25 @@ def _timed_fares(fares: DataFrame, delay: str) -> DataFrame:
     return fares.select(*[F.col(c).alias(f"fare_{c}") for c in FARE_COLUMNS]).withWatermark("fare_start_time", delay)
 
 
-def rides_and_fares(rides: DataFrame, fares: DataFrame, delay: str = EVENT_DELAY, bound: str = PAIR_BOUND) -> DataFrame:
-    """Inner join of two streams. A fare must start within ``bound`` of its ride, as in the batch form with that bound."""
-    return _timed_starts(rides, delay).join(_timed_fares(fares, delay), batch.same_ride(bound))
+def rides_and_fares(
+    rides: DataFrame, fares: DataFrame, bound: str, delay: str = EVENT_DELAY, fare_delay: str | None = None
+) -> DataFrame:
+    """Inner join of two streams. A fare must start within ``bound`` of its ride, as in the batch form with that bound.
 
+    State is kept for ``bound`` and the delays. Each input has its own lateness (``fare_delay`` is ``delay`` unless told). By
+    Spark's policy the slower of the two watermarks counts for both; see :func:`rillstone.streaming.runner.watermark_policy`.
+    """
+    return _timed_starts(rides, delay).join(_timed_fares(fares, fare_delay or delay), batch.same_ride(bound))
 
-def unmatched_fares(rides: DataFrame, fares: DataFrame, delay: str = EVENT_DELAY, bound: str = PAIR_BOUND) -> DataFrame:
+
+def unmatched_fares(rides: DataFrame, fares: DataFrame, bound: str, delay: str = EVENT_DELAY) -> DataFrame:
     """Fares given up once the watermark says that no ride can follow."""
     known = _timed_starts(rides, delay, drop_reserved=True).select("ride_id", "start_time")
     joined = _timed_fares(fares, delay).join(known, batch.same_ride(bound), "left_outer")
     return joined.filter(F.col("ride_id").isNull()).select(*[F.col(f"fare_{c}").alias(c) for c in FARE_COLUMNS])
 
 
-def unmatched_rides(rides: DataFrame, fares: DataFrame, delay: str = EVENT_DELAY, bound: str = PAIR_BOUND) -> DataFrame:
+def unmatched_rides(rides: DataFrame, fares: DataFrame, bound: str, delay: str = EVENT_DELAY) -> DataFrame:
     starts = _timed_starts(rides, delay, drop_reserved=True)
     joined = starts.join(_timed_fares(fares, delay), batch.same_ride(bound), "left_outer")
     return joined.filter(F.col("fare_ride_id").isNull()).select(*RIDE_COLUMNS)
@@ -104,8 +108,35 @@ def ride_count(rides: DataFrame) -> DataFrame:
     return batch.ride_count(rides)
 
 
-def late_events(cars: DataFrame, processing_window: str = "1 second") -> DataFrame:
-    """Rows already marked late, counted per window of processing time; run it in update mode."""
-    stamped = cars.filter("is_late").withColumn("_now", F.current_timestamp())
-    counted = stamped.groupBy(F.window("_now", processing_window).alias("w")).agg(F.count(F.lit(1)).alias("cnt"))
-    return counted.select(F.lit("LATE").alias("tag"), "cnt", F.col("w.end").alias("at"))
+def rides_view(rides: DataFrame, name: str = "TaxiRides", delay: str = EVENT_DELAY) -> DataFrame:
+    """Register a stream of rides for SQL text: its event time with the watermark, and the library's functions."""
+    spark = rides.sparkSession
+    geo.register_sql_functions(spark)
+    timed = with_event_time(rides).withWatermark("event_time", delay)
+    timed.createOrReplaceTempView(name)
+    return timed
+
+
+def popular_places_sql(rides: DataFrame, threshold: int = 20, delay: str = EVENT_DELAY) -> DataFrame:
+    """The SQL text of :func:`rillstone.plans.rides.popular_places_sql` over a stream; in append or update mode."""
+    timed = rides_view(rides, delay=delay)
+    return rides.sparkSession.sql(batch.POPULAR_PLACES_SQL, rides=timed, threshold=threshold)
+
+
+def place_changes(rides: DataFrame, delay: str = EVENT_DELAY, sign: str | None = None) -> DataFrame:
+    """Rides per cell and window so far, for a log of changes; with a column ``sign`` of 1 and -1, rides can be taken back."""
+    events = with_event_time(rides).withWatermark("event_time", delay)
+    inside = events.filter(geo.in_nyc(F.col("start_lon"), F.col("start_lat")) & geo.in_nyc(F.col("end_lon"), F.col("end_lat")))
+    cnt = F.sum(F.col(sign)) if sign else F.count(F.lit(1))
+    counted = inside.groupBy(relevant_cell().alias("cell"), "is_start", F.window("event_time", "15 minutes", "5 minutes").alias("w")).agg(cnt.alias("cnt"))
+    return counted.select("cell", "is_start", F.col("w.end").alias("window_end"), F.col("cnt").cast("bigint").alias("cnt"))
+
+
+PLACE_KEYS = ["cell", "is_start", "window_end"]
+PLACE_CHANGES = "cell INT, is_start BOOLEAN, window_end TIMESTAMP, cnt BIGINT"
+
+
+def fenced(rides: DataFrame) -> DataFrame:
+    """Rides with ``output_tag`` inside or outside New York, for a sink per tag."""
+    inside = geo.in_nyc(F.col("start_lon"), F.col("start_lat")) & geo.in_nyc(F.col("end_lon"), F.col("end_lat"))
+    return rides.withColumn("output_tag", F.when(F.coalesce(inside, F.lit(False)), "inside").otherwise("outside"))

@@ -8,7 +8,7 @@ joins give up waiting and timers fire. Operators never see the difference.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
@@ -17,11 +17,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rillstone.session import prepare, shared_folder
+from rillstone.streaming.steered import Steered, merged
 from rillstone.streaming.steps import OrderedSteps, Step
 
 FLUSH_TIME = datetime(2100, 1, 1, tzinfo=timezone.utc)
-# Watermark delay for replays whose file order says nothing about event time.
-REPLAY_DELAY = "60 days"
 # A replay in steps has at least so many, and more when a step would have more rows than this.
 STEPS = 4
 STEP_ROWS = 1_000_000
@@ -39,19 +38,25 @@ def table_stream(spark: SparkSession, folder: str, name: str, files_per_batch: i
 def stepped_stream(df: DataFrame, order: str, home: str, steps: int = STEPS) -> DataFrame:
     """A table as a stream of files that follow each other in ``order`` (a time), one per micro-batch.
 
-    Each step is a stretch of time of equal length, written as one file of bounded size.
+    The rows are written once, in ranges of about equal size; a time that many rows share takes several of them. Rows
+    without a time come last.
     """
-    spark = df.sparkSession
-    n, low, high = df.agg(F.count(F.lit(1)), F.unix_micros(F.min(order)), F.unix_micros(F.max(order))).first()
-    steps = max(steps, -(-n // STEP_ROWS))
-    width = ((high or 0) - (low or 0)) // steps + 1
-    number = F.floor((F.unix_micros(order) - F.lit(low or 0)) / width)
-    df.limit(0).write.mode("overwrite").parquet(home)
-    for i in range(steps):
-        df.filter(number == i).coalesce(1).write.mode("append").parquet(home)
+    spark, n = df.sparkSession, df.count()
+    ranged = df.repartitionByRange(max(steps, -(-n // STEP_ROWS)), F.col(order).asc_nulls_last(), F.xxhash64(*df.columns))
+    ranged.write.mode("overwrite").parquet(home)
+    _aged_by_name(spark, home)
     return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(home)
 
 
+def _aged_by_name(spark: SparkSession, folder: str) -> None:
+    """Give the files of a folder ages in the order of their names, by which a file stream reads them."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    paths = sorted((f.getPath() for f in fs.listStatus(at) if f.getPath().getName().startswith("part-")), key=lambda p: p.getName())
+    for k, path in enumerate(paths):
+        fs.setTimes(path, 1_000_000_000_000 + 1000 * k, -1)
+
+
 @dataclass
 class Replay:
     """Input streams with their flush rows, and the home of checkpoint and output."""
@@ -98,6 +103,39 @@ class Replay:
         self.sources += 1
         return stepped_stream(df, order, f"{self.home}/source-{self.sources}")
 
+    def steered(
+        self, df: DataFrame, order: str, messages: list[tuple[datetime, str]], fold: Callable[[str], Steered]
+    ) -> DataFrame:
+        """Answers of a steered query over the table as a stream; a message arrives after the rows up to its (UTC) time.
+
+        The rows are written once, by the stretch between two messages. Each arrival is a run of its own on the same
+        checkpoint.
+        """
+        spark, source, talk = self.spark, f"{self.home}/events", f"{self.home}/messages"
+        times = sorted({t.replace(tzinfo=timezone.utc) for t, _ in messages})
+        stretch = F.coalesce(sum((F.col(order) > F.lit(t)).cast("int") for t in times), F.lit(len(times)))
+        staged = df.withColumn("_stretch", stretch).repartitionByRange("_stretch", order, F.xxhash64(*df.columns))
+        staged.write.partitionBy("_stretch").parquet(f"{self.home}/staged")
+        staged = spark.read.schema(staged.schema).parquet(f"{self.home}/staged")
+        df.limit(0).write.parquet(source)
+        spark.createDataFrame([], "value STRING").write.text(talk)
+        both = merged(spark.readStream.schema(df.schema).parquet(source), spark.readStream.text(talk))
+        run = fold(self.home)
+
+        def start():
+            writer = both.writeStream.foreachBatch(run)
+            return writer.option("checkpointLocation", f"{self.home}/checkpoint").trigger(availableNow=True).start()
+
+        with _stream_partitions(spark):
+            for k in range(len(times) + 1):
+                staged.filter(F.col("_stretch") == k).select(*df.columns).write.mode("append").parquet(source)
+                start().awaitTermination()
+                if k < len(times):
+                    lines = [(text,) for at, text in messages if at.replace(tzinfo=timezone.utc) == times[k]]
+                    spark.createDataFrame(lines, "value STRING").coalesce(1).write.mode("append").text(talk)
+                    start().awaitTermination()
+        return run.answers(spark)
+
     def steps(
         self, source: DataFrame, ts: str, delay: str, step: Step, carry_schema: str, out_schema: str, arrival: tuple[str, ...] = ()
     ) -> DataFrame:
@@ -111,6 +149,20 @@ class Replay:
         self._run(start)
         return self.spark.read.schema(out_schema).parquet(f"{self.home}/out/*")
 
+    def batches(self, source: DataFrame, fold: Callable[[DataFrame, int], None], mode: str = "append") -> None:
+        """Run a ``foreachBatch`` function over all that is available."""
+
+        def start():
+            writer = source.writeStream.outputMode(mode).foreachBatch(fold)
+            return writer.option("checkpointLocation", f"{self.home}/checkpoint").trigger(availableNow=True).start()
+
+        self._run(start)
+
+    def state(self, operator: int = 0, **options: str) -> DataFrame:
+        """What a run has left in its state: ``key`` and ``value`` of an aggregate, or of one side of a join (``joinSide``)."""
+        reader = self.spark.read.format("statestore").option("operatorId", operator)
+        return reader.options(**options).load(f"{self.home}/checkpoint")
+
     def late(self, schema: T.StructType) -> DataFrame:
         """The late rows of a run by steps."""
         return self.spark.read.schema(schema).parquet(f"{self.home}/late/*")
@@ -147,3 +199,24 @@ def _stream_partitions(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         spark.conf.set(name, before)
+
+
+@contextmanager
+def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(name)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def watermark_policy(spark: SparkSession, policy: str) -> AbstractContextManager[None]:
+    """Queries started inside take the ``min`` or the ``max`` of the watermarks of their inputs as their own."""
+    return _setting(spark, "spark.sql.streaming.multipleWatermarkPolicy", policy)
+
+
+def data_batches_only(spark: SparkSession) -> AbstractContextManager[None]:
+    """Queries started inside have no micro-batches without input. State that expires by the clock asks for one after the
+    other, so a run over all that is available would never end."""
+    return _setting(spark, "spark.sql.streaming.noDataMicroBatches.enabled", "false")

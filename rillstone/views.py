@@ -179,7 +179,7 @@ def location_queries(spark: SparkSession) -> DataFrame:
 
 
 def thresholds(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(30,), (60,), (120,)], "n BIGINT")
+    return spark.createDataFrame([(0,), (5,), (30,)], "n BIGINT")
 
 
 def rules(spark: SparkSession) -> DataFrame:

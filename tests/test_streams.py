@@ -12,9 +12,9 @@ from rillstone.operators import events
 from rillstone.plans import control, rides
 from rillstone.session import shared_folder
 from rillstone.sources import connectors
-from rillstone.streaming import ordered, steps
+from rillstone.streaming import steps
 from rillstone.streaming import queries as stream
-from rillstone.streaming.runner import FLUSH_TIME, REPLAY_DELAY, Replay, table_stream
+from rillstone.streaming.runner import FLUSH_TIME, Replay, table_stream
 from test_events import at, fare, fare_table, ride, ride_table
 from verification.bindings import CAR_FLUSH, CONTROL_ROWS, FARE_FLUSH, RIDE_FLUSH
 
@@ -27,35 +27,11 @@ def in_files(spark, folder, name, parts, source):
     return home
 
 
-def test_keyed_pairs_and_reports(spark, folder):
-    raw = table_stream(spark, folder, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    replay = Replay(spark, "keyed-pairs")
-    source = replay.flushed(views.items_of(raw, "ts"), [(-1, "view", -1, FLUSH_TIME)])
-    got = replay.to_table(ordered.rule_pairs(source, views.rules(spark), REPLAY_DELAY))
-    assert rows(got) == rows(events.rule_pairs(views.items(spark, folder), views.rules(spark)))
-    asked = spark.createDataFrame(CONTROL_ROWS, "query_id BIGINT, lon FLOAT, lat FLOAT, ts TIMESTAMP")
-    replay = Replay(spark, "keyed-reports")
-    reports = control.active_reports(views.rides_of(table_stream(spark, folder, "orders")), control.active_queries(asked))
-    source = replay.flushed(reports, [(-1, -1, -1, FLUSH_TIME, 0.0)])
-    got = replay.to_table(ordered.nearest_taxi_expiring(source, REPLAY_DELAY))
-    assert rows(got) == rows(control.nearest_taxi_expiring(views.rides(spark, folder), asked))
-
-
-@pytest.mark.parametrize("name", ["segments", "positions", "sessions"])
-def test_many_small_batches_equal_one_table(spark, folder, name):
+def test_many_small_batches_equal_one_table(spark, folder):
     home = in_files(spark, folder, "events", 3, folder)
-    replay = Replay(spark, name)
+    replay = Replay(spark, "sessions")
     source = replay.flushed(views.cars_of(table_stream(spark, home, "events", files_per_batch=1)), CAR_FLUSH)
-    table = views.cars(spark, folder)
-    result, want = {
-        "segments": lambda: (ordered.driving_segments(source, delay=REPLAY_DELAY), events.driving_segments(table)),
-        "positions": lambda: (
-            ordered.car_event_sort(source, REPLAY_DELAY), events.positions(table, ["car_id"], ["ts", "event_id"])
-        ),
-        "sessions": lambda: (
-            stream.driving_sessions(source, "6 hours", REPLAY_DELAY), events.sessions(table, "6 HOURS")
-        ),
-    }[name]()
+    result, want = stream.driving_sessions(source, "6 hours", "60 days"), events.sessions(views.cars(spark, folder), "6 HOURS")
     digits = [F.round(c, 6).alias(c) if t == "double" else F.col(c) for c, t in want.dtypes]
     assert rows(replay.to_table(result).select(*digits)) == rows(want.select(*digits))
 
@@ -153,17 +129,6 @@ def test_restart_continues_from_the_checkpoint(spark, folder):
     assert run() == rows(rides.ride_count(views.rides_of(orders)))
 
 
-def test_state_can_be_read_back(spark, folder):
-    place = shared_folder(spark, "snapshot")
-    source = views.cars_of(table_stream(spark, folder, "events"))
-    Replay(spark, "snapshot", place).to_table(ordered.driving_segments(source, delay=REPLAY_DELAY))
-    waiting = (
-        spark.read.format("statestore").option("stateVarName", "waiting").load(f"{place}/checkpoint")
-    )
-    cars = {r["key"]["car_id"] for r in waiting.select("key").collect()}
-    assert cars == {r["user_id"] for r in spark.read.parquet(f"{folder}/events.parquet").select("user_id").collect()}
-
-
 def file_stream(spark, tables, name):
     """One file per step."""
     home = shared_folder(spark, name)
@@ -178,7 +143,7 @@ def test_unmatched_fares_in_both_orders(spark, turned):
     replay = Replay(spark, "unmatched")
     fares = replay.flushed(file_stream(spark, pair[::-1] if turned else pair, "fares"), FARE_FLUSH)
     seen = replay.flushed(file_stream(spark, [ride_table(spark, [ride(1)])], "rides"), RIDE_FLUSH)
-    assert rows(replay.to_table(stream.unmatched_fares(seen, fares)), "ride_id") == [(2,)]
+    assert rows(replay.to_table(stream.unmatched_fares(seen, fares, "1 HOUR")), "ride_id") == [(2,)]
 
 
 def test_pairs_beyond_the_bound_are_alike_in_both_forms(spark):
@@ -222,27 +187,15 @@ def test_rows_behind_the_watermark_are_dropped(spark):
     assert got == [(at(360), 1, 6.0)]
 
 
-def test_long_rides_and_predictions_wait_for_order(spark):
-    b = (-73.9, 40.8)
+def test_long_rides_wait_for_order(spark):
     data = []
     for number, begin in [(1, 0), (2, 60), (3, 120)]:
-        data += [ride(number, begin=at(begin), b=b), ride(number, False, at(begin), at(begin + 10), b=b)]
-    data.append(ride(4, begin=at(5), b=b))
+        data += [ride(number, begin=at(begin)), ride(number, False, at(begin), at(begin + 10))]
+    data.append(ride(4, begin=at(5)))
     steps = [ride_table(spark, [r]) for r in data[::-1]]
-    replay = Replay(spark, "backwards")
-    source = replay.flushed(file_stream(spark, steps, "backwards"), RIDE_FLUSH)
-    got = rows(replay.to_table(ordered.travel_time_prediction(source, "1 day")))
-    assert got == [(1, -1), (2, -1), (3, 10), (4, -1)]
-    again = Replay(spark, "long")
-    source = again.flushed(file_stream(spark, steps, "backwards-long"), RIDE_FLUSH)
-    assert rows(again.to_table(stream.long_rides(source, "1 day")), "ride_id") == [(4,)]
-
-
-def test_late_rows_are_counted_by_processing_time(spark):
-    schema = "car_id BIGINT, is_late BOOLEAN"
-    steps = [spark.createDataFrame([(1, True), (2, False)], schema), spark.createDataFrame([(3, True)], schema)]
-    found = Replay(spark, "late-count").latest(stream.late_events(file_stream(spark, steps, "late-count")), ["at"])
-    assert found.agg(F.sum("cnt")).first()[0] == 2
+    replay = Replay(spark, "long")
+    source = replay.flushed(file_stream(spark, steps, "backwards-long"), RIDE_FLUSH)
+    assert rows(replay.to_table(stream.long_rides(source, "1 day")), "ride_id") == [(4,)]
 
 
 def test_text_files_as_a_stream(spark, tmp_path):

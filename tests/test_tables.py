@@ -2,6 +2,7 @@
 
 import math
 import random
+from fractions import Fraction
 
 import numpy as np
 import pandas as pd
@@ -14,7 +15,6 @@ from rillstone.functions.text import tag_list, year_of
 from rillstone.operators import documents, mapreduce, matrix, relational
 from rillstone.operators.joins import with_every_row
 from rillstone.plans import bikes, languages
-from rillstone.plans.rides import grid_walk
 from rillstone.sources import posts
 
 
@@ -229,31 +229,29 @@ def test_geo_values(spark):
     assert rows(bucket) == [(-1, 0), (359, 7)]
 
 
-def walk_one(x1, y1, x2, y2):
-    """One way, step by step."""
-    (x, y), (ex, ey) = sorted([(x1, y1), (x2, y2)], key=lambda p: p[0]) if x1 != x2 else ((x1, y1), (x2, y2))
-    sx, sy, path, slope = x, y, [x + 250 * y], (ey - y) / ((ex - x) + 1e-8)
-    limit = 4 * ((ex - x) + abs(ey - y)) + 8
-    while (x < ex or y != ey) and len(path) <= limit:
-        line = (x - sx + 0.5) * slope + sy + (-0.5 if slope > 0 else 0.5)
-        near = y - 0.05 < line < y + 0.05
-        if slope > 0:
-            dx, dy = (1, 1) if near else ((1, 0) if line < y else (0, 1))
-            x, y = x + dx, y + dy
-        else:
-            if near:
-                x, y = x + 1, y - 1
-            if line > y:
-                x += 1
-            else:
-                y -= 1
-        path.append(x + 250 * y)
-    return path
-
-
-def test_grid_walk():
+def meets_inside(x1, y1, x2, y2, cx, cy):
+    """Whether the line between the middles of two cells has a point inside a third: its stretch within the cell is not empty."""
+    low, high = Fraction(0), Fraction(1)
+    for start, end, middle in ((x1, x2, cx), (y1, y2, cy)):
+        near, far, step = middle - Fraction(1, 2), middle + Fraction(1, 2), end - start
+        if step == 0:
+            if not near < start < far:
+                return False
+            continue
+        cuts = sorted(((near - start) / step, (far - start) / step))
+        low, high = max(low, cuts[0]), min(high, cuts[1])
+    return low < high or (x1, y1) == (x2, y2)
+
+
+def test_cells_on_way(spark):
     rng = random.Random(5)
-    ways = [tuple(rng.randrange(40) for _ in range(4)) for _ in range(300)] + [(3, 3, 3, 3), (0, 0, 9, 9), (0, 9, 9, 0), (2, 8, 2, 1)]
-    got = grid_walk(*(np.array(c) for c in zip(*ways)))
-    assert [list(g) for g in got] == [walk_one(*w) for w in ways]
-    assert list(grid_walk(*(np.array([v]) for v in (0, 0, 3, 0)))[0]) == [0, 1, 2, 3]
+    ways = [tuple(rng.randrange(14) for _ in range(4)) for _ in range(150)] + [(3, 3, 3, 3), (0, 0, 9, 9), (0, 9, 9, 0), (2, 8, 2, 1), (0, 0, 3, 0)]
+    df = spark.createDataFrame(ways, "x1 INT, y1 INT, x2 INT, y2 INT")
+    for r in df.withColumn("cells", F.expr(geo.WAY_CELLS)).collect():
+        way = (r.x1, r.y1, r.x2, r.y2)
+        xs, ys = (range(min(p), max(p) + 1) for p in ((r.x1, r.x2), (r.y1, r.y2)))
+        assert sorted(r.cells) == sorted(x + 250 * y for x in xs for y in ys if meets_inside(*way, x, y)), way
+    geo.register_sql_functions(spark)
+    df.createOrReplaceTempView("ways")
+    counted = spark.sql("SELECT count(*) AS n FROM ways w, LATERAL cellsOnWay(w.x1, w.y1, w.x2, w.y2)").first().n
+    assert counted == df.select(F.explode(F.expr(geo.WAY_CELLS))).count()

@@ -9,13 +9,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rillstone import views
+from rillstone import schemas, views
 from rillstone.operators import documents, events, mapreduce, matrix, relational
 from rillstone.plans import bikes, cars, control, languages, rides
 from rillstone.functions import geo
 from rillstone.session import prepare, shared_folder
-from rillstone.sources import connectors, lines, posts, raw
-from rillstone.streaming import steps
+from rillstone.sources import connectors, lines, named, posts, raw
+from rillstone.streaming import late, sinks, steered, steps
 from rillstone.streaming import queries as stream
 from rillstone.streaming.runner import FLUSH_TIME, Replay
 
@@ -25,7 +25,10 @@ DIGITS = 6
 CAR_DELAY = "30 MINUTES"
 STREAM_CAR_DELAY = "30 SECONDS"
 SESSION_GAP = "6 HOURS"
+# How far apart a ride and its fare may start in a stream.
+PAIR_BOUND = "1 HOUR"
 WATERMARK = datetime(2013, 1, 1, 12, 0, 0)
+THRESHOLDS = [(WATERMARK, 0), (WATERMARK, 30), (datetime(2013, 1, 1, 20, 0, 0), 0), (datetime(2013, 1, 1, 20, 0, 0), 2)]
 TAXI_QUERIES = [
     (datetime(2013, 1, 1, 8, 0, 0), "ride.is_start AND watermark - ride.event_millis > 100 * 60000"),
     (datetime(2013, 1, 1, 20, 0, 0), "NOT ride.is_start AND planarKm(-74.0, 41.0, ride.end_lon, ride.end_lat) < 40.0"),
@@ -171,6 +174,20 @@ def _popular_places_sql(spark, d):
     return p.select(F.col("location.lon").alias("lon"), F.col("location.lat").alias("lat"), "wstart", "wend", "is_start", "pop_cnt")
 
 
+def _named_rides(spark, d):
+    path = shared_folder(spark, "ride-files")
+    views.rides(spark, d).select(lines.ride_line()).write.text(path, compression="gzip")
+    return named.read_named(spark, "taxi-rides", path=path).drop("event_time")
+
+
+def _bike_sketch(spark, d):
+    """The exact number, and whether the one from merged sketches of zip codes is within 2 %."""
+    trips = views.trips(spark, d)
+    about = bikes.bikes_of_sketches(bikes.bike_sketches(trips, "zip_code")).withColumnRenamed("n", "about")
+    both = bikes.count_bikes(trips).join(F.broadcast(about), F.lit(True))
+    return both.select("n", (F.abs(F.col("about") - F.col("n")) <= 0.02 * F.col("n")).alias("near"))
+
+
 def _in_place(sorted_rows):
     """The number of each row in the order in which an operator returned them."""
     return events.positions(sorted_rows, [], ["place"]).drop("place")
@@ -234,6 +251,7 @@ BATCH: dict[str, Query] = {
     "farthest_stations": lambda s, d: bikes.farthest_stations(views.stations(s, d)),
     "bike_path": lambda s, d: bikes.bike_path(views.trips(s, d)),
     "count_bikes": lambda s, d: bikes.count_bikes(views.trips(s, d)),
+    "count_bikes_sketch": _bike_sketch,
     "users_over_3h": lambda s, d: bikes.zip_codes_over(views.trips(s, d)),
     # languages
     "posts_xml_parse": _posts,
@@ -245,6 +263,7 @@ BATCH: dict[str, Query] = {
     "fare_lines_parse": _fare_lines,
     "car_lines_parse": _car_lines,
     "ride_value_roundtrip": lambda s, d: lines.from_ride_values(lines.to_ride_values(views.rides(s, d))),
+    "taxi_rides_source": _named_rides,
     "rides_table_view": lambda s, d: rides.rides_table(views.rides(s, d)),
     "trips_to_ride_events": lambda s, d: _in_place(raw.trip_events(views.raw_trip_lines(s, d))),
     "raw_fares_normalize": lambda s, d: raw.fare_records(views.raw_fare_lines(s, d)),
@@ -271,6 +290,7 @@ BATCH: dict[str, Query] = {
     "latest_ride_per_taxi": lambda s, d: events.latest_per_key(views.rides(s, d)),
     "travel_time_prediction": lambda s, d: rides.travel_time_prediction(views.rides(s, d)),
     "route_cell_traffic": lambda s, d: rides.route_cell_traffic(views.rides(s, d)),
+    "route_cell_traffic_sql": lambda s, d: rides.route_cell_traffic_sql(s, views.rides(s, d)),
     # cars and events
     "driving_sessions": lambda s, d: events.sessions(views.cars(s, d), SESSION_GAP),
     "driving_segments": lambda s, d: events.driving_segments(views.cars(s, d)),
@@ -299,7 +319,7 @@ class Replayed:
         self.spark, self.folder, self.replay = spark, folder, Replay(spark, name)
 
     def plain_rides(self) -> DataFrame:
-        return self.replay.stepped(rides.with_event_time(views.rides(self.spark, self.folder)), "event_time").drop("event_time")
+        return self.replay.stepped(events.with_event_time(views.rides(self.spark, self.folder)), "event_time").drop("event_time")
 
     def rides(self) -> DataFrame:
         return self.replay.flushed(self.plain_rides(), RIDE_FLUSH)
@@ -329,26 +349,33 @@ def _stream_ride_count(spark, d):
     return r.replay.latest(stream.ride_count(r.plain_rides()), ["driver_id"])
 
 
+def _message(at: datetime, *parts) -> tuple[datetime, str]:
+    return at, "|".join(map(str, (at, *parts)))
+
+
+def _steered(spark, d, name: str, messages: list[tuple[datetime, str]], **answer) -> DataFrame:
+    """Answers over the rides, to messages that arrive between them."""
+    timed = events.with_event_time(views.rides(spark, d))
+    return Replay(spark, name).steered(timed, "event_time", messages, lambda home: steered.Steered(home, **answer))
+
+
 def _stream_nearest_taxi(spark, d):
-    r = Replayed(spark, d, "nearest-taxi")
-    return r.replay.latest(rides.nearest_taxi(r.plain_rides(), _location_queries(spark)), ["query_id"])
+    asked = [_message(at, "location", i, lon, lat) for i, lon, lat, at in CONTROL_ROWS if lon]
+    return steered.nearest(_steered(spark, d, "nearest-taxi", asked, out_schema=steered.REPORT, on_events=steered.reports))
 
 
 def _stream_ongoing_rides(spark, d):
-    """The newest event per taxi is kept by the stream; the thresholds are put to the kept table."""
-    r = Replayed(spark, d, "latest-rides")
-    known = r.plain_rides().filter(events.event_time() <= F.lit(WATERMARK))
-    kept = r.replay.latest(events.latest_per_key(known), ["taxi_id"])
-    return rides.ongoing_rides(kept, views.thresholds(spark), F.lit(WATERMARK))
+    asked = [_message(at, "threshold", n) for at, n in THRESHOLDS]
+    return _steered(
+        spark, d, "ongoing-rides", asked, out_schema=f"{schemas.RIDE}, n BIGINT, asked_at TIMESTAMP", on_control=steered.ongoing_rides
+    )
 
 
 def _stream_taxi_query(spark, d):
-    geo.register_sql_functions(spark)
-    asked = control.AdHocQueries(TAXI_QUERIES)
-    first, second = Replayed(spark, d, "stored-rides"), Replayed(spark, d, "later-rides")
-    stored = first.replay.latest(asked.stored(first.plain_rides()), ["taxi_id"])
-    later = second.replay.to_table(asked.later_answers(second.plain_rides()))
-    return asked.echo(spark).unionByName(asked.stored_answers(stored)).unionByName(later)
+    asked = [_message(at, "predicate", text) for at, text in TAXI_QUERIES]
+    return _steered(
+        spark, d, "taxi-query", asked, out_schema=steered.ANSWER, on_control=steered.asked_of_kept, on_events=steered.asked_of_events
+    )
 
 
 def _stream_expiring(spark, d):
@@ -390,8 +417,11 @@ def _sorted_cars(spark, d, name):
 
 
 def _stream_late(spark, d):
-    late = _sorted_cars(spark, d, "late")[1]
-    return late.agg(F.count(F.lit(1)).alias("cnt")).select(F.lit("LATE").alias("tag"), "cnt")
+    """All windows of processing time together."""
+    r = Replayed(spark, d, "late")
+    found = late.LateRows(r.replay.home, "ts", CAR_DELAY, ("arrival", "event_id"))
+    r.replay.batches(r.replay.stepped(views.cars(spark, d), "arrival"), found)
+    return found.counts(spark).groupBy("tag").agg(F.sum("cnt").alias("cnt"))
 
 
 def _stream_per_second(spark, d):
@@ -401,8 +431,8 @@ def _stream_per_second(spark, d):
 
 
 def _stream_tagged(spark, d):
-    on_time, late = _sorted_cars(spark, d, "tagged")
-    both = on_time.drop("pos").withColumn("output_tag", F.lit("sorted")).unionByName(late.withColumn("output_tag", F.lit("late")))
+    on_time, behind = _sorted_cars(spark, d, "tagged")
+    both = on_time.drop("pos").withColumn("output_tag", F.lit("sorted")).unionByName(behind.withColumn("output_tag", F.lit("late")))
     return _in_place(relational.range_sort(both, ["ts", "event_id"]))
 
 
@@ -422,6 +452,40 @@ def _stream_pairs(spark, d):
     )
 
 
+def _stream_places_sql(spark, d):
+    r = Replayed(spark, d, "places-sql")
+    p = r.replay.to_table(stream.popular_places_sql(r.rides()))
+    return p.select(F.col("location.lon").alias("lon"), F.col("location.lat").alias("lat"), "wstart", "wend", "is_start", "pop_cnt")
+
+
+def _stream_place_changes(spark, d):
+    """What a log of changes to the popular places comes to."""
+    r = Replayed(spark, d, "place-changes")
+    log = sinks.ChangeLog(r.replay.home, stream.PLACE_KEYS, stream.PLACE_CHANGES, lambda: F.col("cnt") >= 20, parts=4)
+    r.replay.batches(stream.place_changes(r.plain_rides()), log, "update")
+    place = geo.cell_center(F.col("cell"))
+    found = sinks.folded(log.log(spark), stream.PLACE_KEYS)
+    return found.select(place["lon"].alias("lon"), place["lat"].alias("lat"), "window_end", "is_start", "cnt")
+
+
+def _stream_tagged_sinks(spark, d):
+    """Rides split into a folder for those inside New York and one for the others."""
+    r = Replayed(spark, d, "sinks")
+    folders = {tag: f"{r.replay.home}/{tag}" for tag in ("inside", "outside")}
+    r.replay.batches(stream.fenced(r.plain_rides()), sinks.TaggedSinks(folders))
+    read = [spark.read.schema(schemas.RIDE).parquet(f"{f}/batch=*").withColumn("output_tag", F.lit(tag)) for tag, f in folders.items()]
+    return read[0].unionByName(read[1])
+
+
+def _stream_open_hours(spark, d):
+    """Hours that wait in the state for fares still to come, read back from the checkpoint."""
+    r = Replayed(spark, d, "open-hours")
+    fares = r.replay.stepped(views.fares(spark, d), "start_time")
+    r.replay.to_table(stream.hourly_tips(fares))
+    kept = r.replay.state().select("key.*", F.col("value.sum").alias("sum_tips"))
+    return kept.select(F.col("window.end").alias("window_end"), "driver_id", "sum_tips")
+
+
 def _stream_cleansing(spark, d):
     r = Replayed(spark, d, "cleansing")
     return r.replay.to_table(stream.ride_cleansing(r.plain_rides()))
@@ -432,16 +496,20 @@ STREAMS: dict[str, Query] = {
     "stream_hourly_tips": _append("hourly-tips", lambda r, s: stream.hourly_tips(r.fares())),
     "stream_hourly_top_tips": _append("hourly-top", lambda r, s: stream.hourly_top_tips(r.fares())),
     "stream_popular_places": _append("popular", lambda r, s: stream.popular_places(r.rides())),
+    "stream_popular_places_sql": _stream_places_sql,
+    "stream_popular_places_changes": _stream_place_changes,
+    "stream_tagged_sinks": _stream_tagged_sinks,
+    "stream_open_hours": _stream_open_hours,
     "stream_rides_per_hour": _append("per-hour", lambda r, s: stream.rides_per_hour(r.rides())),
     "stream_ride_count": _stream_ride_count,
     "stream_rides_and_fares": _append(
-        "rides-fares", lambda r, s: stream.rides_and_fares(r.rides(), r.fares())
+        "rides-fares", lambda r, s: stream.rides_and_fares(r.rides(), r.fares(), PAIR_BOUND)
     ),
     "stream_unmatched_fares": _append(
-        "unmatched-fares", lambda r, s: stream.unmatched_fares(r.rides(), r.fares())
+        "unmatched-fares", lambda r, s: stream.unmatched_fares(r.rides(), r.fares(), PAIR_BOUND)
     ),
     "stream_unmatched_rides": _append(
-        "unmatched-rides", lambda r, s: stream.unmatched_rides(r.rides(), r.fares())
+        "unmatched-rides", lambda r, s: stream.unmatched_rides(r.rides(), r.fares(), PAIR_BOUND)
     ),
     "stream_long_rides": _append("long-rides", lambda r, s: stream.long_rides(r.rides())),
     "stream_nearest_taxi": _stream_nearest_taxi,

@@ -178,27 +178,19 @@ fitted AS (
 SELECT ride_id, coalesce(CASE WHEN n >= 2 AND xx > 0 THEN CAST(trunc(round(xy / xx * km, 9)) AS INTEGER) END, -1) AS predicted_minutes
 FROM fitted WHERE is_start"""
 
-ROUTES = f"""WITH RECURSIVE {RIDES},
+# A line between the middles of two cells meets the inside of a cell if two of its corners lie on different sides.
+ROUTES = f"""WITH {RIDES},
 ways AS (
   SELECT {_x('start')} AS ax, {_y('start')} AS ay, {_x('end')} AS bx, {_y('end')} AS by_, count(*) AS n
   FROM nyc WHERE is_start GROUP BY ALL),
-directed AS (
-  SELECT row_number() OVER () AS way, n, least(ax, bx) AS x0, CASE WHEN ax <= bx THEN ay ELSE by_ END AS y0,
-         greatest(ax, bx) AS x1, CASE WHEN ax <= bx THEN by_ ELSE ay END AS y1 FROM ways),
-sloped AS (SELECT *, (y1 - y0) / (x1 - x0 + 0.00000001e0) AS slope FROM directed),
-walk AS (
-  SELECT way, n, x0, y0, x1, y1, slope, x0 AS x, y0 AS y FROM sloped
-  UNION ALL
-  SELECT way, n, x0, y0, x1, y1, slope,
-         x + CASE WHEN slope > 0 THEN (near OR line < y)::INTEGER
-                  ELSE near::INTEGER + (line > y - near::INTEGER)::INTEGER END,
-         y + CASE WHEN slope > 0 THEN (near OR line >= y)::INTEGER
-                  ELSE -near::INTEGER - (line <= y - near::INTEGER)::INTEGER END
-  FROM (SELECT *, (x - x0 + 0.5e0) * slope + y0 + CASE WHEN slope > 0 THEN -0.5e0 ELSE 0.5e0 END AS line,
-               abs(line - y) < 0.05e0 AS near
-        FROM walk WHERE x < x1 OR y <> y1))
-SELECT cell, CAST(sum(n) AS BIGINT) AS rides
-FROM (SELECT DISTINCT way, n, CAST(x + y * 250 AS INTEGER) AS cell FROM walk) GROUP BY cell"""
+boxes AS (
+  SELECT *, unnest(range(least(ax, bx), greatest(ax, bx) + 1)) AS x FROM ways),
+cells AS (
+  SELECT *, unnest(range(least(ay, by_), greatest(ay, by_) + 1)) AS y FROM boxes),
+sides AS (
+  SELECT n, x, y, 2 * ((by_ - ay) * (x - ax) - (bx - ax) * (y - ay)) AS middle, abs(by_ - ay) + abs(bx - ax) AS reach FROM cells)
+SELECT CAST(x + y * 250 AS INTEGER) AS cell, CAST(sum(n) AS BIGINT) AS rides
+FROM sides WHERE abs(middle) < reach OR reach = 0 GROUP BY cell"""
 
 TAXI_QUERY_TEXTS = (
     "ride.is_start AND watermark - ride.event_millis > 100 * 60000",
@@ -386,7 +378,7 @@ ORACLE: dict[str, str] = {
         f""", latest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY taxi_id
           ORDER BY event_time DESC, is_start, ride_id DESC) AS rn FROM rides
           WHERE event_time <= TIMESTAMP '2013-01-01 12:00:00') WHERE rn = 1)
-        SELECT {RIDE_COLS}, n FROM latest, (VALUES (30::BIGINT), (60), (120)) AS v(n)
+        SELECT {RIDE_COLS}, n FROM latest, (VALUES (0::BIGINT), (5), (30)) AS v(n)
         WHERE is_start AND trunc((epoch_ms(TIMESTAMP '2013-01-01 12:00:00') - epoch_ms(start_time)) / 60000e0) >= n""", *COORDINATES),
     "taxi_query": TAXI_QUERY,
     "latest_ride_per_taxi": _rides(
@@ -427,4 +419,28 @@ STREAM_TWINS = (
     "events_per_user_second"
 ).split()
 ORACLE.update({f"stream_{name}": ORACLE[name] for name in STREAM_TWINS})
+# The steered streams are told when messages arrive: thresholds at two times, locations one after the other.
+ORACLE["stream_ongoing_rides"] = _rides(
+    f""", asked AS (SELECT * FROM (VALUES (TIMESTAMP '2013-01-01 12:00:00', 0::BIGINT), (TIMESTAMP '2013-01-01 12:00:00', 30),
+          (TIMESTAMP '2013-01-01 20:00:00', 0), (TIMESTAMP '2013-01-01 20:00:00', 2)) AS v(asked_at, n)),
+        latest AS (SELECT * FROM (SELECT a.asked_at, a.n, r.*, row_number() OVER (PARTITION BY a.asked_at, a.n, r.taxi_id
+          ORDER BY r.event_time DESC, r.is_start, r.ride_id DESC) AS rn FROM rides r JOIN asked a ON r.event_time <= a.asked_at) WHERE rn = 1)
+        SELECT {RIDE_COLS}, n, asked_at FROM latest
+        WHERE is_start AND trunc((epoch_ms(asked_at) - epoch_ms(start_time)) / 60000e0) >= n""", *COORDINATES)
+ORACLE["stream_nearest_taxi"] = _rides(
+    f""", {LOCATIONS}, {REPORTS}, since AS (SELECT * FROM (VALUES (1::BIGINT, TIMESTAMP '2013-01-01 00:30:00'),
+          (2, TIMESTAMP '2013-01-01 12:00:00'), (3, TIMESTAMP '2013-01-01 12:05:00')) AS v(query_id, at_time))
+        SELECT query_id, taxi_id, distance FROM (SELECT reports.*, row_number() OVER (
+        PARTITION BY query_id ORDER BY distance, event_time, ride_id) AS rn FROM reports JOIN since USING (query_id)
+        WHERE event_time > at_time) WHERE rn = 1""", "distance")
+ORACLE["stream_popular_places_sql"] = ORACLE["popular_places_sql"]
+ORACLE["stream_popular_places_changes"] = ORACLE["popular_places"]
+ORACLE["route_cell_traffic_sql"] = ORACLE["route_cell_traffic"]
+ORACLE["stream_tagged_sinks"] = _rides(
+    f"""SELECT {RIDE_COLS}, CASE WHEN ride_id IN (SELECT ride_id FROM nyc) THEN 'inside' ELSE 'outside' END AS output_tag FROM rides""", *COORDINATES)
+# An hour is open while the watermark, the newest time less a minute, has not passed its end.
+ORACLE["stream_open_hours"] = _rounded(f"""WITH {TRIP_BASE}, {FARES}, {HOURLY} SELECT window_end, driver_id, sum_tips FROM hourly
+    WHERE window_end > (SELECT max(start_time) - INTERVAL 60 SECOND FROM fares)""", "sum_tips")
+ORACLE["count_bikes_sketch"] = f"WITH {TRIPS} SELECT count(DISTINCT bike_id) AS n, true AS near FROM trips"
+ORACLE["taxi_rides_source"] = ORACLE["ride_lines_parse"]
 ORACLE["stream_sort_tagged"] = ORACLE["stream_sort"]
