@@ -3,8 +3,10 @@
 The pages of a host are merged into one tree of elements. For every element the tree keeps how often each presentation
 (the sequence of its children) and each content (its own text) occurs. Where presentations and contents are the same on
 many pages their entropy shows it: the element is of low importance, and its branch is removed from every page of the host.
-Navigation, adverts, forms, comments and the like, whose contents may differ from page to page, are removed by what their
-markup says they are. What is in an ``article`` (or else ``main``) is the main text where a page has one.
+Contents are judged by themselves as well: a text that stands in the same element of most pages of a host goes from there,
+whatever its markup, also out of an article. Navigation, adverts, forms, comments and the like, whose contents may differ
+from page to page, are removed by what their markup says they are. Where a page has a ``main``, its main text is what is in
+there, or in its ``article`` if that holds most of it; else it is what is in an ``article``.
 """
 
 from __future__ import annotations
@@ -25,21 +27,30 @@ LEAST_PAGES = 4
 THRESHOLD = 0.25
 # Share of the contents below an element in its importance; the rest is its presentation.
 CONTENT_SHARE = 0.9
-# Elements nested deeper count as their ancestor of this depth.
-DEPTH = 24
+# A text in one element of such a share of a host's different pages is of no importance, if there are so many pages.
+COMMON = 0.6
+COMMON_PAGES = 8
+# Elements nested deeper count as their ancestor of this depth in the tree; their texts stay apart.
+DEPTH = 64
 
 _BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5"
     " h6 head header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = frozenset("script style noscript template iframe svg math textarea title select object canvas audio video noembed noframes".split())
+_RAW = frozenset("script style noscript template iframe svg textarea title select audio video noembed noframes".split())
+# In an article these hold text that is shown.
+_SHOWN = frozenset("noscript svg".split())
 _NOISE_TAGS = frozenset("nav header footer aside form head dialog menu button".split())
 _NOISE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsbygoogle banner promo promoted sponsor sponsored sidebar menu nav navbar navigation"
     " breadcrumb breadcrumbs footer masthead comment comments commentlist reply replies respond disqus cookie cookies consent notice notices"
     " popup modal overlay newsletter subscribe subscription share sharing social related widget widgets pagination pager skip toolbar".split()
 )
+# What a name of noise may be followed by.
+_NOISE_PARTS = frozenset("area bar block box button buttons container content item items list panel section slot unit wrap wrapper".split())
+# Names under which an article is not the main one.
+_TALK = frozenset("comment comments commentlist reply replies respond disqus related".split())
 _NOISE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog menu menubar toolbar".split())
 # A start tag of the first kind ends an open element of the second kinds.
 _ENDS = {
@@ -51,38 +62,48 @@ _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)([^>"']*+(?:(?:"[^"]*"|'[^']*')[^>
 _SIMPLE_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>")
 _ATTRIBUTE = re.compile(r"""(?<![^\s"'/])(class|id|role|hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _WORD = re.compile(r"[A-Za-z]+")
+_PARTS = re.compile(r"[-_]+")
 _SPACE = re.compile(r"\s+")
 
 
 class Element:
-    __slots__ = ("tag", "path", "noise", "main", "children", "depth")
+    __slots__ = ("tag", "path", "noise", "firm", "own", "main", "article", "children", "depth")
 
-    def __init__(self, tag, path, noise, main, depth):
-        self.tag, self.path, self.noise, self.main, self.depth = tag, path, noise, main, depth
+    def __init__(self, tag, path, noise, firm, own, main, article, depth):
+        self.tag, self.path, self.noise, self.main, self.article, self.depth = tag, path, noise, main, article, depth
+        # ``firm`` noise stays so around an article, noise by a name only does not; ``own`` is that of the element itself.
+        self.firm, self.own = firm, own
         self.children: list[str] = []
 
 
-def _described(attributes: str) -> tuple[str, bool]:
-    """(name of the element from class and id, whether they or its role tell noise)."""
+def _named_noise(token: str) -> bool:
+    """Whether a class or id is a name of noise as a whole: its parts are such names, parts after the first may be plain."""
+    first, *others = _PARTS.split(token.strip("-_")) or [""]
+    return first in _NOISE_WORDS and all(w in _NOISE_WORDS or w in _NOISE_PARTS for w in others)
+
+
+def _described(attributes: str) -> tuple[str, bool, bool]:
+    """(name of the element from class and id, whether they tell noise, whether role or ``hidden`` do)."""
     if not attributes or "=" not in attributes and "hidden" not in attributes:
-        return "", False
-    names, noise = [], False
+        return "", False, False
+    names, noise, firm = [], False, False
     for m in _ATTRIBUTE.finditer(attributes):
         kind, value = m[1].lower(), entities.unescape(m[2] or m[3] or m[4] or "").lower()
         if kind == "role":
-            noise |= value.strip() in _NOISE_ROLES
+            firm |= value.strip() in _NOISE_ROLES
         elif kind == "hidden":
-            noise |= value != "until-found"
+            firm |= value != "until-found"
         else:
-            noise |= any(w in _NOISE_WORDS for w in _WORD.findall(value))
-            names += [("#" if kind == "id" else ".") + re.sub("[0-9]+", "0", w) for w in value.split()]
-    return "".join(sorted(set(names))), noise
+            tokens = value.split()
+            noise |= any(map(_named_noise, tokens))
+            names += [("#" if kind == "id" else ".") + re.sub("[0-9]+", "0", w) for w in tokens]
+    return "".join(sorted(set(names))), noise, firm
 
 
 def blocks_of(page: str | None, on_close=None) -> list[tuple[Element, str]]:
     """The blocks of text in page order, each with the element that holds it. ``on_close`` gets every element of the tree."""
     page = page or ""
-    root = Element("#page", "", False, False, 0)
+    root = Element("#page", "", False, False, False, False, False, 0)
     stack, open_, out, words = [root], {}, [], []
     at, tag = 0, _TAG
 
@@ -135,7 +156,7 @@ def blocks_of(page: str | None, on_close=None) -> list[tuple[Element, str]]:
                     if stack[-1].tag in _BLOCKS:
                         flush()
                     close()
-                if stack[-1].noise:
+                if stack[-1].own:
                     flush()
                 close()
             elif name == "p":
@@ -143,7 +164,7 @@ def blocks_of(page: str | None, on_close=None) -> list[tuple[Element, str]]:
             elif name == "br":
                 words.append(" ")
             continue
-        if name in _RAW:
+        if name in _RAW and not (name in _SHOWN and (stack[-1].main or stack[-1].article)):
             shut = re.compile(f"</{re.escape(name)}(?=[\\s/>])", re.I).search(page, at)
             at = len(page) if not shut else (page.find(">", shut.end()) + 1 or len(page))
             words.append(" " if name != "title" else "")
@@ -154,24 +175,33 @@ def blocks_of(page: str | None, on_close=None) -> list[tuple[Element, str]]:
             elif name == "br":
                 words.append(" ")
             continue
-        described, noise = _described(m[3])
+        described, named, firm = _described(m[3])
         if name in _BLOCKS:
             flush()
-            while len(stack) > 1 and (stack[-1].tag == "p" or stack[-1].tag not in _BLOCKS or stack[-1].tag in _ENDS.get(name, ())):
+            # Markup of text ends at a block, what is noise itself goes on around it.
+            while len(stack) > 1 and (stack[-1].tag == "p" or stack[-1].tag not in _BLOCKS and not stack[-1].own or stack[-1].tag in _ENDS.get(name, ())):
                 close()
-        elif not noise and name not in _NOISE_TAGS:
+        elif not named and not firm and name not in _NOISE_TAGS:
             continue  # inline markup leaves no trace
         else:
             flush()
         top = stack[-1]
-        inside = top.main or name in ("article", "main")
-        noise = noise and name not in ("html", "body", "article", "main") or name in _NOISE_TAGS and not (name == "header" and inside)
-        noise = noise or name in ("article", "main") and noise_article(described)
+        holder = name in ("article", "main")
+        talk = holder and noise_article(described)
+        if holder:
+            firm, named = talk, False
+        elif name in ("html", "body"):
+            firm = named = False
+        else:
+            firm = firm or name in _NOISE_TAGS and not (name == "header" and (top.main or top.article))
+            firm = firm or named and any(w in _TALK for w in _WORD.findall(described))
+        own = firm or named
+        noise = top.firm or firm or (own or top.noise) and not holder
         key = name + described
         path = f"{top.path}>{key}" if top.depth < DEPTH else top.path
         if not top.children or top.children[-1] != key:
             top.children.append(key)
-        stack.append(Element(name, path, top.noise or noise, inside, top.depth + 1))
+        stack.append(Element(name, path, noise, top.firm or firm, own, top.main or name == "main", top.article or name == "article", top.depth + 1))
         open_[name] = open_.get(name, 0) + 1
     flush()
     while len(stack) > 1:
@@ -184,31 +214,46 @@ def noise_article(described: str) -> bool:
     return any(w in ("comment", "comments", "reply", "replies") for w in _WORD.findall(described))
 
 
-def _cut(path: str, dropped: frozenset[str]) -> bool:
-    if path in dropped:
-        return True
-    at = path.rfind(">")
+def _signed(h: int) -> int:
+    return h - (h >> 63 << 64)
+
+
+def _hash(path: str, text: int | None = None) -> int:
+    """Spark's xxhash64 of a path, or of a path and the hash of a text."""
+    h = xxhash.xxh64_intdigest(path.encode(), 42)
+    return _signed(h if text is None else xxhash.xxh64_intdigest(text.to_bytes(8, "little"), h))
+
+
+def _text_hash(text: str) -> int:
+    return xxhash.xxh64_intdigest(text.encode(), 1) >> 1
+
+
+def _cut(path: str, dropped: frozenset[int]) -> bool:
+    at = len(path)
     while at > 0:
-        path = path[:at]
-        if path in dropped:
+        if _hash(path[:at]) in dropped:
             return True
-        at = path.rfind(">")
+        at = path.rfind(">", 0, at)
     return False
 
 
-def main_text(page: str | None, dropped: frozenset[str] = frozenset()) -> str:
-    """The text of the kept blocks, an empty line between them."""
+def main_text(page: str | None, dropped: frozenset[int] = frozenset()) -> str:
+    """The text of the kept blocks, an empty line between them. ``dropped`` has the hashes of branches, and of texts in them."""
     blocks, known = [], {}
     for e, text in blocks_of(page):
         if not e.noise:
-            if e.path not in known:
+            if dropped and e.path not in known:
                 known[e.path] = _cut(e.path, dropped)
-            if not known[e.path]:
+            if not dropped or not known[e.path] and _hash(e.path, _text_hash(text)) not in dropped:
                 blocks.append((e, text))
-    if any(e.main for e, _ in blocks):
-        article = [b for b in blocks if ">article" in b[0].path]
-        blocks = article or [b for b in blocks if b[0].main]
-    return "\n\n".join(t for _, t in blocks)
+    within, article = ([b for b in blocks if test(b[0])] for test in (lambda e: e.main, lambda e: e.article))
+    inner = [b for b in within if b[0].article]
+    size = lambda some: sum(len(t) for _, t in some)
+    if within:
+        chosen = inner if 2 * size(inner) > size(within) else within
+    else:
+        chosen = article or blocks
+    return "\n\n".join(t for _, t in chosen)
 
 
 def page_features(host: str, page: str | None) -> set[tuple[str, str, str, int, int]]:
@@ -223,7 +268,7 @@ def page_features(host: str, page: str | None) -> set[tuple[str, str, str, int,
 
     for e, text in blocks_of(page, closed):
         if not e.noise:
-            rows.add((host, e.path, "text", xxhash.xxh64_intdigest(text.encode(), 1) >> 1, own))
+            rows.add((host, e.path, "text", _text_hash(text), own))
     return rows
 
 
@@ -231,12 +276,8 @@ def _host(url):
     return F.coalesce(F.regexp_extract(F.lower(url), r"^\s*[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#\s]*)", 1), F.lit(""))
 
 
-def style_tree(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """``(host, path, pages, importance)`` for every element of every host; equal pages of a host count once.
-
-    ``importance`` is the share ``CONTENT_SHARE`` of the contents below the element (1 less the mean normalised entropy
-    over pages of each different text, so 0 if all are on all pages) and for the rest the entropy of its presentations.
-    """
+def features(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
+    """``(host, path, kind, feature, n)``: on how many different pages of a host an element has a feature."""
 
     def work(hosts, texts):
         rows = [r for h, t in zip(hosts, texts) for r in page_features(h, t)]
@@ -244,7 +285,31 @@ def style_tree(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
 
     named = pages.select(_host(F.col(url)).alias("host"), F.col(html).alias("html"))
     seen = emit_rows(named, ["host", "html"], "host string, path string, kind string, feature bigint, page bigint", work).distinct()
-    each = seen.groupBy("host", "path", "kind", "feature").agg(F.count(F.lit(1)).alias("n"))
+    return seen.groupBy("host", "path", "kind", "feature").agg(F.count(F.lit(1)).alias("n"))
+
+
+def common_texts(counted: DataFrame, share: float = COMMON, least_pages: int = COMMON_PAGES) -> DataFrame:
+    """``(host, hash)`` of texts that stand in the same element on such a share of the pages of their host.
+
+    A page has so many blocks, and of all texts of a host only so many more can be on most of its pages.
+    """
+    size = counted.filter("kind = 'page'").groupBy("host").agg(F.max("n").alias("m")).filter(F.col("m") >= least_pages)
+    met = counted.filter("kind = 'text' AND path <> ''").join(size, "host").filter(F.col("n") >= share * F.col("m"))
+    return met.select("host", F.xxhash64("path", "feature").alias("hash"))
+
+
+def style_tree(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
+    """The tree of :func:`features` of ``pages``."""
+    return importances(features(pages, url, html))
+
+
+def importances(each: DataFrame) -> DataFrame:
+    """``(host, path, pages, importance)`` for every element of every host; equal pages of a host count once.
+
+    ``importance`` is the share ``CONTENT_SHARE`` of the contents below the element (1 less the mean normalised entropy
+    over pages of each different text, so 0 if all are on all pages) and for the rest the entropy of its presentations.
+    """
+
     page, style, text = (F.col("kind") == k for k in ("page", "style", "text"))
     n, logs = F.col("n"), F.log("n")
     own = each.filter("path <> ''").groupBy("host", "path").agg(
@@ -273,9 +338,10 @@ def style_tree(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
 
 
 def low_branches(tree: DataFrame, least_pages: int = LEAST_PAGES, threshold: float = THRESHOLD) -> DataFrame:
-    """``(host, dropped)``: the topmost branches to remove, one row per host.
+    """``(host, path)`` of the branches to remove.
 
-    Never the whole page, an article or plain paragraphs of one: there only elements with a class or id can be noise.
+    Never the whole page or what holds an article, and of an article only elements with a class or id: the texts of plain
+    ones are judged one by one.
     """
     last = F.element_at(F.split("path", ">"), -1)
     inside = F.col("path").rlike(">(article|main)")
@@ -283,8 +349,7 @@ def low_branches(tree: DataFrame, least_pages: int = LEAST_PAGES, threshold: flo
     low = tree.filter((F.col("pages") >= least_pages) & (F.col("importance") < threshold) & (F.size(F.split("path", ">")) > 3) & (~inside | named))
     holds = tree.filter(F.col("path").rlike(">(article|main)")).select("host", F.regexp_extract("path", "^(.*?)>(?:article|main)", 1).alias("held")).distinct()
     around = F.concat("held", F.lit(">")).startswith(F.concat("path", F.lit(">")))
-    kept = low.join(holds.withColumnRenamed("host", "of"), (F.col("host") == F.col("of")) & around, "left_anti")
-    return kept.groupBy("host").agg(F.sort_array(F.collect_set("path")).alias("dropped"))
+    return low.join(holds.withColumnRenamed("host", "of"), (F.col("host") == F.col("of")) & around, "left_anti").select("host", "path")
 
 
 def extract(
@@ -296,16 +361,21 @@ def extract(
     read as far as it goes, unclosed elements end with their parents. Pages of any length are read whole. Equal pages get
     equal texts, columns that already have one of the new names are replaced, an empty table gives an empty one.
     """
-    dropped = saved(low_branches(style_tree(pages, url, html), least_pages, threshold), "style-tree")
-    named = pages.withColumn("_host", _host(F.col(url)))
-    joined = named.join(dropped.withColumnRenamed("host", "_host"), "_host", "left")
-
-    def work(texts, paths):
-        made = [main_text(t, frozenset(p or ())) for t, p in zip(texts, paths)]
+    counted = saved(features(pages, url, html), "style-features")
+    branches = low_branches(importances(counted), least_pages, threshold).select("host", F.xxhash64("path").alias("hash"))
+    gone = branches.union(common_texts(counted)).groupBy("host").agg(F.sort_array(F.collect_set("hash")).alias("_gone"))
+    dropped = saved(gone.select(F.col("host").alias("_of_host"), "_gone"), "style-tree")
+    kept = [c for c in pages.columns if c != html and c.lower() not in ("text", "n_chars")]
+    named = pages.select(*[F.col(f"`{c}`").alias(f"_{k}") for k, c in enumerate(kept)], F.col(html).alias("_html"), _host(F.col(url)).alias("_host"))
+    joined = named.join(dropped, F.col("_host") == F.col("_of_host"), "left")
+
+    def work(texts, hashes):
+        made = [main_text(t, frozenset(h or ())) for t, h in zip(texts, hashes)]
         return [made, [len(t) for t in made]]
 
-    keep = [c for c in pages.columns if c != html]
-    return add_columns(joined, [html, "dropped"], "text string, n_chars bigint", work, keep=keep)
+    own = [f"_{k}" for k in range(len(kept))]
+    made = add_columns(joined, ["_html", "_gone"], "_text string, _n bigint", work, keep=own)
+    return made.select(*[F.col(f"_{k}").alias(c) for k, c in enumerate(kept)], F.col("_text").alias("text"), F.col("_n").alias("n_chars"))
 
 
 def op6_site_style_tree(spark: SparkSession, folder: str) -> DataFrame:

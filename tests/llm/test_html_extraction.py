@@ -103,6 +103,56 @@ def test_markup(page):
     assert he.main_text(page) == PAGES[page]
 
 
+MORE = {
+    '<div class="content-sidebar-wrap"><main><p>in</p></main></div>': "in", '<div class="has-sidebar"><article><p>in</p></article></div>': "in",
+    '<div class="sidebar"><main><p>in</p></main><p>out</p></div>': "in", '<article><h2 id="related-work">Related</h2><p>x</p></article>': "Related\n\nx",
+    '<article><section id="social-impact"><p>x</p></section><section id="comments-on-the-proof">y</section></article>': "x\n\ny",
+    "<main><h1>Title</h1><p>Intro of some length</p><article>Teaser</article></main>": "Title\n\nIntro of some length\n\nTeaser",
+    "<main><p>by me</p><article><p>The longer text</p></article></main>": "The longer text", "<button><div>Menu</div></button><p>x</p>": "x",
+    '<p>x</p><span class="ad"><div>Buy now</div></span><p>y</p>': "x\n\ny", '<a class="promo"><div>Buy</div></a><p>y</p>': "y",
+    '<div class="ad-slot">a</div><div class="share-bar">b</div><p>x</p>': "x", "<article>where <math><mi>x</mi></math> is</article>": "where x is",
+    "<article><p>see <svg><text>label</text></svg></p><noscript><p>still</p></noscript></article>": "see label\n\nstill",
+    '<article><p>x</p></article><div class="comments"><article><p>I agree</p></article></div>': "x", "<aside><article>Teaser</article></aside><p>x</p>": "x",
+}
+
+
+@pytest.mark.parametrize("page", MORE)
+def test_markup_around_the_main_text(page):
+    assert he.main_text(page) == MORE[page]
+
+
+NOTICE = "<p>Sign up for our newsletter today.</p>"
+
+
+def noticed(n):
+    word = random.Random(4).randrange
+    return [f"<html><body><article><h1>T{k}</h1><p>Text {word(9999)} of page {k}</p>{NOTICE}<p>End {word(9999)}</p></article></body></html>" for k in range(n)]
+
+
+def test_a_notice_without_a_name_goes_out_of_articles(spark, monkeypatch):
+    """Only the tree can tell: the same page alone keeps it, and so does a host whose tree is empty."""
+    rows = [(k, "http://h.example/" + str(k), p) for k, p in enumerate(noticed(30))]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    texts = [r.text for r in he.extract(df).collect()]
+    assert len(texts) == 30 and all("Sign up" not in t and t.count("\n\n") == 2 for t in texts)
+    assert "Sign up" in he.main_text(rows[0][2])
+    few = [r.text for r in he.extract(df.limit(5)).collect()]
+    assert all("Sign up" in t for t in few)
+    monkeypatch.setattr(he, "common_texts", lambda counted: counted.limit(0).selectExpr("host", "feature AS hash"))
+    assert all("Sign up" in r.text for r in he.extract(df).collect())
+
+
+def test_a_text_of_few_pages_stays(spark):
+    rows = [(k, "http://h.example", p if k % 2 else p.replace(NOTICE, "")) for k, p in enumerate(noticed(30))]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert sum("Sign up" in r.text for r in he.extract(df).collect()) == 15
+
+
+def test_names_of_columns(spark):
+    df = spark.createDataFrame([(1, "u", "<p>x", 5, 6, 7)], "page_id long, url string, html string, dropped int, _host int, hash int")
+    assert [tuple(r) for r in he.extract(df).collect()] == [(1, "u", 5, 6, 7, "x", 1)]
+
+
 def test_odd_rows(spark):
     rows = [(i, None if i % 2 else "no address", p, 1) for i, p in enumerate(PAGES)] + [(0, None, None, 2), (None, "http://[", "<p>a", 3)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, TEXT int")
