@@ -1,5 +1,6 @@
 import random
 import re
+from fractions import Fraction
 
 import pytest
 
@@ -8,15 +9,20 @@ from verification.check import compare
 
 
 def brute(text, templates=ls.TEMPLATES):
+    """Every stretch of one and a half templates from every word on; no windows, no hashes."""
     words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").lower())
     grams = ls.shingles(words)
-    names = set()
+    found = []
     for name, notice in templates:
         own = set(ls.shingles(ls.template_words(notice)))
-        wide, stride = ls.window_of(len(own))
-        for s in range(0, max(len(grams) - wide + stride - 1, 0) // stride * stride + 1, stride):
-            if 100 * len(own & set(grams[s : s + wide])) >= 80 * len(own):
-                names.add(name)
+        long = len(own) + len(own) // 2
+        places = [k for k, g in enumerate(grams) if g in own]
+        for s in places:
+            inside = [k for k in places if s <= k < s + long]
+            n = len({grams[k] for k in inside})
+            if 100 * n >= 80 * len(own):
+                found.append((name, s, inside[-1] + 5, Fraction(n, len(own)), n))
+    names = {x[0] for x in found if not any(y[0] != x[0] and x[1] < y[2] and y[1] < x[2] and y[3:] > x[3:] for y in found)}
     return len(words), len(names), ",".join(sorted(names))
 
 
@@ -44,6 +50,40 @@ def test_changed_notices_against_brute_force(spark, changed):
     assert ls.find_licenses(df.limit(0)).count() == 0
 
 
+def inserted(notice, count, at):
+    words = notice.split()
+    middle = len(words) // 2
+    return " ".join(["filler"] * at + words[:middle] + ["new"] * count + words[middle:] + ["more"] * 40)
+
+
+def test_inserted_words_at_every_start(spark):
+    """Words put into the middle of a notice, up to half of its length, are no matter where windows begin."""
+    texts = [(name, inserted(notice, count, at)) for name, notice in (ls.TEMPLATES[k] for k in (1, 5, 6)) for count in range(2, 13) for at in range(12)]
+    df = spark.createDataFrame(texts, "name string, text string")
+    for r in ls.find_licenses(df).select("name", "text", "licenses").collect():
+        assert r.licenses == brute(r.text)[2] and r.name in r.licenses.split(",")
+
+
+@pytest.mark.parametrize("license", ["GPL-2.0-or-later", "GPL-3.0-or-later", "LGPL-2.1-or-later", "LGPL-3.0-or-later", "AGPL-3.0-or-later", "ISC", "CC-BY-SA-4.0"])
+def test_versions_of_a_notice_keep_their_names(spark, license):
+    text = next(t for n, t in ls.TEMPLATES if n == license)
+    df = spark.createDataFrame([(1, f"You can use {text} Really."), (2, "a " * 30 + text.replace("License", "LICENSE") + " b" * 30)], "doc_id long, text string")
+    assert {r.licenses for r in ls.find_licenses(df).collect()} == {license}
+
+
+def test_two_notices_in_one_text(spark):
+    gpl2, gpl3 = (next(t for n, t in ls.TEMPLATES if n == f"GPL-{v}.0-or-later") for v in (2, 3))
+    df = spark.createDataFrame([(1, f"{gpl2} {gpl3}"), (2, f"{ls.TEMPLATES[0][1]} {ls.TEMPLATES[2][1]}")], "doc_id long, text string")
+    got = {r.doc_id: r.licenses for r in ls.find_licenses(df).collect()}
+    assert got == {1: "GPL-2.0-or-later,GPL-3.0-or-later", 2: "Apache-2.0,MIT"}
+
+
+def test_too_many_templates_are_refused(spark):
+    df = spark.createDataFrame([(1, "x")], "doc_id long, text string")
+    with pytest.raises(ValueError, match="templates"):
+        ls.find_licenses(df, [("X", f"one two three four five {k}") for k in range(ls.MOST + 1)])
+
+
 def test_matches_tell_where(spark):
     text = "one two " * 20 + ls.TEMPLATES[7][1] + " three" * 20
     df = spark.createDataFrame([(1, text)], "doc_id long, text string")
