@@ -108,27 +108,45 @@ def _parts(window: int):
     return work
 
 
-def annotate(
+def _annotated(
     docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW,
     pass_words: int = PASS_WORDS,
 ) -> DataFrame:
-    """``docs`` with ``_n_words``, ``_hits`` (disjoint word spans, start and end in turn) and ``_items`` (ids as text).
+    """``docs``, its columns named ``_0``, ``_1`` and so on, with the columns of :func:`annotate`.
 
-    Narrow: documents are not shuffled. The benchmark is searched in passes of bounded size, one for all but huge ones.
+    Narrow: documents are not shuffled. The benchmark is searched in passes of bounded size, one for all but huge ones. What a
+    pass has found is written before the next one, so that a task and the driver hold the words of one pass at a time.
     """
     named = benchmark.select(F.col(item_id).cast("string").alias("item"), F.col(item_text).cast("binary").alias("words"))
     parts = emit_rows(named, ["item", "words"], "item string, at bigint, n bigint, words binary", _parts(window))
     parts = saved(parts, "benchmark").distinct()
     total = parts.agg(F.sum("n")).first()[0] or 0
     passes = max(1, -(-total // pass_words))
-    out = docs.withColumns({"_raw": F.col(text).cast("binary"), "_hits": F.array().cast("array<int>"), "_items": F.array().cast("array<string>")})
+    # Columns of any name are carried under others meanwhile.
+    columns = [F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(docs.columns)]
+    empty = {"_hits": F.array().cast("array<int>"), "_items": F.array().cast("array<string>")}
+    out = docs.select(*columns, F.col(text).cast("binary").alias("_raw")).withColumns(empty)
     for k in range(passes):
         own = parts.filter(F.pmod(F.xxhash64("item", "at"), F.lit(passes)) == k) if passes > 1 else parts
         sent = docs.sparkSession.sparkContext.broadcast([(r.item, bytes(r.words)) for r in own.collect()])
         out = add_columns(out, ["_raw", "_hits", "_items"], "_n_words bigint, _hits array<int>, _items array<string>", _search(sent, window))
+        if k < passes - 1:
+            out = saved(out, "pass")
+            sent.unpersist()
     return out.drop("_raw")
 
 
+def annotate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+    """``docs`` with ``_n_words``, ``_hits`` (disjoint word spans, start and end in turn) and ``_items`` (ids as text)."""
+    new = ["_n_words", "_hits", "_items"]
+    plain = docs.select(*[f"`{c}`" for c in docs.columns if c.lower() not in new])
+    return _named(plain, _annotated(plain, benchmark, **options), *new)
+
+
+def _named(docs: DataFrame, found: DataFrame, *more) -> DataFrame:
+    return found.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(docs.columns)], *more)
+
+
 def _search(sent, window: int):
     name = uuid4().hex
 
@@ -155,22 +173,20 @@ def contamination(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame
     looked for whole. Repeated items count once, an item without an id is named by an empty text. Columns that already
     have one of the new names are replaced.
     """
-    found = annotate(docs, benchmark, **options)
+    new = ("n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+    plain = docs.select(*[f"`{c}`" for c in docs.columns if c.lower() not in new])
+    found = _annotated(plain, benchmark, **options)
     hit = F.aggregate(F.transform("_hits", lambda x, i: F.when(i % 2 == 0, -x).otherwise(x)), F.lit(0), lambda a, x: a + x)
-    return found.withColumns(
-        {
-            "n_words": F.col("_n_words"),
-            "n_hit": hit.cast("bigint"),
-            "n_items": F.size("_items").cast("bigint"),
-            "items_sha256": F.sha2(F.array_join(F.sort_array("_items"), ","), 256),
-            "contaminated": F.size("_hits") > 0,
-        }
-    ).drop("_n_words", "_hits", "_items")
+    values = (
+        F.col("_n_words"), hit.cast("bigint"), F.size("_items").cast("bigint"), F.sha2(F.array_join(F.sort_array("_items"), ","), 256),
+        F.size("_hits") > 0,
+    )
+    return _named(plain, found, *[v.alias(c) for v, c in zip(values, new)])
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The documents that hold no window of a benchmark item, with their columns as they were."""
-    return annotate(docs, benchmark, **options).filter(F.size("_hits") == 0).select(*[f"`{c}`" for c in docs.columns])
+    return _named(docs, _annotated(docs, benchmark, **options).filter(F.size("_hits") == 0))
 
 
 def op4_wu_manber(spark: SparkSession, folder: str) -> DataFrame:

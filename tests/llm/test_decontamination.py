@@ -66,3 +66,15 @@ def test_long_items_are_cut_without_loss(spark):
 
 def test_query_matches_sql(spark, folder):
     assert compare(spark, folder, dc.op4_wu_manber, dc.SQL["op4_wu_manber"]) == ""
+
+
+def test_passes_are_written_and_names_stay(spark):
+    """Ten passes: each is a stage of its own, with one Python worker; columns may have any name."""
+    items = [(k, " ".join(f"w{k}x{j}" for j in range(12))) for k in range(30)]
+    b = spark.createDataFrame(items, "item_id long, text string")
+    d = spark.createDataFrame([(k, t, "h", 5) for k, t in items], "doc_id long, text string, _hits string, _raw int")
+    found = dc.contamination(d, b, pass_words=40)
+    assert found.columns == [*d.columns, "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+    assert {(r.n_hit, r.n_items, r._hits, r._raw) for r in found.collect()} == {(12, 1, "h", 5)}
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert dc.without_leaks(d, b, pass_words=40).count() == 0
