@@ -26,7 +26,7 @@ END_ID = 0
 # Ranks are counted in parts of about this many pieces, so that a frequent length is shared among tasks.
 RANK_ROWS = 1000
 
-PIECE = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
+PIECE = "piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
 def _ids_bytes(ids: list[int]) -> bytes:
@@ -45,7 +45,7 @@ def cut(n: int, size: int) -> list[tuple[int, int]]:
 
 
 def token_pieces(docs: DataFrame, doc_id: str, text: str, path: str, size: int, end_id: int, with_ids: bool = False) -> DataFrame:
-    """One row per piece of each document; with ``with_ids`` also its token ids."""
+    """One row per piece of each document, named by ``doc_id`` of any type; with ``with_ids`` also its token ids."""
     end = _ids_bytes([end_id])
 
     def work(ids, texts):
@@ -57,7 +57,8 @@ def token_pieces(docs: DataFrame, doc_id: str, text: str, path: str, size: int,
                 rows.append((i, k, s, n, crc32(own), *([np.frombuffer(own, "<u4").astype("i4")] if with_ids else [])))
         return [*zip(*rows)]
 
-    return emit_rows(docs, [doc_id, text], PIECE + ", ids array<int>" * with_ids, work)
+    kind = docs.schema[doc_id].dataType.simpleString()
+    return emit_rows(docs, [doc_id, text], f"doc_id {kind}, {PIECE}" + ", ids array<int>" * with_ids, work)
 
 
 def plan(lengths: dict[int, int], size: int) -> list[tuple[int, int, int, int, int, int]]:
@@ -138,7 +139,8 @@ def pack(
         return [at[:, 3] + within, at[:, 5] + turn * length]
 
     placed = add_columns(ranked(pieces, lengths, size), ["length", "rank"], "sequence_id bigint, offset bigint", place)
-    return placed.select(*pieces.columns, "sequence_id", "offset")
+    named = [F.col("doc_id").alias(doc_id), *pieces.columns[1:]]
+    return placed.select(*named, "sequence_id", "offset")
 
 
 def sequences(placed: DataFrame) -> DataFrame:

@@ -85,3 +85,10 @@ def test_edges(spark):
 def test_many_of_one_length(spark):
     df = spark.range(5000).selectExpr("id AS doc_id", "CASE WHEN id % 3 = 0 THEN 'a b c' ELSE repeat('z ', int(id % 40)) END AS text")
     check(packing.pack(df, size=32), {r.doc_id: r.text for r in df.collect()}, 32)
+
+
+def test_ids_of_any_type(spark):
+    docs = spark.createDataFrame([("b", "one two"), ("a", "three " * 3000), (None, None)], "name string, body string")
+    out = packing.pack(docs, "name", "body")
+    assert out.columns[0] == "name" and dict(out.dtypes)["name"] == "string"
+    assert {r.name for r in out.collect()} == {"a", "b", None}
