@@ -2,23 +2,24 @@
 
 A document is a bag of passages of 64 words. Every passage is encoded, a gated attention gives each a weight, and the
 weighted sum of the encodings is scored. Encoder, attention and score are learned together from labels of documents
-alone. Fitting uses a bounded sample of labelled documents (``SAMPLE`` documents, ``BAG`` evenly spaced passages of each);
-every passage of every document takes part in its score.
+alone. Fitting uses a bounded sample of labelled documents, at most ``SAMPLE`` with ``FITTED`` passages in all, each of them
+with all of its passages; every passage of every document takes part in its score.
 """
 
 from __future__ import annotations
 
+import re
 from operator import eq
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillstone.llm.common import add_columns, table
+from rillstone.llm.common import add_columns, saved, table
 
 PASSAGE = 64
 SAMPLE = 2000
-BAG = 8
+FITTED = 50_000
 FOLDS = 5
 CUT = 0.3
 # Texts are encoded in stretches of about so many bytes.
@@ -33,12 +34,19 @@ PAIRS = 64
 WIDTH = CLASSES + PAIRS + 3
 
 
+_NEXT_WORD = re.compile(rb"[^ \t\n\x0b\x0c\r]*[ \t\n\x0b\x0c\r]+|[^ \t\n\x0b\x0c\r]+\Z")
+
+
 def _stretches(text: bytes):
+    """Parts of the text that end before a word; all but the last have a whole number of passages."""
     at = 0
     while at < len(text):
         end = at + STRETCH
-        while end < len(text) and text[end] not in b" \t\n\x0b\x0c\r":
-            end += 1
+        if end < len(text):
+            end = _NEXT_WORD.match(text, end - 1).end()
+            for _ in range(-len(text[at:end].split()) % PASSAGE):
+                step = _NEXT_WORD.match(text, end)
+                end = step.end() if step else len(text)
         yield text[at:end]
         at = end
 
@@ -97,32 +105,29 @@ def fit(bags: list[np.ndarray], labels: list[int], hidden: int = 24, gates: int
     y = np.array(labels, "f8")
     flat = np.concatenate(bags)
     mean, scale = flat.mean(0), np.maximum(flat.std(0), 0.02)
-    size = max(map(len, bags))
-    x, real = np.zeros((len(bags), size, flat.shape[1])), np.zeros((len(bags), size), bool)
-    for k, b in enumerate(bags):
-        x[k, : len(b)], real[k, : len(b)] = (b - mean) / scale, True
+    x = (flat - mean) / scale
+    sizes = np.array([len(b) for b in bags])
+    first = np.cumsum(sizes) - sizes
+    spread = lambda v: np.repeat(v, sizes, axis=0)  # noqa: E731, from documents to their passages
+    within = lambda v: np.add.reduceat(v, first, axis=0)  # noqa: E731, sums over the passages of each document
     r = np.random.default_rng(seed)
-    shapes = {"E": (x.shape[2], hidden), "e": (hidden,), "V": (hidden, gates), "U": (hidden, gates), "w": (gates,), "c": (hidden,), "b": (1,)}
+    shapes = {"E": (x.shape[1], hidden), "e": (hidden,), "V": (hidden, gates), "U": (hidden, gates), "w": (gates,), "c": (hidden,), "b": (1,)}
     w = {k: r.normal(0, s[0] ** -0.5, s) if len(s) > 1 or k in "wc" else np.zeros(s) for k, s in shapes.items()}
     m1, m2 = ({k: np.zeros_like(v) for k, v in w.items()} for _ in range(2))
     for step in range(1, steps + 1):
         h = np.tanh(x @ w["E"] + w["e"])
         t, g = np.tanh(h @ w["V"]), _sigmoid(h @ w["U"])
-        s = np.where(real, (t * g) @ w["w"], -np.inf)
-        a = np.exp(s - s.max(1, keepdims=True))
-        a /= a.sum(1, keepdims=True)
-        z = np.einsum("nk,nkh->nh", a, h)
+        s = (t * g) @ w["w"]
+        a = np.exp(s - spread(np.maximum.reduceat(s, first)))
+        a /= spread(within(a))
+        z = within(a[:, None] * h)
         d = (_sigmoid(z @ w["c"] + w["b"][0]) - y) / len(y)
-        dz = d[:, None] * w["c"]
-        da = np.einsum("nh,nkh->nk", dz, h)
-        ds = a * (da - (a * da).sum(1, keepdims=True))
-        dt, dg = ds[:, :, None] * w["w"] * g * (1 - t * t), ds[:, :, None] * w["w"] * t * g * (1 - g)
-        dh = (a[:, :, None] * dz[:, None, :] + dt @ w["V"].T + dg @ w["U"].T) * (1 - h * h)
-        flat_h = h.reshape(-1, hidden).T
-        grads = {
-            "E": x.reshape(-1, x.shape[2]).T @ dh.reshape(-1, hidden), "e": dh.sum((0, 1)), "V": flat_h @ dt.reshape(-1, gates),
-            "U": flat_h @ dg.reshape(-1, gates), "w": np.einsum("nkg,nk->g", t * g, ds), "c": z.T @ d, "b": d.sum(keepdims=True),
-        }
+        dz = spread(d[:, None] * w["c"])
+        da = (dz * h).sum(1)
+        ds = a * (da - spread(within(a * da)))
+        dt, dg = ds[:, None] * w["w"] * g * (1 - t * t), ds[:, None] * w["w"] * t * g * (1 - g)
+        dh = (a[:, None] * dz + dt @ w["V"].T + dg @ w["U"].T) * (1 - h * h)
+        grads = {"E": x.T @ dh, "e": dh.sum(0), "V": h.T @ dt, "U": h.T @ dg, "w": (t * g).T @ ds, "c": z.T @ d, "b": d.sum(keepdims=True)}
         for k, v in w.items():
             grad = grads[k] + 1e-4 * v * (v.ndim > 1)
             m1[k] = 0.9 * m1[k] + 0.1 * grad
@@ -136,28 +141,32 @@ def fold(doc_id):
 
 
 def train(
-    docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality", sample: int = SAMPLE, bag: int = BAG
-) -> Model:
+    docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality", sample: int = SAMPLE,
+    fitted: int = FITTED,
+) -> Model:
     """Fit on at most ``sample`` labelled documents of the folds 1 to 4, those first by a hash of their ids.
 
-    A document with several labels takes the greatest; null ids and labels are left out. At most ``sample * bag``
-    passages reach the driver.
+    A document with several labels takes the greatest; null ids and labels are left out. Documents are taken whole, in the
+    order of the hash, as long as they have at most ``fitted`` passages together, and only these reach the driver; one that
+    would go beyond is passed over.
     """
     known = labels.select(F.col(doc_id).alias("_id"), F.col(label).alias("_y")).filter("_id IS NOT NULL AND _y IS NOT NULL")
     known = known.filter(fold("_id") != 0).groupBy("_id").agg(F.max("_y").alias("_y"))
-    chosen = known.orderBy(F.xxhash64("_id"), "_id").limit(sample)
+    chosen = known.select("_id", "_y", F.xxhash64("_id").alias("_turn")).orderBy("_turn", "_id").limit(sample)
     texts = docs.select(F.col(doc_id).alias("_id"), F.col(text).cast("binary").alias("_text")).join(F.broadcast(chosen), "_id")
 
     def work(raw):
-        picked = []
-        for t in raw:
-            rows = passages(t)
-            rows = rows[np.unique(np.linspace(0, len(rows) - 1, bag).astype(int))]
-            picked.append(rows.astype("f4").ravel())
-        return [picked]
-
-    found = add_columns(texts, ["_text"], "rows array<float>", work, keep=["_id", "_y"])
-    one = found.groupBy("_id").agg(F.max(F.struct("_y", "rows")).alias("bag")).collect()
+        made = [passages(t) for t in raw]
+        return [[len(m) for m in made], [m.astype("f4").ravel() for m in made]]
+
+    found = add_columns(texts, ["_text"], "n bigint, rows array<float>", work, keep=["_id", "_y", "_turn"])
+    found = saved(found, "passages")
+    taken, left = [], fitted
+    for r in sorted(found.groupBy("_id", "_turn").agg(F.max("n").alias("n")).collect(), key=lambda r: (r["_turn"], r["_id"])):
+        if r["n"] <= left:
+            taken.append(r["_id"])
+            left -= r["n"]
+    one = found.filter(F.col("_id").isin(taken)).groupBy("_id").agg(F.max(F.struct("n", "_y", "rows")).alias("bag")).collect()
     bags = [r["bag"] for r in sorted(one, key=lambda r: r["_id"])]
     return fit([np.array(b["rows"], "f8").reshape(-1, WIDTH) for b in bags], [int(b["_y"] > 0) for b in bags])
 
@@ -168,13 +177,16 @@ def score(docs: DataFrame, model: Model, text: str = "text", cut: float = CUT) -
     Null and empty texts, and texts without words, are scored as one passage of noughts. Repeated rows get the same
     score, columns that already have one of the new names are replaced, an empty table gives an empty one.
     """
-    raw = docs.withColumn("_raw", F.col(text).cast("binary"))
+    kept = [c for c in docs.columns if c.lower() not in ("score", "predicted")]
+    own = [f"_{k}" for k in range(len(kept))]
+    raw = docs.select(*[F.col(f"`{c}`").alias(o) for c, o in zip(kept, own)], F.col(text).cast("binary").alias("_raw"))
 
     def work(texts):
         scores = [model.score(passages(t)) for t in texts]
         return [scores, [int(s >= cut) for s in scores]]
 
-    return add_columns(raw, ["_raw"], "score double, predicted int", work, keep=docs.columns)
+    made = add_columns(raw, ["_raw"], "score double, predicted int", work, keep=own)
+    return made.select(*[F.col(o).alias(c) for c, o in zip(kept, own)], "score", "predicted")
 
 
 def op7_attention_bags(spark: SparkSession, folder: str) -> DataFrame:

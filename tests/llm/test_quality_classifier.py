@@ -57,3 +57,32 @@ def test_odd_rows(spark):
     assert scored.columns == ["doc_id", "text", "score", "predicted"]
     assert scored.count() == 4 and all(0 <= r.score <= 1 for r in scored.collect())
     assert qc.score(docs.limit(0), qc.train(docs, labels)).count() == 0
+
+
+def test_passages_of_long_texts_have_64_words(monkeypatch):
+    """Where a text is read in stretches, passages are those of the text in one but for what crosses a border."""
+    r = np.random.default_rng(2)
+    text = b" ".join(b"w%d " % k * int(n) for k, n in enumerate(r.integers(1, 4, 3000))) + b"\nend"
+    whole = qc.passages(text)
+    monkeypatch.setattr(qc, "STRETCH", 1000)
+    parts = list(qc._stretches(text))
+    assert b"".join(parts) == text and len(parts) > 10
+    assert all(len(p.split()) % qc.PASSAGE == 0 for p in parts[:-1])
+    assert np.allclose(np.delete(qc.passages(text), slice(qc.CLASSES, qc.CLASSES + qc.PAIRS + 1), 1), np.delete(whole, slice(qc.CLASSES, qc.CLASSES + qc.PAIRS + 1), 1))
+
+
+def test_fitting_takes_documents_whole(spark):
+    """A label that one passage in the middle tells is learned; documents beyond the bound are passed over, none is cut."""
+    r = np.random.default_rng(1)
+    docs = [(k, " ".join("word" if n != 1000 or k % 2 else "&&&#" * 40 for n in range(2000 + int(r.integers(9))))) for k in range(80)]
+    df = spark.createDataFrame([*docs, (999, "long " * 400_000)], "doc_id long, text string")
+    labels = spark.createDataFrame([*((k, 1 - k % 2) for k, _ in docs), (999, 0)], "doc_id long, quality int")
+    model = qc.train(df, labels, fitted=5000)
+    scores = {x.doc_id: x.score for x in qc.score(df, model).collect()}
+    assert min(scores[k] for k in range(0, 80, 2)) > max(scores[k] for k in range(1, 80, 2))
+
+
+def test_names_of_columns(spark):
+    df = spark.createDataFrame([(1, "a b", "x", 2)], "doc_id long, text string, _raw string, PREDICTED int")
+    model = qc.fit([], [])
+    assert [tuple(x) for x in qc.score(df, model).collect()] == [(1, "a b", "x", 0.5, 1)]
