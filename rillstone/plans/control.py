@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from rillstone.functions import geo
 from rillstone.functions.text import time_text
 from rillstone.operators.events import event_time
-from rillstone.operators.joins import with_every_row
+from rillstone.operators.joins import BROADCAST_ROWS, with_every_row
 from rillstone.operators.ordered import running, slice_groups
 from rillstone.plans.rides import ride_ends, with_distance
 from rillstone.schemas import RIDE_COLUMNS
@@ -167,6 +167,8 @@ def active_reports(rides: DataFrame, queries: DataFrame) -> DataFrame:
     ends = ride_ends(rides)
     blocks = F.explode(_blocks_between(hour(F.col("since")), hour(F.col("until"))))
     closed = timed.filter("until IS NOT NULL").withColumn("_block", blocks)
+    # Without a hint Spark may send the ride ends, of which it knows the size, instead.
+    closed = F.broadcast(closed) if closed.count() <= BROADCAST_ROWS else closed.hint("merge")
     places = F.array(*[F.struct(F.lit(n).alias("size"), F.floor(hour(F.col("event_time")) / n).alias("block")) for n in _BLOCKS])
     met = ends.withColumn("_block", F.explode(places)).join(closed, "_block").drop("_block")
     always = with_every_row(ends, timed.filter("until IS NULL"))
@@ -268,5 +270,6 @@ def improving_reports(reports: DataFrame, max_rows: int | None = None) -> DataFr
     slim = timed.select("query_id", "slice", "t", "ride_id", "distance")
     summaries = slim.groupBy("query_id", "slice").applyInPandas(_summarised, _SUMMARY)
     entered = summaries.groupBy("query_id").applyInPandas(_entered, "query_id BIGINT, slice INT, in_t BIGINT, in_d DOUBLE")
-    met = timed.join(entered, ["query_id", "slice"]).select(*names, "slice", "t", "in_t", "in_d")
+    # One row per query and range; without the hint Spark may send the reports themselves.
+    met = timed.join(F.broadcast(entered), ["query_id", "slice"]).select(*names, "slice", "t", "in_t", "in_d")
     return met.groupBy("query_id", "slice").applyInPandas(_kept, reports.schema)
