@@ -27,12 +27,14 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, memory: str = "
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Set the runtime options the operators rely on: UTC, adaptive plans, disk-backed state."""
+    """Set the runtime options the operators rely on: UTC, adaptive plans, disk-backed state that is saved as changes."""
     wanted = {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+        "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
     }
     for name, value in wanted.items():
         if spark.conf.get(name, None) != value:

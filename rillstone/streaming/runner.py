@@ -21,9 +21,11 @@ from rillstone.streaming.steered import Steered, merged
 from rillstone.streaming.steps import OrderedSteps, Step
 
 FLUSH_TIME = datetime(2100, 1, 1, tzinfo=timezone.utc)
-# A replay in steps has at least so many, and more when a step would have more rows than this.
+# A replay in steps has at least so many, and more when a core would have more rows in a step than this.
 STEPS = 4
-STEP_ROWS = 1_000_000
+CORE_ROWS = 4_000_000
+# Rows of a file, so that all cores read a step.
+FILE_ROWS = 1_000_000
 
 
 def table_stream(spark: SparkSession, folder: str, name: str, files_per_batch: int | None = None) -> DataFrame:
@@ -35,17 +37,27 @@ def table_stream(spark: SparkSession, folder: str, name: str, files_per_batch: i
     return reader.parquet(f"{folder}/{name}.parque[t]")
 
 
-def stepped_stream(df: DataFrame, order: str, home: str, steps: int = STEPS) -> DataFrame:
-    """A table as a stream of files that follow each other in ``order`` (a time), one per micro-batch.
+def steps_for(spark: SparkSession, rows: int) -> int:
+    """How many steps a replay of so many rows has.
 
-    The rows are written once, in ranges of about equal size; a time that many rows share takes several of them. Rows
-    without a time come last.
+    Every micro-batch goes over all of the state, so their number follows the rows that each core gets, not the table.
+    """
+    return max(STEPS, -(-rows // (CORE_ROWS * spark.sparkContext.defaultParallelism)))
+
+
+def stepped_stream(df: DataFrame, order: str, home: str, steps: int | None = None) -> DataFrame:
+    """A table as a stream of steps that follow each other in ``order`` (a time), one per micro-batch.
+
+    The rows are written once, in ranges of about equal size, several files to a step of a large table; a time that many
+    rows share takes several of them. Rows without a time come last.
     """
     spark, n = df.sparkSession, df.count()
-    ranged = df.repartitionByRange(max(steps, -(-n // STEP_ROWS)), F.col(order).asc_nulls_last(), F.xxhash64(*df.columns))
+    steps = steps or steps_for(spark, n)
+    files = max(1, -(-n // (steps * FILE_ROWS)))
+    ranged = df.repartitionByRange(steps * files, F.col(order).asc_nulls_last(), F.xxhash64(*df.columns))
     ranged.write.mode("overwrite").parquet(home)
     _aged_by_name(spark, home)
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(home)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(home)
 
 
 def _aged_by_name(spark: SparkSession, folder: str) -> None:
@@ -66,6 +78,7 @@ class Replay:
     home: str = ""
     flushes: list[tuple[str, DataFrame]] = field(default_factory=list)
     sources: int = 0
+    step_count: int | None = None
 
     def __post_init__(self):
         prepare(self.spark)
@@ -99,9 +112,13 @@ class Replay:
         return self.spark.read.schema(result.schema).parquet(out)
 
     def stepped(self, df: DataFrame, order: str) -> DataFrame:
-        """The table as a stream in ``order`` (see :func:`stepped_stream`)."""
+        """The table as a stream in ``order`` (see :func:`stepped_stream`).
+
+        All sources of a replay have as many steps as the first, so that none runs ahead and fills the state.
+        """
         self.sources += 1
-        return stepped_stream(df, order, f"{self.home}/source-{self.sources}")
+        self.step_count = self.step_count or steps_for(self.spark, df.count())
+        return stepped_stream(df, order, f"{self.home}/source-{self.sources}", self.step_count)
 
     def steered(
         self, df: DataFrame, order: str, messages: list[tuple[datetime, str]], fold: Callable[[str], Steered]
