@@ -1,10 +1,12 @@
 """Similarity join of documents on the Jaccard coefficient of their word n-grams, by T-occurrence search.
 
 Two sets that link share so many n-grams that they also share some in their prefixes, the first part of each set in one
-order of all n-grams. A document whose prefix holds too few n-grams of others can link with nothing; the others fall into
-components by the n-grams that their prefixes share, and links exist only inside a component. There the search runs: every
-n-gram has an inverted list, and a document wants all others that stand in at least T of its lists. By DivideSkip its short
-lists are merged, which leaves those that occur there often enough, and the long ones are only probed for these.
+order of all n-grams. A document whose prefix holds too few n-grams of others can link with nothing. For the others the
+n-grams that two prefixes share are counted over short lists of holders; what long lists could add is bounded by how many
+of them a document stands in. Pairs that may share enough, and neighbours in long lists, make components, and links exist
+only inside a component. There the search runs: every n-gram has an inverted list, and a document wants all others that
+stand in at least T of its lists. By DivideSkip its short lists are merged, which leaves those that occur there often
+enough, and the long ones are only probed for these.
 
 Components larger than a block are cut, and every two cuts meet, so no task holds more than two cuts. Equal texts are one
 set. The order of n-grams puts the frequent ones of a sample last; any order gives the same links.
@@ -18,7 +20,7 @@ from math import log2
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rillstone.llm.common import bounded_batches, emit_rows, saved, table
@@ -34,6 +36,11 @@ FREQUENT = 8
 KNOWN = 1 << 16
 # A prefix holds one n-gram in so many more than one shared n-gram would need.
 EXTRA = 10
+# Holders in one row of a list. Complete lists of fewer give pairs, the shortest first, up to so many pairs a holder.
+HOLDERS = 64
+PAIRS = 4
+# Bits of the bitmap that rules out texts without a component before they are shuffled; 2 MB.
+BITS = 1 << 24
 # Documents and n-grams of a cut.
 BLOCK = 2048
 BLOCK_GRAMS = 1 << 21
@@ -219,18 +226,81 @@ def links(shards: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Data
     return ordered.mapInArrow(run, "key bigint, links bigint, low bigint")
 
 
-def _in_components(shared: DataFrame, alive: DataFrame, percent: int) -> DataFrame:
-    """``alive`` with ``root``, equal for sets whose prefixes share n-grams, directly or over others.
+def _lists(early: DataFrame) -> DataFrame:
+    """``(gram, part, members)``: who holds an n-gram that several sets hold, ``HOLDERS`` of them in a row; ``members`` are ``(key, n)``."""
+    # Most n-grams have one holder, and they go before anything else is done.
+    apart = early.selectExpr("gram", "key", "n", "min(key) over (partition by gram) as l", "max(key) over (partition by gram) as h")
+    held = apart.filter("l < h").select("gram", "key", "n").distinct()
+    at = F.row_number().over(Window.partitionBy("gram").orderBy("key"))
+    parts = held.withColumn("part", F.floor((at - 1) / HOLDERS).cast("int"))
+    return parts.groupBy("gram", "part").agg(F.collect_list(F.struct("key", "n")).alias("members"))
 
-    Of the sets that share an n-gram, ordered by size, only neighbours that are near enough in size are joined: the sets
-    between two that may link are near enough to their neighbours as well. Ranges of the order keep a frequent n-gram out of one task.
+
+def _short(lists: DataFrame) -> int:
+    """Up to which length lists give pairs, so that there are at most ``PAIRS`` pairs for each holder."""
+    sizes = sorted(map(tuple, lists.groupBy(F.size("members"), F.col("part") == 0).count().collect()))
+    most, pairs = PAIRS * sum(size * n for size, _, n in sizes), 0
+    for size, whole, n in sizes:
+        pairs += n * size * (size - 1) // 2 if whole else 0
+        if size >= HOLDERS or pairs > most:
+            return size - 1
+    return HOLDERS - 1
+
+
+def _pairs(short: DataFrame, percent: int) -> DataFrame:
+    """``(a, b, a_n, b_n, both)``: in how many of these lists two sets near enough in size stand together."""
+    # Lists with the same least holder meet in a task, where most of their pairs are added up.
+    dealt = short.select("members").repartition(F.expr("array_min(members).key"))
+    first = dealt.select("members", F.posexplode("members").alias("at", "x"))
+    pairs = first.select("x", F.explode(F.expr("slice(members, at + 2, size(members))")).alias("y"))
+    pairs = pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).selectExpr("x.key as a", "y.key as b", "x.n as a_n", "y.n as b_n")
+    near = pairs.filter(100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n"))
+    return near.groupBy("a", "b", "a_n", "b_n").agg(F.count(F.lit(1)).alias("both"))
+
+
+def _wanted(n: Column, percent: int, extra: int) -> Column:
+    """How many n-grams of its prefix a set of ``n`` must share with any that links, as in ``prefix_sizes``."""
+    return F.ceil(F.ceil(n * percent / 100) / extra)
+
+
+def _in_components(early: DataFrame, late: DataFrame, sizes: DataFrame, percent: int, extra: int) -> DataFrame:
+    """``(key, n, root)`` of the sets that can link, ``root`` equal for those that may, directly or over others.
+
+    Linked sets share as many n-grams of their prefixes as each wants. Short lists tell how many two sets share there, and
+    long lists and frequent n-grams can add no more than the fewer that one of the two stands in. Sets that share
+    nothing in short lists must both stand in as many long ones as they want. Of these sets in a long list, ordered by size, only
+    neighbours near enough in size are joined: the sets between two that may link are near enough to their neighbours
+    as well. Ranges of the order keep a frequent n-gram out of one task.
     """
-    rows = slice_groups(shared.join(alive, "key"), ["gram"], ["n", "key"])
+    lists = saved(_lists(early), "lists")
+    most = _short(lists)
+    is_short = (F.col("part") == 0) & (F.size("members") <= most)
+    held = lists.select(is_short.alias("short"), F.explode("members").alias("m")).groupBy(F.col("m.key").alias("key"))
+    held = held.agg(F.count(F.lit(1)).alias("shared"), F.count_if(~F.col("short")).alias("in_long"))
+    counted = sizes.filter("n > 0").join(held, "key", "left").na.fill(0, ["shared", "in_long"])
+    alive = counted.filter(F.col("shared") + F.col("n_known") >= _wanted(F.col("n"), percent, extra))
+    alive = saved(alive.select("key", "n", (F.col("in_long") + F.col("n_known")).alias("room")), "candidates")
+
+    pairs = _pairs(lists.filter(is_short), percent)
+    for end in ("a", "b"):
+        pairs = pairs.join(alive.select(F.col("key").alias(end), F.col("room").alias(f"{end}_room")), end)
+    may = F.col("both") + F.least("a_room", "b_room") >= _wanted(F.greatest("a_n", "b_n"), percent, extra)
+    long = lists.filter(~is_short).select("gram", F.explode("members").alias("m")).select("gram", "m.key")
+    strong = alive.filter(F.col("room") >= _wanted(F.col("n"), percent, extra)).select("key", "n")
+    rows = slice_groups(long.union(late).join(strong, "key"), ["gram"], ["n", "key"])
     ordered = running(rows, {"b": ("last", F.col("key")), "b_n": ("last", F.col("n"))}, inclusive=False).rows()
     near = ordered.filter((F.col("b") != F.col("key")) & (100 * F.col("b_n") >= percent * F.col("n")))
-    star = stars(near.select(F.col("key").alias("a"), "b").distinct())
+    star = stars(pairs.filter(may).select("a", "b").union(near.select(F.col("key").alias("a"), "b")).distinct())
     named = star.select(F.col("a").alias("key"), F.col("b").alias("root"))
-    return alive.join(named, "key", "left").withColumn("root", F.coalesce("root", "key"))
+    return alive.select("key", "n").join(named, "key", "left").withColumn("root", F.coalesce("root", "key"))
+
+
+def _sieved(rows: DataFrame, keys: DataFrame, bits: int = BITS) -> DataFrame:
+    """``rows`` without most of those whose ``key`` is not in ``keys``, and with all that are; ``bits`` is a multiple of 64."""
+    words = keys.groupBy(F.expr(f"cast(pmod(key, {bits}) div 64 as int)").alias("s_at"))
+    words = words.agg(F.bit_or(F.expr("shiftleft(1L, cast(pmod(key, 64) as int))")).alias("s_word"))
+    met = rows.join(F.broadcast(words), F.expr(f"cast(pmod(key, {bits}) div 64 as int)") == F.col("s_at"))
+    return met.filter("(shiftright(s_word, cast(pmod(key, 64) as int)) & 1) = 1").drop("s_at", "s_word")
 
 
 def similar(
@@ -251,24 +321,19 @@ def similar(
     known = frequent_grams(docs, text, words)
     marks = saved(_marks(once, words, percent, extra, known), "prefixes")
 
-    early = marks.select("key", F.explode(F.expr("slice(prefix, 1, cast(size(prefix) - n_known as int))")).alias("gram"))
-    # Frequent n-grams are shared anyway and are not sent; of the others no list is long.
-    apart = early.selectExpr("gram", "key", "min(key) over (partition by gram) as l", "max(key) over (partition by gram) as h")
-    shared = saved(apart.filter("l < h").select("gram", "key").distinct(), "shared")
-    late = marks.filter("n_known > 0").select("key", F.explode(F.expr("slice(prefix, cast(size(prefix) - n_known + 1 as int), cast(n_known as int))")).alias("gram")).distinct()
-
+    # Frequent n-grams are shared anyway and do not take part in the lists; of the others no list is very long.
+    early = marks.select("key", "n", F.explode(F.expr("slice(prefix, 1, cast(size(prefix) - n_known as int))")).alias("gram"))
+    late = marks.filter("n_known > 0").select(F.explode(F.expr("slice(prefix, cast(size(prefix) - n_known + 1 as int), cast(n_known as int))")).alias("gram"), "key").distinct()
     sizes = marks.select("key", "n", "n_known").distinct()
-    wanted = F.expr(f"cast(ceil(ceil(n * {percent} / 100) / {extra}) as bigint)")
-    counted = sizes.join(shared.groupBy("key").agg(F.count(F.lit(1)).alias("n_shared")), "key", "left")
-    alive = saved(counted.filter(F.col("n") > 0).filter(F.coalesce("n_shared", F.lit(0)) + F.col("n_known") >= wanted).select("key", "n"), "candidates")
-    placed = _in_components(shared.union(late.select("gram", "key")), alive, percent)
+    placed = _in_components(early, late, sizes, percent, extra)
     large = placed.groupBy("root").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("grams")).filter("docs > 1")
     large = large.select("root", F.ceil(F.greatest(F.col("docs") / block, F.col("grams") / block_grams)).cast("int").alias("cuts"))
     dealt = placed.join(large, "root").withColumn("own", F.pmod(F.xxhash64("key", F.lit(11)), F.col("cuts")).cast("int"))
-    dealt = dealt.join(sets, "key")
+    dealt = saved(dealt.join(sets, "key").select("key", "first", "root", "cuts", "own", "copies", "n"), "dealt")
 
-    dealt = dealt.select(F.col("key").alias("d_key"), F.col("first").alias("d_first"), "root", "cuts", "own", "copies", "n")
-    texts = once.join(dealt, (F.col("key") == F.col("d_key")) & F.col("id").eqNullSafe(F.col("d_first"))).drop("id", "d_key", "d_first")
+    placed_once = _sieved(once, dealt)
+    dealt = dealt.withColumnsRenamed({"key": "d_key", "first": "d_first"})
+    texts = placed_once.join(dealt, (F.col("key") == F.col("d_key")) & F.col("id").eqNullSafe(F.col("d_first"))).drop("id", "d_key", "d_first")
     shards = texts.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
     shards = shards.withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")}).drop("other", "cuts")
     found = saved(links(shards, words, percent), "links")

@@ -130,5 +130,70 @@ def test_large_group_of_copies(spark):
     assert got(jj.similar(df, block=40)) == slow(docs)
 
 
+def carried(monkeypatch):
+    """How many texts each call of ``links`` is given."""
+    seen, real = [], jj.links
+
+    def links(shards, *rest):
+        seen.append(shards.count())
+        return real(shards, *rest)
+
+    monkeypatch.setattr(jj, "links", links)
+    return seen
+
+
+def test_shared_passages_make_no_component(spark, monkeypatch):
+    """Texts that share much with all others together, but little with each, are not carried from cut to cut."""
+    m = 14
+    parts = [[] for _ in range(m)]
+    for i in range(m):
+        for j in range(i):
+            passage = [f"p{i}x{j}x{k}" for k in range(6)]
+            for own in (i, j):
+                parts[own] += passage
+    docs = [(k, " ".join(p)) for k, p in enumerate(parts)]
+    rng = random.Random(4)
+    base = [f"w{k}" for k in range(90)]
+    docs += [(100 + k, " ".join(changed(rng, base, 1))) for k in range(3)]
+    seen = carried(monkeypatch)
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    assert got(jj.similar(df, block=4)) == slow(docs)
+    assert seen == [3]
+
+
+@pytest.mark.parametrize("holders, pairs, frequent", [(2, 0, 8), (3, 1, 1), (5, 4, 8), (64, 0, 1)])
+def test_long_and_short_lists(spark, monkeypatch, holders, pairs, frequent):
+    """Links stay whole however many lists count as long, and however these are parted."""
+    for name, value in (("HOLDERS", holders), ("PAIRS", pairs), ("SAMPLE", 2), ("FREQUENT", frequent)):
+        monkeypatch.setattr(jj, name, value)
+    docs = made(holders + pairs, families=10, copies=11)
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3)
+    assert got(jj.similar(df, block=6)) == slow(docs)
+
+
+def test_lists_give_pairs_up_to_a_bound(spark, monkeypatch):
+    rows = [(0, [1] * size) for size in (2, 2, 2, 5, 9)] + [(0, [1] * 12), (1, [1] * 3)]
+    lists = spark.createDataFrame(rows, "part int, members array<int>")
+    bounds = []
+    for most in (0, 1, 2, 4):
+        monkeypatch.setattr(jj, "PAIRS", most)
+        bounds.append(jj._short(lists))
+    # 3 pairs, 13, 49 and 115, for 35 holders; the list of 12 and 3 is one of 15 where rows hold 12.
+    assert bounds == [1, 8, 11, 63]
+    monkeypatch.setattr(jj, "HOLDERS", 12)
+    assert jj._short(lists) == 11
+
+
+def test_sieve_keeps_all_that_count(spark):
+    rng = random.Random(6)
+    keys = [rng.randrange(-(2**63), 2**63) for _ in range(2000)] + [0, -1, 63, 64, -64, 2**63 - 1, -(2**63)]
+    df = spark.createDataFrame([(k, str(k)) for k in keys], "key bigint, text string")
+    some = {*keys[:20], *keys[-7:]}
+    kept = [tuple(r) for r in jj._sieved(df, df.filter(df.key.isin(*some)).select("key"), bits=1 << 16).collect()]
+    assert some <= {k for k, _ in kept} and len(kept) == len(set(kept)) < 100
+    assert all(t == str(k) for k, t in kept)
+    assert jj._sieved(df, df.select("key").limit(0)).count() == 0
+
+
 def test_whole_table(spark, folder):
     assert compare(spark, folder, jj.op11_ngram_jaccard_join, jj.OP11_SQL) == ""
